@@ -24,3 +24,21 @@ def percent_of(part: Column | str, total: Column | str) -> Column:
 def to_number(col: Column | str, dtype: str = "double") -> Column:
     """Lenient numeric cast: text that is not a number becomes null (V6)."""
     return _c(col).try_cast(dtype)
+
+
+def scaled_sum(col: Column | str, scale: int) -> Column:
+    """Sum of ``round(x * 10^scale)`` as a long: exact and independent of the
+    order rows arrive in, for values with at most ``scale`` decimals."""
+    return F.sum(F.round(_c(col) * (10 ** scale)).cast("long"))
+
+
+def exact_mean(col: Column | str, scale: int) -> Column:
+    """Mean of a column whose values have at most ``scale`` decimals (money
+    with 2, ratings with 1), as an aggregate expression.
+
+    A plain ``avg`` over doubles depends on summation order in its last
+    bits, so two runs (or two engines) can disagree. Summing scaled integers
+    is exact; one division then rounds once. Nulls are skipped; no rows or
+    only nulls give null."""
+    n = F.count(_c(col))
+    return F.try_divide(scaled_sum(col, scale), n) / (10 ** scale)

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.plans import fixtures, ratings, tweets
+from kestrel.plans import fixtures, ratings, trips, tweets
+from kestrel.plans.oracle import BFS_TARGET_AREA, SUPPLY_TARGET
+from kestrel.operators import graph
 from kestrel.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +75,49 @@ def rating_queries() -> dict[str, Query]:
     }
 
 
+def _trips(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(fixtures.trips(prepare(spark), sf_dir))
+    return run
+
+
+def supply_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shortest supplier-to-supplier routes through shared parts (depth 2)."""
+    vertices, edges = fixtures.supply_graph(prepare(spark), sf_dir)
+    is_supplier = F.col("id").startswith("S")
+    hops = graph.bfs_first_hops(vertices, edges, is_supplier & (F.col("id") != SUPPLY_TARGET),
+                                F.col("id") == SUPPLY_TARGET)
+    return graph.bfs_summary(hops, end=SUPPLY_TARGET)
+
+
+def trip_queries() -> dict[str, Query]:
+    out = {
+        "trips_record_count": _trips(trips.record_count),
+        "trips_vertices": _trips(trips.vertices),
+        "trips_edges": _trips(trips.edges),
+        "trips_triplets": _trips(trips.trip_triplets),
+        "trips_same_area": _trips(trips.same_area_trips),
+        "trips_same_area_count": _trips(trips.same_area_count),
+        "trips_bfs_summary": _trips(lambda t: trips.bfs_to(t, BFS_TARGET_AREA)),
+        "supply_bfs_summary": supply_bfs,
+        "trips_unique_vertices": _trips(trips.unique_vertices),
+        "trips_weighted_edges": _trips(trips.weighted_edges),
+        "trips_weighted_pagerank": _trips(trips.weighted_pagerank),
+        "trips_pagerank": _trips(trips.standard_pagerank),
+        "trips_fare_table": _trips(trips.fare_table),
+        "trips_avg_fare_by_distance": _trips(lambda t: trips.average_fare_by(t, "distance")),
+        "trips_avg_fare_by_duration": _trips(lambda t: trips.average_fare_by(t, "duration")),
+        "trips_avg_fare_by_hour": _trips(lambda t: trips.average_fare_by(t, "start_hour")),
+        "trips_fare_correlations": _trips(trips.fare_correlations),
+    }
+    for column, _lo, _hi, _bins in trips.FARE_HISTOGRAMS:
+        out[f"trips_histogram_{column}"] = _trips(lambda t, c=column: trips.fare_histogram(t, c))
+    return out
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(tweet_queries())
     out.update(rating_queries())
+    out.update(trip_queries())
     return out

@@ -99,14 +99,14 @@ def ratings_sql() -> dict[str, str]:
         "ratings_genre_counts": per_genre + (
             "SELECT genre, count(*) AS count FROM vg JOIN ratings USING (movieId) GROUP BY genre"),
         "ratings_genre_average": per_genre + (
-            "SELECT genre, round(avg(rating), 9) AS avg_rating, count(rating) AS rating_count "
+            "SELECT genre, sum(CAST(round(rating * 10) AS BIGINT)) / count(rating) / 10 AS avg_rating, count(rating) AS rating_count "
             "FROM vg JOIN ratings USING (movieId) GROUP BY genre"),
         "ratings_year_share": years + (
             "SELECT year, count, count / (SELECT sum(count) FROM y) * 100 AS percentage FROM y"),
         "ratings_years": years + (
             "SELECT DISTINCT TRY_CAST(year AS INTEGER) AS year FROM y WHERE TRY_CAST(year AS INTEGER) IS NOT NULL"),
         "ratings_top_movies": w + (
-            "SELECT movieId, title, genres, round(avg(rating), 9) AS avg_rating, "
+            "SELECT movieId, title, genres, sum(CAST(round(rating * 10) AS BIGINT)) / count(rating) / 10 AS avg_rating, "
             "count(rating) AS rating_count FROM movies JOIN ratings USING (movieId) "
             "GROUP BY movieId, title, genres "
             "ORDER BY avg_rating DESC NULLS LAST, movieId LIMIT 10"),
@@ -120,8 +120,193 @@ def ratings_sql() -> dict[str, str]:
     }
 
 
+
+
+# --- trips ------------------------------------------------------------------
+
+TRIPS = """trips AS (
+  SELECT l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS trip_start,
+         l_partkey AS trip_seconds, l_quantity AS trip_miles, l_extendedprice AS fare,
+         c_nationkey AS pickup_area,
+         CAST(41.0 AS DOUBLE) + c_nationkey * CAST(0.01 AS DOUBLE) AS pickup_lat,
+         CAST(-87.0 AS DOUBLE) - c_nationkey * CAST(0.01 AS DOUBLE) AS pickup_lon,
+         c_custkey % 2 AS pickup_tract,
+         s_nationkey AS dropoff_area,
+         CAST(41.0 AS DOUBLE) + s_nationkey * CAST(0.01 AS DOUBLE) AS dropoff_lat,
+         CAST(-87.0 AS DOUBLE) - s_nationkey * CAST(0.01 AS DOUBLE) AS dropoff_lon,
+         s_suppkey % 2 AS dropoff_tract
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       JOIN customer ON o_custkey = c_custkey
+       JOIN supplier ON l_suppkey = s_suppkey),
+verts AS (
+  SELECT DISTINCT * FROM (
+    SELECT pickup_area AS id, pickup_lat AS latitude, pickup_lon AS longitude, pickup_tract AS CensusTract
+    FROM trips WHERE pickup_area IS NOT NULL AND pickup_lat IS NOT NULL
+                 AND pickup_lon IS NOT NULL AND pickup_tract IS NOT NULL
+    UNION ALL
+    SELECT dropoff_area, dropoff_lat, dropoff_lon, dropoff_tract
+    FROM trips WHERE dropoff_area IS NOT NULL AND dropoff_lat IS NOT NULL
+                 AND dropoff_lon IS NOT NULL AND dropoff_tract IS NOT NULL)),
+edges AS (
+  SELECT pickup_area AS src, dropoff_area AS dst, trip_miles AS TripMiles,
+         trip_seconds AS TripSeconds, fare AS Fare
+  FROM trips WHERE pickup_area IS NOT NULL AND dropoff_area IS NOT NULL AND trip_miles IS NOT NULL
+               AND trip_seconds IS NOT NULL AND fare IS NOT NULL),
+uverts AS (
+  SELECT id,
+         first(latitude ORDER BY latitude, longitude, CensusTract) AS latitude,
+         first(longitude ORDER BY latitude, longitude, CensusTract) AS longitude,
+         first(CensusTract ORDER BY latitude, longitude, CensusTract) AS CensusTract
+  FROM verts WHERE id IS NOT NULL GROUP BY id),
+fares AS (
+  SELECT * FROM (
+    SELECT CAST(hour(trip_start) AS INTEGER) AS start_hour, CAST(trip_miles AS DOUBLE) AS distance,
+           CAST(trip_seconds AS DOUBLE) AS duration, CAST(fare AS DOUBLE) AS fare_amount FROM trips)
+  WHERE start_hour IS NOT NULL AND distance IS NOT NULL AND duration IS NOT NULL
+        AND fare_amount IS NOT NULL)"""
+
+WEIGHTED = """wedges AS (
+  SELECT * FROM (
+    SELECT CAST(pickup_area AS INTEGER) AS src, CAST(dropoff_area AS INTEGER) AS dst,
+           sum(trip_miles) AS weight
+    FROM trips GROUP BY 1, 2)
+  WHERE src IS NOT NULL AND dst IS NOT NULL AND weight IS NOT NULL),
+nedges AS (
+  SELECT src, dst, weight, sumOut,
+         CASE WHEN sumOut = 0 THEN CAST(0 AS DOUBLE) ELSE weight / sumOut END AS norm_weight
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY src) AS sumOut FROM wedges))"""
+
+SUPPLY = """sverts AS (
+  SELECT 'S' || s_suppkey AS id FROM supplier
+  UNION ALL SELECT 'P' || p_partkey AS id FROM part),
+sedges AS (
+  SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst, l_quantity AS TripMiles FROM lineitem
+  UNION ALL
+  SELECT 'P' || l_partkey AS src, 'S' || l_suppkey AS dst, l_quantity AS TripMiles FROM lineitem)"""
+
+
+def _bfs_sql(prefix: str, verts: str, edges: str, from_cond: str, target_sql: str,
+             max_len: int = 10) -> str:
+    """Shortest-path first legs by a recursive hop-distance CTE, summarised
+    per start: the smallest first-edge miles over shortest paths."""
+    return prefix + f""",
+ids AS (SELECT DISTINCT id FROM {verts}),
+known AS (SELECT * FROM {edges} WHERE src IN (SELECT id FROM ids) AND dst IN (SELECT id FROM ids)),
+pairs AS (SELECT DISTINCT src, dst FROM known),
+dist(id, hops) AS (
+  SELECT id, 0 FROM ids WHERE id = {target_sql}
+  UNION
+  SELECT p.src, d.hops + 1 FROM pairs p JOIN dist d ON p.dst = d.id WHERE d.hops < {max_len}),
+best AS (SELECT id, min(hops) AS hops FROM dist GROUP BY id),
+starts AS (SELECT b.id, b.hops FROM best b JOIN (SELECT DISTINCT id FROM {verts} WHERE {from_cond}) f USING (id)),
+depth AS (SELECT min(hops) AS d FROM starts)
+SELECT s.id AS startComm, {target_sql} AS landmark, min(k.TripMiles) AS shortestMiles
+FROM starts s JOIN known k ON k.src = s.id JOIN best b ON b.id = k.dst
+WHERE s.hops = (SELECT d FROM depth) AND b.hops = (SELECT d FROM depth) - 1
+GROUP BY s.id"""
+
+
+def _weighted_pagerank_sql(prefix: str, rounds: int = 10, damping: float = 0.85) -> str:
+    parts = [prefix + ",",
+             "n AS (SELECT count(*) AS n FROM uverts),",
+             "r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / (SELECT n FROM n) AS pagerank FROM uverts),"]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"r{i} AS MATERIALIZED (SELECT u.id, (CAST(1 AS DOUBLE) - CAST({damping} AS DOUBLE)) / (SELECT n FROM n)"
+            f" + CAST({damping} AS DOUBLE) * coalesce(c.total, CAST(0 AS DOUBLE)) AS pagerank"
+            f" FROM uverts u LEFT JOIN (SELECT e.dst AS id, sum(r.pagerank * e.norm_weight) AS total"
+            f" FROM nedges e JOIN r{i - 1} r ON r.id = e.src GROUP BY e.dst) c USING (id))"
+            + ("," if i < rounds else ""))
+    parts.append(f"SELECT id, round(pagerank, 9) AS pagerank FROM r{rounds}")
+    return "\n".join(parts)
+
+
+def _pagerank_sql(prefix: str, reset: float = 0.15, tol: float = 0.01, steps: int = 120) -> str:
+    """Dynamic PageRank unrolled for ``steps`` rounds (more than it needs to
+    converge; rounds after convergence change nothing), then scaled."""
+    keep = f"(CAST(1 AS DOUBLE) - CAST({reset} AS DOUBLE))"
+    first = f"({keep} * (CAST({reset} AS DOUBLE) / {keep}))"
+    parts = [prefix + ",",
+             "pids AS (SELECT DISTINCT id FROM uverts),",
+             "pknown AS (SELECT src, dst FROM edges WHERE src IN (SELECT id FROM pids) AND dst IN (SELECT id FROM pids)),",
+             "pdeg AS (SELECT src, count(*) AS deg FROM pknown GROUP BY src),",
+             "pw AS MATERIALIZED (SELECT k.src, k.dst, count(*) / max(d.deg) AS w FROM pknown k JOIN pdeg d USING (src) GROUP BY k.src, k.dst),",
+             f"s0 AS MATERIALIZED (SELECT id, {first} AS pr, {first} AS delta, true AS active FROM pids),"]
+    for i in range(1, steps + 1):
+        parts.append(
+            f"m{i} AS MATERIALIZED (SELECT w.dst AS id, sum(s.delta * w.w) AS msg FROM pw w JOIN s{i - 1} s ON w.src = s.id"
+            f" WHERE s.active AND s.delta > {tol} GROUP BY w.dst),")
+        parts.append(
+            f"s{i} AS MATERIALIZED (SELECT s.id,"
+            f" CASE WHEN m.msg IS NULL THEN s.pr ELSE s.pr + {keep} * m.msg END AS pr,"
+            f" CASE WHEN m.msg IS NULL THEN s.delta ELSE (s.pr + {keep} * m.msg) - s.pr END AS delta,"
+            f" m.msg IS NOT NULL AS active FROM s{i - 1} s LEFT JOIN m{i} m USING (id))"
+            + ("," if i < steps else ""))
+    parts.append(f"SELECT id, round(pr * (SELECT count(*) FROM s{steps}) / (SELECT sum(pr) FROM s{steps}), 9)"
+                 f" AS pagerank FROM s{steps}")
+    return "\n".join(parts)
+
+
+def _histogram_sql(prefix: str, column: str, lo: float, hi: float, bins: int) -> str:
+    width = (hi - lo) / bins
+    return prefix + f""",
+counted AS (
+  SELECT CAST(least(floor({bins} * ({column} - CAST({lo} AS DOUBLE)) / (CAST({hi} AS DOUBLE) - CAST({lo} AS DOUBLE))) + 1, {bins}) AS INTEGER) AS bin,
+         count(*) AS count
+  FROM fares WHERE {column} BETWEEN {lo} AND {hi} GROUP BY 1),
+allbins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, {bins} + 1))
+SELECT a.bin, CAST({lo} AS DOUBLE) + (a.bin - 1) * CAST({width} AS DOUBLE) AS bin_start,
+       CAST({lo} AS DOUBLE) + a.bin * CAST({width} AS DOUBLE) AS bin_end,
+       CAST(coalesce(c.count, 0) AS BIGINT) AS count
+FROM allbins a LEFT JOIN counted c USING (bin)"""
+
+
+BFS_TARGET_AREA = 7
+SUPPLY_TARGET = "S7"
+
+
+def trips_sql() -> dict[str, str]:
+    from kestrel.plans.trips import FARE_HISTOGRAMS
+    w = _with(TRIPS)
+    ww = _with(TRIPS, WEIGHTED)
+    fare_avg = "SELECT {k}, sum(CAST(round(fare_amount * 100) AS BIGINT)) / count(fare_amount) / 100 AS avg_fare FROM fares GROUP BY {k}"
+    out = {
+        "trips_record_count": w + "SELECT count(*) AS record_count FROM trips",
+        "trips_vertices": w + "SELECT * FROM verts",
+        "trips_edges": w + "SELECT * FROM edges",
+        "trips_triplets": w + (
+            "SELECT e.src, e.dst, e.TripMiles, e.TripSeconds, e.Fare, s.latitude AS srcLat, "
+            "s.longitude AS srcLon, s.CensusTract AS srcTract, d.latitude AS dstLat, "
+            "d.longitude AS dstLon, d.CensusTract AS dstTract "
+            "FROM edges e LEFT JOIN verts s ON e.src = s.id LEFT JOIN verts d ON e.dst = d.id"),
+        "trips_same_area": w + "SELECT * FROM edges WHERE src = dst",
+        "trips_same_area_count": w + "SELECT count(*) AS same_area_count FROM edges WHERE src = dst",
+        "trips_bfs_summary": _bfs_sql("WITH RECURSIVE " + TRIPS, "verts", "edges",
+                                      f"id <> {BFS_TARGET_AREA}", str(BFS_TARGET_AREA)),
+        "supply_bfs_summary": _bfs_sql("WITH RECURSIVE " + SUPPLY, "sverts", "sedges",
+                                       f"id LIKE 'S%' AND id <> '{SUPPLY_TARGET}'", f"'{SUPPLY_TARGET}'"),
+        "trips_unique_vertices": w + "SELECT * FROM uverts",
+        "trips_weighted_edges": ww + "SELECT * FROM nedges",
+        "trips_weighted_pagerank": _weighted_pagerank_sql("WITH " + TRIPS + ",\n" + WEIGHTED),
+        "trips_pagerank": _pagerank_sql("WITH " + TRIPS),
+        "trips_fare_table": w + "SELECT * FROM fares",
+        "trips_avg_fare_by_distance": w + fare_avg.format(k="distance"),
+        "trips_avg_fare_by_duration": w + fare_avg.format(k="duration"),
+        "trips_avg_fare_by_hour": w + fare_avg.format(k="start_hour"),
+        "trips_fare_correlations": w + (
+            "SELECT round(covar_pop(distance, fare_amount) / nullif(stddev_pop(distance) * stddev_pop(fare_amount), 0), 9) AS corr_distance, "
+            "round(covar_pop(duration, fare_amount) / nullif(stddev_pop(duration) * stddev_pop(fare_amount), 0), 9) AS corr_duration, "
+            "round(covar_pop(start_hour, fare_amount) / nullif(stddev_pop(start_hour) * stddev_pop(fare_amount), 0), 9) AS corr_hour "
+            "FROM fares"),
+    }
+    for column, lo, hi, bins in FARE_HISTOGRAMS:
+        out[f"trips_histogram_{column}"] = _histogram_sql(w.rstrip("\n"), column, lo, hi, bins)
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(tweets_sql())
     out.update(ratings_sql())
+    out.update(trips_sql())
     return out
