@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.plans import fixtures, ratings, trips, tweets
+from kestrel.plans import fixtures, logs, ratings, trips, tweets
+from kestrel.streaming import logs as stream_logs
 from kestrel.plans.oracle import BFS_TARGET_AREA, SUPPLY_TARGET
 from kestrel.operators import graph
 from kestrel.session import prepare
@@ -115,9 +116,48 @@ def trip_queries() -> dict[str, Query]:
     return out
 
 
+def _ntz(df: DataFrame, *columns: str) -> DataFrame:
+    """Timestamps as wall-clock values (UTC), readable alike in any client zone."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+def _lines(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(logs.with_watermark(fixtures.log_lines(prepare(spark), sf_dir)))
+    return run
+
+
+def _stream(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(prepare(spark), stream_logs.events_path(sf_dir)).result
+    return run
+
+
+def log_queries() -> dict[str, Query]:
+    return {
+        "logs_lines": _lines(lambda l: _ntz(l, "timestamp")),
+        "logs_datanode_windows": _lines(
+            lambda l: _ntz(logs.datanode_windows(l), "window_start", "window_end")),
+        "logs_bytes_per_host": _lines(lambda l: logs.ranked_hosts(logs.bytes_per_host(l))),
+        "logs_info_block_counts": _lines(logs.info_block_counts),
+        "logs_lines_stream": _stream(
+            lambda s, p: _ntz_run(stream_logs.stream_lines(s, p), "timestamp")),
+        "logs_datanode_windows_stream": _stream(
+            lambda s, p: _ntz_run(stream_logs.stream_datanode_windows(s, p), "window_start", "window_end")),
+        "logs_bytes_per_host_stream": _stream(stream_logs.stream_bytes_per_host),
+        "logs_info_block_counts_stream": _stream(stream_logs.stream_info_block_counts),
+    }
+
+
+def _ntz_run(run, *columns: str):
+    run.result = _ntz(run.result, *columns)
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(tweet_queries())
     out.update(rating_queries())
     out.update(trip_queries())
+    out.update(log_queries())
     return out

@@ -304,9 +304,50 @@ def trips_sql() -> dict[str, str]:
     return out
 
 
+# --- logs ---------------------------------------------------------------------
+
+LOGS = r"""logs AS (
+  SELECT CASE
+    WHEN event_type = 'click' THEN 'INFO dfs.DataNode$DataXceiver: Receiving block blk_' || event_id
+         || ' src: /10.0.0.' || user_id || ':50010 dest: /10.0.1.1:50010 of size '
+         || CAST(round(value * 100) AS BIGINT)
+    WHEN event_type = 'view' THEN 'INFO dfs.FSNamesystem: BLOCK* NameSystem.addStoredBlock: blk_' || event_id
+         || ' src: /10.0.0.' || user_id || ':50010 stored, size ' || CAST(round(value * 100) AS BIGINT)
+    WHEN event_type = 'purchase' THEN 'INFO dfs.DataNode$PacketResponder: Received block blk_' || event_id
+         || ' of size ' || CAST(round(value * 100) AS BIGINT) || ' from /10.0.0.' || user_id || ':50010'
+    WHEN event_type = 'signup' THEN 'INFO dfs.DataNode$DataXceiver: Served block blk_' || event_id
+         || ' to /10.0.0.' || user_id || ' of size ' || CAST(round(value * 100) AS BIGINT) || '   '
+    ELSE 'ERROR dfs.datanode: blk_' || event_id || ' src: /10.0.0.' || user_id || ':50010 checksum mismatch'
+  END AS value, ts AS timestamp
+  FROM events)"""
+
+HOST = r"regexp_extract(value, 'src:\s*/([\d\.]+):', 1)"
+TRAILING = r"TRY_CAST(regexp_extract(value, '(\d+)\s*$', 1) AS BIGINT)"
+
+
+def logs_sql() -> dict[str, str]:
+    w = _with(LOGS)
+    windows = w + (
+        ", buckets AS (SELECT time_bucket(INTERVAL 30 second, timestamp) AS b FROM logs "
+        "WHERE contains(value, 'DataNode'))\n"
+        "SELECT s AS window_start, s + INTERVAL 60 second AS window_end, count(*) AS datanode_count "
+        "FROM (SELECT unnest([b, b - INTERVAL 30 second]) AS s FROM buckets) GROUP BY s")
+    per_host = w + f"SELECT {HOST} AS hostname, CAST(sum({TRAILING}) AS BIGINT) AS total_bytes FROM logs GROUP BY 1"
+    info = w + (f"SELECT {HOST} AS hostname, count(*) AS count FROM logs "
+                "WHERE contains(value, 'INFO') AND contains(value, 'blk_') GROUP BY 1")
+    lines = w + "SELECT value, timestamp FROM logs"
+    return {
+        "logs_lines": lines, "logs_lines_stream": lines,
+        "logs_datanode_windows": windows, "logs_datanode_windows_stream": windows,
+        "logs_bytes_per_host": per_host, "logs_bytes_per_host_stream": per_host,
+        "logs_info_block_counts": info, "logs_info_block_counts_stream": info,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(tweets_sql())
     out.update(ratings_sql())
     out.update(trips_sql())
+    out.update(logs_sql())
     return out

@@ -21,3 +21,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     what the query uses (Catalyst prunes anyway; this makes it explicit)."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def stream_glob(sf_dir: str, name: str) -> str:
+    """A path pattern matching exactly the file(s) of one table, for a file
+    stream source (which needs a directory or a pattern, not a bare file)."""
+    return f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
