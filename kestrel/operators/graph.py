@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from kestrel.session import checkpoint_dir
+from kestrel.session import materialize
 
 
 # --- tables ---------------------------------------------------------------
@@ -100,10 +100,10 @@ def _restrict_to(edges: DataFrame, ids: DataFrame) -> DataFrame:
             .join(ids.select(F.col("id").alias("dst")), "dst", "left_semi"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Materialise and cut lineage through the reliable checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _cut(df: DataFrame, name: str) -> DataFrame:
+    """Materialise a round's result as a table in the shared checkpoint
+    folder; the loop continues from a plain file scan."""
+    return materialize(df, name)
 
 
 # --- PageRank ----------------------------------------------------------------
@@ -116,24 +116,28 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
     ``rank(v) = (1 - d) / n + d * sum(rank(u) * norm_weight(u, v))`` over
     in-edges from known vertices. There is no dangling-mass term, so rank
     may leak (sum below 1), as in the reference. Returns (id, pagerank)."""
-    ids = vertex_ids.select("id").distinct()
+    ids = _cut(vertex_ids.select("id").distinct(), "wpagerank-ids")
     n = ids.count()
     if n == 0:
         return ids.withColumn("pagerank", F.lit(None).cast("double"))
     edges = (norm_edges.select("src", "dst", "norm_weight")
              .repartition("src").persist(StorageLevel.MEMORY_AND_DISK))
     base = (1.0 - damping) / n
-    rank = _cut(ids.withColumn("pagerank", F.lit(1.0 / n)))
+    members = ids.select("id", F.lit(True).alias("_member"), F.lit(None).cast("double").alias("contrib"))
+    rank = ids.withColumn("pagerank", F.lit(1.0 / n))
     for i in range(iterations):
         contrib = (edges.join(rank.withColumnRenamed("id", "src"), "src")
-                   .select(F.col("dst").alias("id"),
+                   .select(F.col("dst").alias("id"), F.lit(None).cast("boolean").alias("_member"),
                            (F.col("pagerank") * F.col("norm_weight")).alias("contrib")))
-        summed = contrib.groupBy("id").agg(F.sum("contrib").alias("total_contrib"))
-        rank = (ids.join(summed, "id", "left")
-                .select("id", (F.lit(base) + F.lit(damping)
-                               * F.coalesce(F.col("total_contrib"), F.lit(0.0))).alias("pagerank")))
+        # One shuffle: vertex rows and contributions meet in one aggregation;
+        # contributions to ids outside the vertex table fall away.
+        summed = (members.unionByName(contrib).groupBy("id")
+                  .agg(F.max("_member").alias("_member"), F.sum("contrib").alias("total_contrib"))
+                  .filter(F.col("_member")))
+        rank = summed.select("id", (F.lit(base) + F.lit(damping)
+                                    * F.coalesce(F.col("total_contrib"), F.lit(0.0))).alias("pagerank"))
         if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-            rank = _cut(rank)
+            rank = _cut(rank, "wpagerank")
     edges.unpersist()
     return rank
 
@@ -150,7 +154,7 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     rank and that becomes its change. Rounds stop when nothing is sent; ranks
     are then scaled to sum to the number of vertices. Edges with an end
     outside the vertex table are ignored. Returns (id, pagerank)."""
-    ids = vertex_ids.select("id").distinct()
+    ids = _cut(vertex_ids.select("id").distinct(), "pagerank-ids")
     known = _restrict_to(edges.select("src", "dst"), ids)
     out_deg = known.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
     weights = (known.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
@@ -159,26 +163,29 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
                .repartition("src").persist(StorageLevel.MEMORY_AND_DISK))
     keep = 1.0 - reset
     first = keep * (reset / keep)
+    sending = F.col("active") & (F.col("delta") > tol)
+    # The state feeds each round twice (as senders and as the base), so each
+    # round is written out: the plan stays a file scan instead of doubling.
     state = _cut(ids.select("id", F.lit(first).alias("pr"), F.lit(first).alias("delta"),
-                            F.lit(True).alias("active")))
-    for i in range(max_rounds):
-        senders = state.filter(F.col("active") & (F.col("delta") > tol)).select(
-            F.col("id").alias("src"), "delta")
+                            F.lit(True).alias("active")), "pagerank")
+    null_d = F.lit(None).cast("double")
+    round_no = 0
+    while round_no < max_rounds and state.filter(sending).limit(1).count():
+        round_no += 1
+        senders = state.filter(sending).select(F.col("id").alias("src"), "delta")
         msgs = (weights.join(senders, "src")
-                .groupBy(F.col("dst").alias("id"))
-                .agg(F.sum(F.col("delta") * F.col("w")).alias("msg")))
-        msgs = _cut(msgs)
-        if msgs.isEmpty():
-            break
+                .select(F.col("dst").alias("id"), null_d.alias("pr"), null_d.alias("delta"),
+                        (F.col("delta") * F.col("w")).alias("msg")))
+        merged = (state.select("id", "pr", "delta", null_d.alias("msg")).unionByName(msgs)
+                  .groupBy("id").agg(F.max("pr").alias("pr"), F.max("delta").alias("delta"),
+                                     F.sum("msg").alias("msg")))
         new_pr = F.col("pr") + F.lit(keep) * F.col("msg")
         got = F.col("msg").isNotNull()
-        state = (state.join(msgs, "id", "left")
-                 .select("id",
-                         F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
-                         F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
-                         got.alias("active")))
-        if (i + 1) % checkpoint_every == 0:
-            state = _cut(state)
+        state = _cut(merged.select(
+            "id",
+            F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
+            F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
+            got.alias("active")), "pagerank")
     weights.unpersist()
     total = state.agg(F.sum("pr")).scalar()
     count = state.agg(F.count(F.lit(1))).scalar()
@@ -204,42 +211,60 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
     backwards from the targets over distinct (src, dst) pairs; state is one
     row per (vertex, target) reached. An edge s -> u starts a shortest path
     to t exactly when dist(s, t) = D and dist(u, t) = D - 1."""
-    spark = vertices.sparkSession
-    ids = vertices.select("id").distinct()
+    # One small table of per-vertex flags, written once, so the loop never
+    # goes back to the (possibly huge) input the vertices came from.
+    flags = _cut(vertices.groupBy("id").agg(
+        F.max(F.coalesce(from_cond, F.lit(False))).alias("_from"),
+        F.max(F.coalesce(to_cond, F.lit(False))).alias("_to")), "bfs-vertices")
+    ids = flags.select("id")
     known = _restrict_to(edges, ids)
     attrs = [c for c in known.columns if c not in ("src", "dst")]
-    starts = vertices.filter(from_cond).select("id").distinct()
-    targets = vertices.filter(to_cond).select("id").distinct()
+    starts = flags.filter("_from").select("id")
+    targets = flags.filter("_to").select("id")
     empty_schema = (known.select(F.col("src").alias("start"), F.col("dst").alias("end"),
                                  F.lit(0).alias("hops"), F.col("dst").alias("next_id"), *attrs)
                     .limit(0))
 
     zero = targets.join(starts, "id", "left_semi")
-    if not zero.isEmpty():
+    if zero.limit(1).count():
         return zero.select(F.col("id").alias("start"), F.col("id").alias("end"),
                            F.lit(0).alias("hops"), F.lit(None).cast(ids.schema["id"].dataType).alias("next_id"),
                            *[F.lit(None).cast(known.schema[a].dataType).alias(a) for a in attrs])
 
     pairs = (known.select("src", "dst").distinct()
              .repartition("dst").persist(StorageLevel.MEMORY_AND_DISK))
-    frontier = _cut(targets.select("id", F.col("id").alias("target")))
-    visited = frontier.withColumn("hops", F.lit(0))
+    start_flags = flags.select("id", F.col("_from").alias("_is_start"))
+    # Each level is written out once; `visited` is the union of the level
+    # tables, so the plan grows by one file scan per level.
+    frontier = _cut(targets.select("id", F.col("id").alias("target"), F.lit(False).alias("_is_start"),
+                                   F.lit(0).alias("hops")), "bfs-level")
+    levels = [frontier]
     depth = None
     for k in range(1, max_path_length + 1):
-        step = (pairs.join(frontier.withColumnRenamed("id", "dst"), "dst")
+        visited = levels[0].select("id", "target")
+        for level in levels[1:]:
+            visited = visited.unionByName(level.select("id", "target"))
+        step = (pairs.join(frontier.select(F.col("id").alias("dst"), "target"), "dst")
                 .select(F.col("src").alias("id"), "target").distinct()
-                .join(visited.select("id", "target"), ["id", "target"], "left_anti"))
-        step = _cut(step)
-        if step.isEmpty():
+                .join(visited, ["id", "target"], "left_anti")
+                .join(start_flags, "id", "left")
+                .select("id", "target", F.coalesce("_is_start", F.lit(False)).alias("_is_start"),
+                        F.lit(k).alias("hops")))
+        step = _cut(step, "bfs-level")
+        stats = step.agg(F.count(F.lit(1)).alias("n"), F.max("_is_start").alias("hit")).first()
+        if not stats["n"]:
             break
-        visited = _cut(visited.unionByName(step.withColumn("hops", F.lit(k))))
+        levels.append(step)
         frontier = step
-        if not step.join(starts, "id", "left_semi").isEmpty():
+        if stats["hit"]:
             depth = k
             break
     pairs.unpersist()
     if depth is None:
         return empty_schema
+    visited = levels[0]
+    for level in levels[1:]:
+        visited = visited.unionByName(level)
 
     at_depth = (visited.filter(F.col("hops") == depth).join(starts, "id", "left_semi")
                 .select(F.col("id").alias("src"), "target"))

@@ -72,3 +72,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/kestrel-{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back: one job, and the returned frame's plan is a file scan, so
+    iterative loops keep a constant-size plan. The table outlives executor
+    loss, unlike a cache or a local checkpoint."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
