@@ -63,10 +63,13 @@ def pearson(x: Column | str, y: Column | str) -> Column:
 
     Written as covariance over the product of standard deviations through
     ``try_divide``: a constant column yields null, where ``corr`` fails the
-    query under ANSI mode. Rows with a null in either column are skipped, so
-    drop nulls first if a null should not simply be ignored."""
+    query under ANSI mode. Pairs with a null on either side are skipped by
+    all three aggregates alike (each side is masked where the other is
+    null), so drop nulls first if a null should not simply be ignored."""
     x, y = _c(x), _c(y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    xm = F.when(y.isNotNull(), x)
+    ym = F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataFrame:

@@ -16,7 +16,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     pass over the input and guesses types per file."""
     reader = spark.read.option("header", header)
     if timestamp_format:
-        reader = reader.option("timestampFormat", timestamp_format)
+        # The pattern applies to zoned and wall-clock (NTZ) timestamp columns.
+        reader = (reader.option("timestampFormat", timestamp_format)
+                  .option("timestampNTZFormat", timestamp_format))
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
