@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.plans import fixtures, logs, ratings, trips, tweets
+from kestrel.plans import documents, fixtures, logs, ratings, trips, tweets
+from kestrel.sources.tables import read_table
 from kestrel.streaming import logs as stream_logs
 from kestrel.plans.oracle import BFS_TARGET_AREA, SUPPLY_TARGET
 from kestrel.operators import graph
@@ -154,10 +155,17 @@ def _ntz_run(run, *columns: str):
     return run
 
 
+def document_queries() -> dict[str, Query]:
+    def hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return documents.hashtag_counts(read_table(prepare(spark), sf_dir, "documents", ["text"]))
+    return {"documents_hashtags": hashtags}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(tweet_queries())
     out.update(rating_queries())
     out.update(trip_queries())
     out.update(log_queries())
+    out.update(document_queries())
     return out

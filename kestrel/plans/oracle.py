@@ -350,4 +350,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(ratings_sql())
     out.update(trips_sql())
     out.update(logs_sql())
+    out["documents_hashtags"] = (
+        r"SELECT hashtag, count(*) AS count FROM (SELECT unnest(regexp_extract_all(text, '#(\w+)', 1)) "
+        r"AS hashtag FROM documents) GROUP BY hashtag")
     return out

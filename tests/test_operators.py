@@ -93,3 +93,10 @@ def test_fill_and_drops(spark):
     assert clean.drop_any_null(df).count() == 1
     assert clean.not_null(df, ["a"]).count() == 2
     assert clean.fill(df, {"b": 0.0}).filter(F.col("b") == 0.0).count() == 1
+
+
+def test_hashtag_counts(spark):
+    from kestrel.plans.documents import hashtag_counts
+    docs = spark.createDataFrame([("#spark is #fast, #spark!",), ("none",), (None,)], "text string")
+    got = {r.hashtag: r["count"] for r in hashtag_counts(docs).collect()}
+    assert got == {"spark": 2, "fast": 1}
