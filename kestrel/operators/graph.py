@@ -100,10 +100,11 @@ def _restrict_to(edges: DataFrame, ids: DataFrame) -> DataFrame:
             .join(ids.select(F.col("id").alias("dst")), "dst", "left_semi"))
 
 
-def _cut(df: DataFrame, name: str) -> DataFrame:
+def _cut(df: DataFrame, name: str, metrics=None):
     """Materialise a round's result as a table in the shared checkpoint
-    folder; the loop continues from a plain file scan."""
-    return materialize(df, name)
+    folder; the loop continues from a plain file scan. With ``metrics``,
+    also returns their values, computed by the same job."""
+    return materialize(df, name, metrics)
 
 
 # --- PageRank ----------------------------------------------------------------
@@ -155,22 +156,26 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     are then scaled to sum to the number of vertices. Edges with an end
     outside the vertex table are ignored. Returns (id, pagerank)."""
     ids = _cut(vertex_ids.select("id").distinct(), "pagerank-ids")
-    known = _restrict_to(edges.select("src", "dst"), ids)
+    # One shuffle by src serves the multiplicity count, the out-degree and
+    # their join; the cached weights stay partitioned by src for the rounds.
+    known = _restrict_to(edges.select("src", "dst"), ids).repartition("src")
     out_deg = known.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
     weights = (known.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
                .join(out_deg, "src")
                .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"))
-               .repartition("src").persist(StorageLevel.MEMORY_AND_DISK))
+               .persist(StorageLevel.MEMORY_AND_DISK))
     keep = 1.0 - reset
     first = keep * (reset / keep)
     sending = F.col("active") & (F.col("delta") > tol)
+    senders_metric = [F.count(F.when(sending, 1)).alias("senders")]
     # The state feeds each round twice (as senders and as the base), so each
     # round is written out: the plan stays a file scan instead of doubling.
-    state = _cut(ids.select("id", F.lit(first).alias("pr"), F.lit(first).alias("delta"),
-                            F.lit(True).alias("active")), "pagerank")
+    # The same write job counts next round's senders.
+    state, seen = _cut(ids.select("id", F.lit(first).alias("pr"), F.lit(first).alias("delta"),
+                                  F.lit(True).alias("active")), "pagerank", senders_metric)
     null_d = F.lit(None).cast("double")
     round_no = 0
-    while round_no < max_rounds and state.filter(sending).limit(1).count():
+    while round_no < max_rounds and seen["senders"]:
         round_no += 1
         senders = state.filter(sending).select(F.col("id").alias("src"), "delta")
         msgs = (weights.join(senders, "src")
@@ -181,11 +186,11 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
                                      F.sum("msg").alias("msg")))
         new_pr = F.col("pr") + F.lit(keep) * F.col("msg")
         got = F.col("msg").isNotNull()
-        state = _cut(merged.select(
+        state, seen = _cut(merged.select(
             "id",
             F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
             F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
-            got.alias("active")), "pagerank")
+            got.alias("active")), "pagerank", senders_metric)
     weights.unpersist()
     total = state.agg(F.sum("pr")).scalar()
     count = state.agg(F.count(F.lit(1))).scalar()
@@ -217,7 +222,8 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
         F.max(F.coalesce(from_cond, F.lit(False))).alias("_from"),
         F.max(F.coalesce(to_cond, F.lit(False))).alias("_to")), "bfs-vertices")
     ids = flags.select("id")
-    known = _restrict_to(edges, ids)
+    # Used by the search (as distinct pairs) and by the final first-hop join.
+    known = _restrict_to(edges, ids).persist(StorageLevel.MEMORY_AND_DISK)
     attrs = [c for c in known.columns if c not in ("src", "dst")]
     starts = flags.filter("_from").select("id")
     targets = flags.filter("_to").select("id")
@@ -231,8 +237,10 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
                            F.lit(0).alias("hops"), F.lit(None).cast(ids.schema["id"].dataType).alias("next_id"),
                            *[F.lit(None).cast(known.schema[a].dataType).alias(a) for a in attrs])
 
-    pairs = (known.select("src", "dst").distinct()
-             .repartition("dst").persist(StorageLevel.MEMORY_AND_DISK))
+    # Partitioning by dst first lets the distinct reuse that partitioning
+    # (one shuffle), and the frontier joins on dst then move only the frontier.
+    pairs = (known.select("src", "dst").repartition("dst").distinct()
+             .persist(StorageLevel.MEMORY_AND_DISK))
     start_flags = flags.select("id", F.col("_from").alias("_is_start"))
     # Each level is written out once; `visited` is the union of the level
     # tables, so the plan grows by one file scan per level.
@@ -250,8 +258,8 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
                 .join(start_flags, "id", "left")
                 .select("id", "target", F.coalesce("_is_start", F.lit(False)).alias("_is_start"),
                         F.lit(k).alias("hops")))
-        step = _cut(step, "bfs-level")
-        stats = step.agg(F.count(F.lit(1)).alias("n"), F.max("_is_start").alias("hit")).first()
+        step, stats = _cut(step, "bfs-level", [F.count(F.lit(1)).alias("n"),
+                                               F.max("_is_start").alias("hit")])
         if not stats["n"]:
             break
         levels.append(step)
@@ -261,6 +269,7 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
             break
     pairs.unpersist()
     if depth is None:
+        known.unpersist()
         return empty_schema
     visited = levels[0]
     for level in levels[1:]:
@@ -274,6 +283,15 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
                     F.lit(depth).alias("hops"), F.col("dst").alias("next_id"), *attrs))
 
 
+def min_per_pair(edges: DataFrame, attr: str) -> DataFrame:
+    """One edge per (src, dst) carrying the smallest ``attr`` of its parallel
+    edges. Feeding this to ``bfs_first_hops`` leaves ``bfs_summary`` unchanged
+    (the smallest first leg over shortest paths is the smallest over the
+    pair's edges) while the search and the first-hop join read distinct
+    pairs instead of every edge; the collapse combines map-side."""
+    return edges.groupBy("src", "dst").agg(F.min(attr).alias(attr))
+
+
 def bfs_summary(first_hops: DataFrame, end: object | None = None, attr: str = "TripMiles",
                 start_name: str = "startComm", end_name: str = "landmark",
                 value_name: str = "shortestMiles") -> DataFrame:

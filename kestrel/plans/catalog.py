@@ -87,7 +87,8 @@ def supply_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shortest supplier-to-supplier routes through shared parts (depth 2)."""
     vertices, edges = fixtures.supply_graph(prepare(spark), sf_dir)
     is_supplier = F.col("id").startswith("S")
-    hops = graph.bfs_first_hops(vertices, edges, is_supplier & (F.col("id") != SUPPLY_TARGET),
+    hops = graph.bfs_first_hops(vertices, graph.min_per_pair(edges, "TripMiles"),
+                                is_supplier & (F.col("id") != SUPPLY_TARGET),
                                 F.col("id") == SUPPLY_TARGET)
     return graph.bfs_summary(hops, end=SUPPLY_TARGET)
 

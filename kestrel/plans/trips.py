@@ -64,7 +64,7 @@ def same_area_count(trips: DataFrame) -> DataFrame:
 def bfs_to(trips: DataFrame, target, max_path_length: int = 10) -> DataFrame:
     """Q5: per start area, the smallest first-leg miles among shortest
     paths into ``target``; starts are all other areas."""
-    hops = graph.bfs_first_hops(vertices(trips), edges(trips),
+    hops = graph.bfs_first_hops(vertices(trips), graph.min_per_pair(edges(trips), "TripMiles"),
                                 F.col("id") != F.lit(target), F.col("id") == F.lit(target),
                                 max_path_length)
     return graph.bfs_summary(hops, end=target)

@@ -74,12 +74,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/kestrel-{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, metrics=None):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: one job, and the returned frame's plan is a file scan, so
     iterative loops keep a constant-size plan. The table outlives executor
-    loss, unlike a cache or a local checkpoint."""
+    loss, unlike a cache or a local checkpoint.
+
+    ``metrics`` (a list of aggregate Columns) are computed by the same job
+    through ``DataFrame.observe``; the call then returns ``(frame, values)``
+    with ``values`` a dict by alias. This saves loops a separate job per
+    round for their convergence check."""
+    from pyspark.sql import Observation
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    observation = None
+    if metrics:
+        observation = Observation(f"{name}-metrics")
+        df = df.observe(observation, *metrics)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    if observation is None:
+        return out
+    return out, observation.get
