@@ -300,3 +300,38 @@ def bfs_summary(first_hops: DataFrame, end: object | None = None, attr: str = "T
     hops = first_hops if end is None else first_hops.filter(F.col("end") == F.lit(end))
     return hops.groupBy(F.col("start").alias(start_name)).agg(
         F.min("end").alias(end_name), F.min(attr).alias(value_name))
+
+
+# --- a graph value with the calls the taxi analysis makes -------------------
+
+class PropertyGraph:
+    """Vertices ``(id, ...)`` and edges ``(src, dst, ...)`` as one value
+    (G3), with the GraphFrames-style calls the reference uses. Conditions
+    may be SQL text (``"id != '49'"``) or Columns."""
+
+    def __init__(self, vertices: DataFrame, edges: DataFrame):
+        self.vertices = vertices
+        self.edges = edges
+
+    @staticmethod
+    def _cond(expr: str | Column) -> Column:
+        return F.expr(expr) if isinstance(expr, str) else expr
+
+    def triplets(self) -> DataFrame:
+        """Edges with ``src_*`` / ``dst_*`` vertex attributes."""
+        attrs = [c for c in self.vertices.columns if c != "id"]
+        return triplets(self.edges, self.vertices,
+                        {a: f"src_{a}" for a in attrs}, {a: f"dst_{a}" for a in attrs})
+
+    def self_loops(self) -> DataFrame:
+        return self_loops(self.edges)
+
+    def bfs(self, fromExpr: str | Column, toExpr: str | Column,  # noqa: N803 - GraphFrames names
+            maxPathLength: int = 10) -> DataFrame:  # noqa: N803
+        """First legs of the shortest paths (see ``bfs_first_hops``)."""
+        return bfs_first_hops(self.vertices, self.edges, self._cond(fromExpr), self._cond(toExpr),
+                              maxPathLength)
+
+    def pageRank(self, resetProbability: float = 0.15, tol: float = 0.01) -> DataFrame:  # noqa: N802,N803
+        """``(id, pagerank)`` to a tolerance (see ``pagerank``)."""
+        return pagerank(self.vertices, self.edges, reset=resetProbability, tol=tol)

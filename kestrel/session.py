@@ -20,6 +20,29 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes a job reads.
+
+    Shuffles start with about one partition per ``partition_bytes`` of input
+    (at least 200, at most 100,000) and AQE merges the small ones after
+    measuring them, so partitions stay near the advisory size whatever the
+    selectivity. Skewed join partitions over 5x the median (and 1 GiB) are
+    split. Large streaming state goes to RocksDB instead of the JVM heap.
+    ``spark.checkpoint.dir`` must also be set, to shared storage."""
+    partitions = max(200, min(100_000, input_bytes // partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(app: str = "kestrel", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

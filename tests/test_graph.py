@@ -175,3 +175,22 @@ def test_bfs_start_that_is_a_target(spark):
     e = spark.createDataFrame([(1, 2, 1.0)], "src int, dst int, TripMiles double")
     hops = graph.bfs_first_hops(v, e, F.lit(True), F.col("id") == 2)
     assert [(r.start, r.end, r.hops) for r in hops.collect()] == [(2, 2, 0)]
+
+
+def test_property_graph_calls(spark):
+    v = spark.createDataFrame([(1, "a"), (2, "b"), (7, "t")], "id int, name string")
+    e = spark.createDataFrame([(1, 2, 1.0), (2, 7, 2.0), (2, 2, 0.5)], "src int, dst int, TripMiles double")
+    g = graph.PropertyGraph(v, e)
+    assert {(r.start, r.next_id) for r in g.bfs("id != 7", "id = 7").collect()} == {(2, 7)}
+    assert g.self_loops().count() == 1
+    assert set(g.triplets().columns) >= {"src_name", "dst_name"}
+    ranks = {r.id: r.pagerank for r in g.pageRank(resetProbability=0.15, tol=0.01).collect()}
+    want = ref_dynamic_pagerank([1, 2, 7], [(1, 2), (2, 7), (2, 2)])
+    assert all(abs(ranks[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_cluster_conf_sizes_partitions():
+    from kestrel.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)
+    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "200"

@@ -93,3 +93,15 @@ def test_sliding_windows_count_each_row_twice(utc):
     lines = fixtures.log_lines(spark, SMALL_DIR)
     rows = lines.filter(F.col("value").contains("DataNode")).count()
     assert sum(_batch_windows(spark).values()) == 2 * rows
+
+
+def test_processing_time_trigger_with_timed_stop(utc):
+    """ST8/ST9: a processing-time trigger, stopped after a fixed time."""
+    from kestrel.streaming.runner import run_stream
+    spark = utc
+    path = _write_replay(spark, [0, 1, 2, 3])
+    q = logs.info_block_counts(stream_logs.line_stream(spark, path, max_files_per_trigger=1))
+    run = run_stream(spark, q, "complete", name="timed", processing_time="1 second", timeout_s=12)
+    got = {r.hostname: r["count"] for r in run.result.collect()}
+    lines = fixtures.log_lines(spark, SMALL_DIR)
+    assert got == {r.hostname: r["count"] for r in logs.info_block_counts(lines).collect()}
