@@ -22,6 +22,10 @@ GENRE_SEPARATOR = r"\|"
 HASHTAG_PATTERN = r"#(\w+)"
 # ---------------------------------------------------------------------------
 
+# Stricter byte capture (our option, not the reference's rule): the number
+# after "size ", so a trailing port is not read as a byte count.
+LOG_SIZE_PATTERN = r"size (\d+)"
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -50,6 +54,11 @@ def log_trailing_number(line: Column | str) -> Column:
     return F.regexp_extract(_c(line), LOG_TRAILING_NUMBER_PATTERN, 1).try_cast("long")
 
 
+def log_size(line: Column | str) -> Column:
+    """The number after ``size`` in a line as a long; null when absent."""
+    return F.regexp_extract(_c(line), LOG_SIZE_PATTERN, 1).try_cast("long")
+
+
 def hashtags(text: Column | str) -> Column:
     """All hashtags of a text, without the '#', as an array."""
     return F.regexp_extract_all(_c(text), F.lit(HASHTAG_PATTERN), 1)

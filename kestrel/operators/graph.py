@@ -110,13 +110,20 @@ def _cut(df: DataFrame, name: str, metrics=None):
 # --- PageRank ----------------------------------------------------------------
 
 def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: float = 0.85,
-                      iterations: int = 10, checkpoint_every: int = 3) -> DataFrame:
+                      iterations: int = 10, checkpoint_every: int = 3,
+                      dangling: str = "leak") -> DataFrame:
     """Fixed-round weighted PageRank.
 
     Start at 1/n per vertex; each round
     ``rank(v) = (1 - d) / n + d * sum(rank(u) * norm_weight(u, v))`` over
-    in-edges from known vertices. There is no dangling-mass term, so rank
-    may leak (sum below 1), as in the reference. Returns (id, pagerank)."""
+    in-edges from known vertices. With ``dangling="leak"`` (the reference)
+    there is no dangling-mass term, so rank held by vertices without
+    out-weight, or sent to ids outside the vertex table, is lost and ranks
+    may sum below 1. ``dangling="redistribute"`` spreads that lost mass
+    evenly over all vertices each round, so ranks keep summing to 1.
+    Returns (id, pagerank)."""
+    if dangling not in ("leak", "redistribute"):
+        raise ValueError("dangling must be 'leak' or 'redistribute'")
     ids = _cut(vertex_ids.select("id").distinct(), "wpagerank-ids")
     n = ids.count()
     if n == 0:
@@ -135,8 +142,14 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
         summed = (members.unionByName(contrib).groupBy("id")
                   .agg(F.max("_member").alias("_member"), F.sum("contrib").alias("total_contrib"))
                   .filter(F.col("_member")))
-        rank = summed.select("id", (F.lit(base) + F.lit(damping)
-                                    * F.coalesce(F.col("total_contrib"), F.lit(0.0))).alias("pagerank"))
+        received = F.coalesce(F.col("total_contrib"), F.lit(0.0))
+        if dangling == "redistribute":
+            # Mass held before the round minus mass delivered to vertices:
+            # one-row scalars inside the plan.
+            held = rank.agg(F.sum("pagerank")).scalar()
+            delivered = summed.agg(F.coalesce(F.sum("total_contrib"), F.lit(0.0))).scalar()
+            received = received + (held - delivered) / F.lit(float(n))
+        rank = summed.select("id", (F.lit(base) + F.lit(damping) * received).alias("pagerank"))
         if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
             rank = _cut(rank, "wpagerank")
     edges.unpersist()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions.text import (LOG_BLOCK, LOG_DATANODE, LOG_INFO, log_host,
+from kestrel.functions.text import (LOG_BLOCK, LOG_DATANODE, LOG_INFO, log_host, log_size,
                                     log_trailing_number)
 
 # ---------------------------------------------------------------------------
@@ -40,14 +40,15 @@ def datanode_windows(lines: DataFrame, length: str = WINDOW_LENGTH,
                           F.col("window.end").alias("window_end"), "datanode_count")
 
 
-def bytes_per_host(lines: DataFrame) -> DataFrame:
+def bytes_per_host(lines: DataFrame, strict_size: bool = False) -> DataFrame:
     """Q5: sum of each line's trailing number per source host (ST3).
 
     Lines without a ``src:`` host group under ``''``; the trailing number
     may be a port rather than a size (a line ending ``:50010`` adds 50010),
-    as in the reference; lines without one add nothing."""
-    return (lines.select(log_host("value").alias("hostname"),
-                         log_trailing_number("value").alias("bytes"))
+    as in the reference; lines without one add nothing. ``strict_size=True``
+    reads the number after ``size `` instead."""
+    size = log_size("value") if strict_size else log_trailing_number("value")
+    return (lines.select(log_host("value").alias("hostname"), size.alias("bytes"))
             .groupBy("hostname").agg(F.sum("bytes").alias("total_bytes")))
 
 

@@ -42,9 +42,14 @@ def edges(trips: DataFrame) -> DataFrame:
                                     "Fare": "fare"})
 
 
-def trip_triplets(trips: DataFrame) -> DataFrame:
-    """Q3: edges with both ends' vertex attributes (11 columns)."""
-    t = graph.triplets(edges(trips), vertices(trips),
+def trip_triplets(trips: DataFrame, one_row_per_area: bool = False) -> DataFrame:
+    """Q3: edges with both ends' vertex attributes (11 columns).
+
+    As in the reference, an area with several vertex rows (one per census
+    tract) multiplies its edges; ``one_row_per_area=True`` joins one vertex
+    row per area instead, so there is exactly one output row per edge."""
+    verts = unique_vertices(trips) if one_row_per_area else vertices(trips)
+    t = graph.triplets(edges(trips), verts,
                        {"latitude": "srcLat", "longitude": "srcLon", "CensusTract": "srcTract"},
                        {"latitude": "dstLat", "longitude": "dstLon", "CensusTract": "dstTract"})
     return t.select("src", "dst", "TripMiles", "TripSeconds", "Fare",

@@ -70,26 +70,31 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder of this session.
-
-    Uses the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local-mode session without that setting (tests, a laptop) gets a fresh
-    temporary folder; on a cluster a missing setting is an error, because a
-    machine-local folder does not survive the loss of an executor.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    """The shared folder for checkpoints and written scratch tables.
+
+    Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one
+    already set on the SparkContext). Only a local-mode session without that
+    setting (tests, a laptop) gets a fresh temporary folder; on a cluster a
+    missing setting is an error, because a machine-local folder does not
+    survive the loss of an executor."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS, object store) before running iterative queries")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

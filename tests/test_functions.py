@@ -107,3 +107,14 @@ def test_exact_mean_is_order_free(spark):
 def test_ratio_or_zero(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, 4.0)], "a double, b double")
     assert [r[0] for r in df.select(numeric.ratio_or_zero("a", "b")).collect()] == [0.0, 0.25]
+
+
+def test_strict_size_option(spark):
+    from kestrel.plans import logs
+    lines = spark.createDataFrame([
+        ("INFO a blk_1 of size 7 from /10.0.0.6:50010", None),
+        ("INFO b src: /10.0.0.5:50010 of size 120", None)], "value string, timestamp timestamp")
+    loose = {r.hostname: r.total_bytes for r in logs.bytes_per_host(lines).collect()}
+    strict = {r.hostname: r.total_bytes for r in logs.bytes_per_host(lines, strict_size=True).collect()}
+    assert loose == {"": 50010, "10.0.0.5": 120}
+    assert strict == {"": 7, "10.0.0.5": 120}

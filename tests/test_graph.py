@@ -194,3 +194,38 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * 1024 ** 4)
     assert conf["spark.sql.shuffle.partitions"] == "100000"
     assert cluster_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
+
+
+def ref_weighted_pagerank_redistribute(ids, wedges, d=0.85, rounds=10):
+    n = len(ids)
+    sum_out = defaultdict(float)
+    for s, _t, w in wedges:
+        sum_out[s] += w
+    norm = [(s, t, 0.0 if sum_out[s] == 0 else w / sum_out[s]) for s, t, w in wedges]
+    rank = {v: 1.0 / n for v in ids}
+    for _ in range(rounds):
+        total = defaultdict(float)
+        for s, t, w in norm:
+            if s in rank and t in rank:
+                total[t] += rank[s] * w
+        lost = sum(rank.values()) - sum(total.values())
+        rank = {v: (1 - d) / n + d * (total.get(v, 0.0) + lost / n) for v in ids}
+    return rank
+
+
+def test_weighted_pagerank_redistribute_keeps_mass(spark):
+    wedges = spark.createDataFrame(WEDGES, "src int, dst int, weight double")
+    ids = spark.createDataFrame([(v,) for v in IDS], "id int")
+    got = {r.id: r.pagerank for r in graph.weighted_pagerank(
+        ids, graph.normalize_out_weights(wedges), dangling="redistribute").collect()}
+    want = ref_weighted_pagerank_redistribute(IDS, WEDGES)
+    for v in want:
+        assert got[v] == pytest.approx(want[v], abs=1e-12)
+    assert sum(got.values()) == pytest.approx(1.0, abs=1e-12)
+
+
+def test_triplets_one_row_per_area(spark):
+    from kestrel.plans import fixtures, trips
+    from tests.conftest import SMALL_DIR
+    t = fixtures.trips(spark, SMALL_DIR)
+    assert trips.trip_triplets(t, one_row_per_area=True).count() == trips.edges(t).count()
