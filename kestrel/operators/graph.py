@@ -169,12 +169,15 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     are then scaled to sum to the number of vertices. Edges with an end
     outside the vertex table are ignored. Returns (id, pagerank)."""
     ids = _cut(vertex_ids.select("id").distinct(), "pagerank-ids")
-    # One shuffle by src serves the multiplicity count, the out-degree and
-    # their join; the cached weights stay partitioned by src for the rounds.
-    known = _restrict_to(edges.select("src", "dst"), ids).repartition("src")
-    out_deg = known.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    weights = (known.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
-               .join(out_deg, "src")
+    # Parallel edges are counted first (combined map-side, so a vertex with a
+    # third of all edges costs one row per task), then the distinct pairs are
+    # partitioned by src; out-degree and the join reuse that partitioning and
+    # the cached weights keep it for the rounds.
+    known = _restrict_to(edges.select("src", "dst"), ids)
+    mult = (known.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
+            .repartition("src"))
+    out_deg = mult.groupBy("src").agg(F.sum("_mult").alias("_deg"))
+    weights = (mult.join(out_deg, "src")
                .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"))
                .persist(StorageLevel.MEMORY_AND_DISK))
     keep = 1.0 - reset
@@ -250,9 +253,10 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
                            F.lit(0).alias("hops"), F.lit(None).cast(ids.schema["id"].dataType).alias("next_id"),
                            *[F.lit(None).cast(known.schema[a].dataType).alias(a) for a in attrs])
 
-    # Partitioning by dst first lets the distinct reuse that partitioning
-    # (one shuffle), and the frontier joins on dst then move only the frontier.
-    pairs = (known.select("src", "dst").repartition("dst").distinct()
+    # Deduplicate first (combined map-side, so a vertex with a third of all
+    # edges does not land in one task), then partition the distinct pairs by
+    # dst: the frontier joins on dst then move only the frontier.
+    pairs = (known.select("src", "dst").distinct().repartition("dst")
              .persist(StorageLevel.MEMORY_AND_DISK))
     start_flags = flags.select("id", F.col("_from").alias("_is_start"))
     # Each level is written out once; `visited` is the union of the level

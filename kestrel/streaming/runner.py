@@ -1,12 +1,11 @@
 """Run a streaming query to completion and read back its final answer.
 
 The reference prints each micro-batch to the console for a fixed time. Here
-every micro-batch is appended, tagged with its batch id, to a Parquet table
-in the shared checkpoint folder (``foreachBatch``); the query's own
-checkpoint makes a restart after failure resume where it stopped, and a
-re-run batch overwrites nothing it should not (rows carry their batch id,
-and readers keep the latest version per key). The final answer is read
-from that table:
+every micro-batch is written by ``foreachBatch`` to its own folder
+``kestrel_batch=<id>`` of a Parquet table in the shared checkpoint folder, in
+overwrite mode; the query's checkpoint makes a restart resume where it
+stopped, and a batch re-run after a failure replaces its own folder, so
+the sink is exactly-once. The final answer is read from that table:
 
 - ``append``: every emitted row.
 - ``update``: per key, the row from the latest batch that emitted it (ST6).
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
 
-BATCH_COL = "_batch_id"
+BATCH_COL = "kestrel_batch"
 
 
 @dataclass
@@ -55,8 +54,9 @@ def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[
     ckpt = scratch_path(spark, f"{name}-ckpt")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-         .write.mode("append").parquet(sink))
+        # One folder per batch, overwritten: a batch re-run after a failure
+        # (same id) replaces its own output instead of adding to it.
+        batch.write.mode("overwrite").parquet(f"{sink}/{BATCH_COL}={batch_id}")
 
     writer = (query.writeStream.outputMode(mode).foreachBatch(write_batch)
               .option("checkpointLocation", ckpt))
@@ -78,7 +78,7 @@ def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[
         raise RuntimeError(f"stream {name} failed: {handle.exception()}")
     columns = [c for c in query.columns]
     try:
-        written = spark.read.parquet(sink)
+        written = spark.read.parquet(sink).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
     except Exception:  # nothing emitted: an empty result with the query's schema
         return StreamRun(spark.createDataFrame([], query.schema), sink, ckpt, progress)
     return StreamRun(final_answer(written, mode, keys).select(*columns), sink, ckpt, progress)

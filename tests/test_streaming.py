@@ -105,3 +105,18 @@ def test_processing_time_trigger_with_timed_stop(utc):
     got = {r.hostname: r["count"] for r in run.result.collect()}
     lines = fixtures.log_lines(spark, SMALL_DIR)
     assert got == {r.hostname: r["count"] for r in logs.info_block_counts(lines).collect()}
+
+
+def test_final_answer_reads_batch_folders(spark):
+    """Each micro-batch lives in its own folder, so a re-run batch replaces
+    its output; readers pick the last batch (complete) or latest per key."""
+    from kestrel.streaming.runner import BATCH_COL, final_answer
+    folder = tempfile.mkdtemp(prefix="kestrel-sink-")
+    spark.createDataFrame([("a", 1), ("b", 1)], "k string, n int").write.parquet(f"{folder}/{BATCH_COL}=0")
+    spark.createDataFrame([("a", 2)], "k string, n int").write.parquet(f"{folder}/{BATCH_COL}=1")
+    # batch 1 written again (a retry): overwrite, not append
+    spark.createDataFrame([("a", 2)], "k string, n int").write.mode("overwrite").parquet(f"{folder}/{BATCH_COL}=1")
+    written = spark.read.parquet(folder)
+    assert sorted(tuple(r) for r in final_answer(written, "complete").collect()) == [("a", 2)]
+    assert sorted(tuple(r) for r in final_answer(written, "update", ["k"]).collect()) == [("a", 2), ("b", 1)]
+    assert final_answer(written, "append").count() == 3
