@@ -124,8 +124,9 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
     Returns (id, pagerank)."""
     if dangling not in ("leak", "redistribute"):
         raise ValueError("dangling must be 'leak' or 'redistribute'")
-    ids = _cut(vertex_ids.select("id").distinct(), "wpagerank-ids")
-    n = ids.count()
+    ids, seen = _cut(vertex_ids.select("id").distinct(), "wpagerank-ids",
+                     [F.count(F.lit(1)).alias("n")])
+    n = seen["n"]
     if n == 0:
         return ids.withColumn("pagerank", F.lit(None).cast("double"))
     edges = (norm_edges.select("src", "dst", "norm_weight")
@@ -168,7 +169,17 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     rank and that becomes its change. Rounds stop when nothing is sent; ranks
     are then scaled to sum to the number of vertices. Edges with an end
     outside the vertex table are ignored. Returns (id, pagerank)."""
-    ids = _cut(vertex_ids.select("id").distinct(), "pagerank-ids")
+    keep = 1.0 - reset
+    first = keep * (reset / keep)
+    sending = F.col("active") & (F.col("delta") > tol)
+    senders_metric = [F.count(F.when(sending, 1)).alias("senders")]
+    # The state feeds each round twice (as senders and as the base), so each
+    # round is written out: the plan stays a file scan instead of doubling.
+    # The same write job counts next round's senders.
+    state, seen = _cut(vertex_ids.select("id").distinct()
+                       .select("id", F.lit(first).alias("pr"), F.lit(first).alias("delta"),
+                               F.lit(True).alias("active")), "pagerank", senders_metric)
+    ids = state.select("id")
     # Parallel edges are counted first (combined map-side, so a vertex with a
     # third of all edges costs one row per task), then the distinct pairs are
     # partitioned by src; out-degree and the join reuse that partitioning and
@@ -180,15 +191,6 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     weights = (mult.join(out_deg, "src")
                .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"))
                .persist(StorageLevel.MEMORY_AND_DISK))
-    keep = 1.0 - reset
-    first = keep * (reset / keep)
-    sending = F.col("active") & (F.col("delta") > tol)
-    senders_metric = [F.count(F.when(sending, 1)).alias("senders")]
-    # The state feeds each round twice (as senders and as the base), so each
-    # round is written out: the plan stays a file scan instead of doubling.
-    # The same write job counts next round's senders.
-    state, seen = _cut(ids.select("id", F.lit(first).alias("pr"), F.lit(first).alias("delta"),
-                                  F.lit(True).alias("active")), "pagerank", senders_metric)
     null_d = F.lit(None).cast("double")
     round_no = 0
     while round_no < max_rounds and seen["senders"]:
