@@ -91,4 +91,11 @@ def category_order(col: Column | str, order: Sequence[str]) -> Column:
     """Sort key from a listed category order (V4): 1-based position, null
     for values not in the list (sort with ``asc_nulls_last``)."""
     listed = F.array(*[F.lit(v) for v in order])
-    return F.nullif(F.array_position(listed, _c(col)), F.lit(0))
+    return F.nullif(F.array_position(listed, _c(col)), F.lit(0)).cast("int")
+
+
+def with_category_order(df: DataFrame, col: str, order: Sequence[str],
+                        name: str = "position") -> DataFrame:
+    """Add the listed position of ``col`` and sort by it, unlisted last (V4)."""
+    return (df.withColumn(name, category_order(col, order))
+            .orderBy(F.col(name).asc_nulls_last(), F.col(col).asc_nulls_last()))

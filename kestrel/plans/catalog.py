@@ -46,8 +46,17 @@ def _weekday_rows(df: DataFrame) -> DataFrame:
     return out.withColumn("tweet_time", F.col("tweet_time").cast("timestamp_ntz"))
 
 
+def _ordered(fn, col: str, order) -> Query:
+    from kestrel.operators.aggregate import with_category_order
+    return lambda df, *rest: with_category_order(fn(df, *rest), col, order)
+
+
 def tweet_queries() -> dict[str, Query]:
+    from kestrel.functions import bands
     return {
+        "tweets_day_share_ordered": _tweets(_ordered(tweets.day_share, "day_name", bands.WEEKDAY_ORDER)),
+        "tweets_time_of_day_ordered": _tweets(
+            _ordered(tweets.time_of_day_counts, "time_of_day", bands.TIME_OF_DAY_ORDER)),
         "tweets_total_entries": _tweets(tweets.total_entries),
         "tweets_weekday_rows": _tweets(_weekday_rows),
         "tweets_location_counts": _tweets(tweets.location_counts),
@@ -60,8 +69,11 @@ def tweet_queries() -> dict[str, Query]:
 
 
 def rating_queries() -> dict[str, Query]:
+    from kestrel.functions import bands
     valid = fixtures.TEST_GENRES
     return {
+        "ratings_half_year_ordered": _ratings(
+            _ordered(ratings.half_year_counts, "time_of_year", bands.HALF_YEAR_ORDER)),
         "ratings_unique_users": _ratings(ratings.unique_users),
         "ratings_with_date": _ratings(ratings.with_rating_date),
         "ratings_bands": _ratings(ratings.rating_bands),

@@ -38,6 +38,10 @@ def _genre_list() -> str:
     return ", ".join(f"'{g}'" for g in TEST_GENRES)
 
 
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -46,7 +50,19 @@ def tweets_sql() -> dict[str, str]:
     w = _with(TWEETS)
     day_counts = (w + ", g AS (SELECT dayname(tweet_time) AS day_name, count(*) AS count "
                   "FROM tweets_t GROUP BY 1)\n")
+    from kestrel.functions.bands import TIME_OF_DAY_ORDER, WEEKDAY_ORDER
+    tod = (
+        "SELECT CASE WHEN hour(tweet_time) BETWEEN 5 AND 11 THEN 'Morning' "
+        "WHEN hour(tweet_time) BETWEEN 12 AND 16 THEN 'Afternoon' "
+        "WHEN hour(tweet_time) BETWEEN 17 AND 21 THEN 'Evening' ELSE 'Night' END "
+        "AS time_of_day, count(*) AS count FROM weekday GROUP BY 1")
     return {
+        "tweets_day_share_ordered": day_counts + (
+            "SELECT day_name, count, count / (SELECT sum(count) FROM g) * 100 AS percentage, "
+            f"CAST(list_position({_sql_list(WEEKDAY_ORDER)}, day_name) AS INTEGER) AS position FROM g"),
+        "tweets_time_of_day_ordered": w + ", t AS (" + tod + ")\n" + (
+            f"SELECT *, CAST(list_position({_sql_list(TIME_OF_DAY_ORDER)}, time_of_day) AS INTEGER) "
+            "AS position FROM t"),
         "tweets_total_entries": w + "SELECT count(*) AS total_entries FROM tweets",
         "tweets_weekday_rows": w + (
             "SELECT timestamp, longitude, latitude, tweet_time, "
@@ -85,7 +101,13 @@ def ratings_sql() -> dict[str, str]:
              "FROM ratings WHERE rating >= 1 AND rating <= 5 GROUP BY 1")
     years = w + (", y AS (SELECT strftime(rated_at, '%Y') AS year, count(*) AS count "
                  "FROM ratings_t GROUP BY 1)\n")
+    from kestrel.functions.bands import HALF_YEAR_ORDER
+    half = ("SELECT CASE WHEN CAST(strftime(rated_at, '%m') AS INTEGER) <= 6 THEN 'Early Year' "
+            "ELSE 'Late Year' END AS time_of_year, count(*) AS count FROM ratings_t GROUP BY 1")
     return {
+        "ratings_half_year_ordered": w + ", h AS (" + half + ")\n" + (
+            f"SELECT *, CAST(list_position({_sql_list(HALF_YEAR_ORDER)}, time_of_year) AS INTEGER) "
+            "AS position FROM h"),
         "ratings_unique_users": w + "SELECT count(DISTINCT userId) AS unique_users FROM ratings",
         "ratings_with_date": w + (
             "SELECT userId, movieId, rating, timestamp, strftime(rated_at, '%Y-%m-%d') AS rating_date "
