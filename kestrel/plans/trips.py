@@ -158,3 +158,17 @@ def fare_histogram(trips: DataFrame, column: str) -> DataFrame:
     return histogram(fare_table(trips), column, *spec)
 
 
+
+
+def export_fare_table(trips: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Write the Q7 fare table (S5). It has one row per trip, so it is
+    written in parallel, partitioned by start hour, rather than through one
+    task as the reference's ``coalesce(1)`` does."""
+    from kestrel.sources.sinks import write_parquet
+    table = fare_table(trips)
+    if fmt == "csv":
+        table.write.mode("overwrite").option("header", True).partitionBy("start_hour").csv(path)
+    elif fmt == "parquet":
+        write_parquet(table, path, partition_by=["start_hour"])
+    else:
+        raise ValueError("fmt must be 'csv' or 'parquet'")

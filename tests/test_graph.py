@@ -229,3 +229,26 @@ def test_triplets_one_row_per_area(spark):
     from tests.conftest import SMALL_DIR
     t = fixtures.trips(spark, SMALL_DIR)
     assert trips.trip_triplets(t, one_row_per_area=True).count() == trips.edges(t).count()
+
+
+def test_pagerank_invariant_to_row_order(spark):
+    edges = [(1, 2), (1, 2), (2, 1), (2, 3), (3, 1), (4, 1), (5, 5), (1, 3), (3, 2)]
+    ids = spark.createDataFrame([(v,) for v in IDS], "id int")
+    e = spark.createDataFrame(edges, "src int, dst int")
+    shuffled = spark.createDataFrame(list(reversed(edges)), "src int, dst int").repartition(3)
+    a = {r.id: r.pagerank for r in graph.pagerank(ids, e).collect()}
+    b = {r.id: r.pagerank for r in graph.pagerank(ids, shuffled).collect()}
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_fare_table_export_is_partitioned(spark):
+    import os
+    import tempfile
+    from kestrel.plans import fixtures, trips
+    from tests.conftest import SMALL_DIR
+    out = tempfile.mkdtemp(prefix="kestrel-fares-") + "/fares"
+    t = fixtures.trips(spark, SMALL_DIR)
+    trips.export_fare_table(t, out)
+    assert any(d.startswith("start_hour=") for d in os.listdir(out))
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == trips.fare_table(t).count()
