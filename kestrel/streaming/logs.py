@@ -9,7 +9,6 @@ functions the batch queries use.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kestrel.plans import fixtures, logs
 from kestrel.sources.stream import read_file_stream
