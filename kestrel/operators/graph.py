@@ -158,7 +158,7 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
 
 
 def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol: float = 0.01,
-             max_rounds: int = 10_000, checkpoint_every: int = 3) -> DataFrame:
+             max_rounds: int = 10_000) -> DataFrame:
     """PageRank to a tolerance (G9), with the dynamic (delta-propagating)
     semantics of the GraphX implementation behind the reference's call.
 
