@@ -6,21 +6,23 @@ derivations, so its work grows with the tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.functions import bands
+from kestrel.operators.aggregate import with_category_order
 from kestrel.plans import documents, fixtures, logs, ratings, trips, tweets
+from kestrel.session import prepare
 from kestrel.sources.tables import read_table
 from kestrel.streaming import logs as stream_logs
-from kestrel.plans.oracle import BFS_TARGET_AREA, SUPPLY_TARGET
-from kestrel.operators import graph
-from kestrel.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# --- adapters: fixture in, query function applied ------------------------------
+
 def _tweets(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(fixtures.tweets(prepare(spark), sf_dir))
@@ -40,28 +42,49 @@ def _ratings_movies(fn) -> Query:
     return run
 
 
-def _weekday_rows(df: DataFrame) -> DataFrame:
-    out = tweets.weekday_tweets(df)
-    # Wall-clock type, so the value reads the same in any client time zone.
-    return out.withColumn("tweet_time", F.col("tweet_time").cast("timestamp_ntz"))
+def _trips(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(fixtures.trips(prepare(spark), sf_dir))
+    return run
+
 
+def _lines(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(logs.with_watermark(fixtures.log_lines(prepare(spark), sf_dir)))
+    return run
 
-def _ordered(fn, col: str, order) -> Query:
-    from kestrel.operators.aggregate import with_category_order
-    return lambda df, *rest: with_category_order(fn(df, *rest), col, order)
 
+def _stream(fn, *ntz_columns: str) -> Query:
+    """Run a streaming query over the events file to completion; return its
+    final answer."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        result = fn(prepare(spark), stream_logs.events_path(sf_dir)).result
+        return _ntz(result, *ntz_columns)
+    return run
+
+
+def _ntz(df: DataFrame, *columns: str) -> DataFrame:
+    """Timestamps as wall-clock values (UTC), readable alike in any client zone."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns}) if columns else df
+
+
+def _ordered(fn, col: str, order: Sequence[str]):
+    return lambda *frames: with_category_order(fn(*frames), col, order)
+
+
+# --- registry ----------------------------------------------------------------------
 
 def tweet_queries() -> dict[str, Query]:
-    from kestrel.functions import bands
     return {
-        "tweets_day_share_ordered": _tweets(_ordered(tweets.day_share, "day_name", bands.WEEKDAY_ORDER)),
-        "tweets_time_of_day_ordered": _tweets(
-            _ordered(tweets.time_of_day_counts, "time_of_day", bands.TIME_OF_DAY_ORDER)),
         "tweets_total_entries": _tweets(tweets.total_entries),
-        "tweets_weekday_rows": _tweets(_weekday_rows),
+        "tweets_weekday_rows": _tweets(lambda t: _ntz(tweets.weekday_tweets(t), "tweet_time")),
         "tweets_location_counts": _tweets(tweets.location_counts),
         "tweets_time_of_day": _tweets(tweets.time_of_day_counts),
+        "tweets_time_of_day_ordered": _tweets(
+            _ordered(tweets.time_of_day_counts, "time_of_day", bands.TIME_OF_DAY_ORDER)),
         "tweets_day_share": _tweets(tweets.day_share),
+        "tweets_day_share_ordered": _tweets(
+            _ordered(tweets.day_share, "day_name", bands.WEEKDAY_ORDER)),
         "tweets_busy_days": _tweets(tweets.busy_days),
         "tweets_top_locations": _tweets(tweets.top_locations),
         "tweets_map_points": _tweets(tweets.map_points),
@@ -69,16 +92,15 @@ def tweet_queries() -> dict[str, Query]:
 
 
 def rating_queries() -> dict[str, Query]:
-    from kestrel.functions import bands
     valid = fixtures.TEST_GENRES
     return {
-        "ratings_half_year_ordered": _ratings(
-            _ordered(ratings.half_year_counts, "time_of_year", bands.HALF_YEAR_ORDER)),
         "ratings_unique_users": _ratings(ratings.unique_users),
         "ratings_with_date": _ratings(ratings.with_rating_date),
         "ratings_bands": _ratings(ratings.rating_bands),
         "ratings_band_shares": _ratings(ratings.rating_band_shares),
         "ratings_half_year": _ratings(ratings.half_year_counts),
+        "ratings_half_year_ordered": _ratings(
+            _ordered(ratings.half_year_counts, "time_of_year", bands.HALF_YEAR_ORDER)),
         "ratings_genre_counts": _ratings_movies(lambda r, m: ratings.genre_counts(r, m, valid)),
         "ratings_genre_average": _ratings_movies(lambda r, m: ratings.genre_average(r, m, valid)),
         "ratings_year_share": _ratings(ratings.year_share),
@@ -89,20 +111,8 @@ def rating_queries() -> dict[str, Query]:
     }
 
 
-def _trips(fn) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fixtures.trips(prepare(spark), sf_dir))
-    return run
-
-
-def supply_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shortest supplier-to-supplier routes through shared parts (depth 2)."""
-    vertices, edges = fixtures.supply_graph(prepare(spark), sf_dir)
-    is_supplier = F.col("id").startswith("S")
-    hops = graph.bfs_first_hops(vertices, graph.min_per_pair(edges, "TripMiles"),
-                                is_supplier & (F.col("id") != SUPPLY_TARGET),
-                                F.col("id") == SUPPLY_TARGET)
-    return graph.bfs_summary(hops, end=SUPPLY_TARGET)
+def _supplier_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trips.supplier_routes(*fixtures.supply_graph(prepare(spark), sf_dir))
 
 
 def trip_queries() -> dict[str, Query]:
@@ -113,8 +123,8 @@ def trip_queries() -> dict[str, Query]:
         "trips_triplets": _trips(trips.trip_triplets),
         "trips_same_area": _trips(trips.same_area_trips),
         "trips_same_area_count": _trips(trips.same_area_count),
-        "trips_bfs_summary": _trips(lambda t: trips.bfs_to(t, BFS_TARGET_AREA)),
-        "supply_bfs_summary": supply_bfs,
+        "trips_bfs_summary": _trips(lambda t: trips.bfs_to(t, trips.BFS_TARGET_AREA)),
+        "supply_bfs_summary": _supplier_routes,
         "trips_unique_vertices": _trips(trips.unique_vertices),
         "trips_weighted_edges": _trips(trips.weighted_edges),
         "trips_weighted_pagerank": _trips(trips.weighted_pagerank),
@@ -130,23 +140,6 @@ def trip_queries() -> dict[str, Query]:
     return out
 
 
-def _ntz(df: DataFrame, *columns: str) -> DataFrame:
-    """Timestamps as wall-clock values (UTC), readable alike in any client zone."""
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
-
-
-def _lines(fn) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(logs.with_watermark(fixtures.log_lines(prepare(spark), sf_dir)))
-    return run
-
-
-def _stream(fn) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(prepare(spark), stream_logs.events_path(sf_dir)).result
-    return run
-
-
 def log_queries() -> dict[str, Query]:
     return {
         "logs_lines": _lines(lambda l: _ntz(l, "timestamp")),
@@ -154,20 +147,14 @@ def log_queries() -> dict[str, Query]:
             lambda l: _ntz(logs.datanode_windows(l), "window_start", "window_end")),
         "logs_bytes_per_host": _lines(lambda l: logs.ranked_hosts(logs.bytes_per_host(l))),
         "logs_info_block_counts": _lines(logs.info_block_counts),
-        "logs_lines_stream": _stream(
-            lambda s, p: _ntz_run(stream_logs.stream_lines(s, p), "timestamp")),
-        "logs_datanode_windows_stream": _stream(
-            lambda s, p: _ntz_run(stream_logs.stream_datanode_windows(s, p), "window_start", "window_end")),
+        "logs_lines_stream": _stream(stream_logs.stream_lines, "timestamp"),
+        "logs_datanode_windows_stream": _stream(stream_logs.stream_datanode_windows,
+                                                "window_start", "window_end"),
         "logs_bytes_per_host_stream": _stream(stream_logs.stream_bytes_per_host),
         "logs_info_block_counts_stream": _stream(stream_logs.stream_info_block_counts),
     }
 
 
-def _ntz_run(run, *columns: str):
-    run.result = _ntz(run.result, *columns)
-    return run
-
-
 def document_queries() -> dict[str, Query]:
     def hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
         return documents.hashtag_counts(read_table(prepare(spark), sf_dir, "documents", ["text"]))
@@ -176,9 +163,6 @@ def document_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(tweet_queries())
-    out.update(rating_queries())
-    out.update(trip_queries())
-    out.update(log_queries())
-    out.update(document_queries())
+    for group in (tweet_queries, rating_queries, trip_queries, log_queries, document_queries):
+        out.update(group())
     return out

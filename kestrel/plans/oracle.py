@@ -283,12 +283,8 @@ SELECT a.bin, CAST({lo} AS DOUBLE) + (a.bin - 1) * CAST({width} AS DOUBLE) AS bi
 FROM allbins a LEFT JOIN counted c USING (bin)"""
 
 
-BFS_TARGET_AREA = 7
-SUPPLY_TARGET = "S7"
-
-
 def trips_sql() -> dict[str, str]:
-    from kestrel.plans.trips import FARE_HISTOGRAMS
+    from kestrel.plans.trips import BFS_TARGET_AREA, FARE_HISTOGRAMS, SUPPLY_TARGET
     w = _with(TRIPS)
     ww = _with(TRIPS, WEIGHTED)
     fare_avg = "SELECT {k}, sum(CAST(round(fare_amount * 100) AS BIGINT)) / count(fare_amount) / 100 AS avg_fare FROM fares GROUP BY {k}"

@@ -19,6 +19,11 @@ from kestrel.operators.histogram import histogram
 
 VERTEX_ATTRS = ("latitude", "longitude", "CensusTract")
 
+# Landmark areas the BFS questions route to on the test tables (the reference
+# uses community area 49 of its taxi data; nation keys run 0-24 here).
+BFS_TARGET_AREA = 7
+SUPPLY_TARGET = "S7"
+
 
 def _endpoint(prefix: str) -> dict[str, str]:
     return {"id": f"{prefix}_area", "latitude": f"{prefix}_lat",
@@ -75,6 +80,17 @@ def bfs_to(trips: DataFrame, target, max_path_length: int = 10) -> DataFrame:
     return graph.bfs_summary(hops, end=target)
 
 
+def supplier_routes(vertices: DataFrame, edges: DataFrame, target: str = SUPPLY_TARGET,
+                    max_path_length: int = 10) -> DataFrame:
+    """BFS over the supplier-part graph: per supplier, the smallest first-leg
+    quantity among shortest routes to ``target`` through shared parts."""
+    is_supplier = F.col("id").startswith("S")
+    hops = graph.bfs_first_hops(vertices, graph.min_per_pair(edges, "TripMiles"),
+                                is_supplier & (F.col("id") != F.lit(target)),
+                                F.col("id") == F.lit(target), max_path_length)
+    return graph.bfs_summary(hops, end=target)
+
+
 def unique_vertices(trips: DataFrame) -> DataFrame:
     """One vertex row per area id."""
     return graph.one_row_per_vertex(vertices(trips), VERTEX_ATTRS)
