@@ -44,3 +44,43 @@ def test_s3a_settings_on_builder():
     assert opts["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert opts["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert opts["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+def test_raw_taxi_csv_feeds_the_trip_queries(spark):
+    from kestrel.plans import trips
+    from kestrel.sources.raw_inputs import TAXI_COLUMNS, taxi_csv
+    folder = tempfile.mkdtemp(prefix="kestrel-taxi-")
+    header = ",".join(TAXI_COLUMNS.values())
+    rows = [
+        "01/31/2024 01:15:00 PM,600,2.5,10.25,8,41.9,-87.6,17031081500,32,41.88,-87.62,17031839100",
+        "01/31/2024 11:59:59 PM,300,1.0,5.00,32,41.88,-87.62,17031839100,8,41.9,-87.6,17031081500",
+        "not a time,abc,,7.00,8,41.9,-87.6,17031081500,8,41.9,-87.6,17031081500",
+    ]
+    with open(os.path.join(folder, "t.csv"), "w") as f:
+        f.write(header + "\n" + "\n".join(rows) + "\n")
+    t = taxi_csv(spark, folder)
+    fares = trips.fare_table(t).collect()
+    assert sorted((r.start_hour, r.distance, r.duration, r.fare_amount) for r in fares) == [
+        (13, 2.5, 600.0, 10.25), (23, 1.0, 300.0, 5.0)]
+    assert trips.vertices(t).count() == 2
+    assert trips.same_area_count(t).first().same_area_count == 0  # the bad row has no miles
+
+
+def test_raw_tweets_and_ratings_csv(spark):
+    from kestrel.plans import ratings, tweets
+    from kestrel.sources.raw_inputs import movies_csv, ratings_csv, tweets_csv
+    folder = tempfile.mkdtemp(prefix="kestrel-raw-")
+    with open(os.path.join(folder, "tweets.csv"), "w") as f:
+        f.write("id,timestamp,longitude,latitude\n1,20240105093000,-87.5,41.0\n2,bad,-87.5,41.0\n")
+    with open(os.path.join(folder, "ratings.csv"), "w") as f:
+        f.write("userId,movieId,rating,timestamp\n1,10,4.5,1704067200\n2,10,5.0,1704067200\n")
+    with open(os.path.join(folder, "movies.csv"), "w") as f:
+        f.write('movieId,title,genres\n10,"Heat (1995)",Action|Crime|Thriller\n')
+    tw = tweets_csv(spark, os.path.join(folder, "tweets.csv"))
+    assert {r.day_name: r["count"] for r in tweets.day_share(tw).collect()} == {"Friday": 1, None: 1}
+    rt = ratings_csv(spark, os.path.join(folder, "ratings.csv"))
+    mv = movies_csv(spark, os.path.join(folder, "movies.csv"))
+    assert {r.genre: r["count"] for r in ratings.genre_counts(rt, mv).collect()} == {
+        "Action": 2, "Crime": 2, "Thriller": 2}
+    top = ratings.top_movies(rt, mv).first()
+    assert (top.title, top.avg_rating, top.rating_count) == ("Heat (1995)", 4.75, 2)

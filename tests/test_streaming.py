@@ -120,3 +120,17 @@ def test_final_answer_reads_batch_folders(spark):
     assert sorted(tuple(r) for r in final_answer(written, "complete").collect()) == [("a", 2)]
     assert sorted(tuple(r) for r in final_answer(written, "update", ["k"]).collect()) == [("a", 2), ("b", 1)]
     assert final_answer(written, "append").count() == 3
+
+
+def test_text_line_stream_with_arrival_time(utc):
+    from kestrel.sources.raw_inputs import log_line_stream
+    from kestrel.streaming.runner import run_stream
+    spark = utc
+    folder = tempfile.mkdtemp(prefix="kestrel-text-")
+    with open(os.path.join(folder, "part-0.log"), "w") as f:
+        f.write("INFO dfs.DataNode$DataXceiver: Receiving block blk_1 src: /10.0.0.5:50010 of size 10\n")
+        f.write("INFO dfs.DataNode$DataXceiver: Receiving block blk_2 src: /10.0.0.5:50010 of size 20\n")
+        f.write("WARN nothing here\n")
+    lines = logs.with_watermark(log_line_stream(spark, folder))
+    run = run_stream(spark, logs.bytes_per_host(lines), "complete", name="text-lines")
+    assert {r.hostname: r.total_bytes for r in run.result.collect()} == {"10.0.0.5": 30, "": None}
