@@ -24,3 +24,7 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["day_name", "count", "percentage"]
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
