@@ -3,9 +3,9 @@ each result as CSV with a header.
 
 The raw CSV is parsed once and staged as Parquet in the shared checkpoint
 folder; every question then reads only its columns from the staged copy
-instead of parsing the CSV again. Aggregated results are small and are
-written as single files; row-level results (the fare table) are written in
-parallel, partitioned.
+instead of parsing the CSV again. Results with a fixed size bound are
+written as single files; results that grow with the data, and the
+row-level fare table, are written in parallel.
 """
 
 from __future__ import annotations
@@ -19,11 +19,22 @@ from kestrel.sources.sinks import write_csv
 from kestrel.streaming.runner import StreamRun, run_stream
 
 
+# Results with a fixed size bound (a few bands, seven days, ten rows, one
+# row): written as one file each. Every other result can grow with the data
+# (distinct locations, distances, vertices) and is written in parallel.
+BOUNDED = frozenset({
+    "time_of_day", "day_share", "busy_days", "top_locations",
+    "unique_users", "rating_bands", "half_year", "genres", "top_movies", "top_raters",
+    "rater_distribution", "record_count", "same_area_count", "avg_fare_by_hour",
+    "fare_correlations",
+})
+
+
 def _write_all(results: dict[str, DataFrame], output_dir: str) -> dict[str, str]:
     paths = {}
     for name, df in results.items():
         path = f"{output_dir.rstrip('/')}/{name}"
-        write_csv(df, path, single_file=True)
+        write_csv(df, path, single_file=name in BOUNDED)
         paths[name] = path
     return paths
 
