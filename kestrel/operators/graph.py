@@ -217,7 +217,7 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
 # --- breadth-first search ------------------------------------------------------
 
 def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_cond: Column,
-                   max_path_length: int = 10) -> DataFrame:
+                   max_path_length: int = 10, distinct_pairs: bool = False) -> DataFrame:
     """Shortest paths from vertices matching ``from_cond`` to vertices
     matching ``to_cond`` (G6), reported by their first edge.
 
@@ -229,6 +229,9 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
     edge) on some shortest path: ``start, end, hops, next_id`` plus the
     first edge's attribute columns. Empty when no path exists.
 
+    ``distinct_pairs=True`` declares that ``edges`` already has one row per
+    (src, dst) (as ``min_per_pair`` returns), which saves a deduplication.
+
     Method: hop distances to each target are found by expanding frontiers
     backwards from the targets over distinct (src, dst) pairs; state is one
     row per (vertex, target) reached. An edge s -> u starts a shortest path
@@ -257,8 +260,10 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
     # Deduplicate first (combined map-side, so a vertex with a third of all
     # edges does not land in one task), then partition the distinct pairs by
     # dst: the frontier joins on dst then move only the frontier.
-    pairs = (known.select("src", "dst").distinct().repartition("dst")
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    pairs = known.select("src", "dst")
+    if not distinct_pairs:
+        pairs = pairs.distinct()
+    pairs = pairs.repartition("dst").persist(StorageLevel.MEMORY_AND_DISK)
     start_flags = flags.select("id", F.col("_from").alias("_is_start"))
     # Each level is written out once; `visited` is the union of the level
     # tables, so the plan grows by one file scan per level.

@@ -76,7 +76,7 @@ def bfs_to(trips: DataFrame, target, max_path_length: int = 10) -> DataFrame:
     paths into ``target``; starts are all other areas."""
     hops = graph.bfs_first_hops(vertices(trips), graph.min_per_pair(edges(trips), "TripMiles"),
                                 F.col("id") != F.lit(target), F.col("id") == F.lit(target),
-                                max_path_length)
+                                max_path_length, distinct_pairs=True)
     return graph.bfs_summary(hops, end=target)
 
 
@@ -87,7 +87,8 @@ def supplier_routes(vertices: DataFrame, edges: DataFrame, target: str = SUPPLY_
     is_supplier = F.col("id").startswith("S")
     hops = graph.bfs_first_hops(vertices, graph.min_per_pair(edges, "TripMiles"),
                                 is_supplier & (F.col("id") != F.lit(target)),
-                                F.col("id") == F.lit(target), max_path_length)
+                                F.col("id") == F.lit(target), max_path_length,
+                                distinct_pairs=True)
     return graph.bfs_summary(hops, end=target)
 
 
