@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,9 @@ class StreamRun:
     progress: list
 
     def rows_dropped_by_watermark(self) -> int:
-        """Late rows the engine dropped (ST10), summed over all batches."""
+        """Late rows the engine dropped (ST10), summed over the batches in
+        ``progress`` (the query's recent progress updates: the latest
+        ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
         total = 0
         for p in self.progress:
             for op in p.get("stateOperators", []) or []:
@@ -43,15 +46,21 @@ class StreamRun:
 
 def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[str] = (),
                name: str = "stream", processing_time: str | None = None,
-               timeout_s: float | None = None) -> StreamRun:
+               timeout_s: float | None = None, sink_path: str | None = None,
+               checkpoint_path: str | None = None) -> StreamRun:
     """Run ``query`` (a streaming DataFrame) until its input is used up.
 
     Without ``processing_time`` the trigger is ``availableNow``: all input
     present at start is processed in as many micro-batches as the source's
     rate limits make, then the query stops. With ``processing_time`` (ST8)
-    the query runs on that trigger until ``timeout_s`` elapses (ST9)."""
-    sink = scratch_path(spark, f"{name}-sink")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    the query runs on that trigger until ``timeout_s`` elapses (ST9).
+
+    Fresh sink and checkpoint folders are made in the shared folder unless
+    given; calling again with the same two paths resumes from the
+    checkpoint, processing only input that arrived since (after a failure,
+    or for the next files of a growing folder)."""
+    sink = sink_path or scratch_path(spark, f"{name}-sink")
+    ckpt = checkpoint_path or scratch_path(spark, f"{name}-ckpt")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch, overwritten: a batch re-run after a failure
@@ -76,10 +85,10 @@ def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[
     progress = [p for p in handle.recentProgress]
     if handle.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {handle.exception()}")
-    columns = [c for c in query.columns]
+    columns = list(query.columns)
     try:
         written = spark.read.parquet(sink).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
-    except Exception:  # nothing emitted: an empty result with the query's schema
+    except AnalysisException:  # no batch was written: an empty result
         return StreamRun(spark.createDataFrame([], query.schema), sink, ckpt, progress)
     return StreamRun(final_answer(written, mode, keys).select(*columns), sink, ckpt, progress)
 
