@@ -112,7 +112,8 @@ def rating_queries() -> dict[str, Query]:
 
 
 def _supplier_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.supplier_routes(*fixtures.supply_graph(prepare(spark), sf_dir))
+    vertices, _ = fixtures.supply_graph(prepare(spark), sf_dir)
+    return trips.supplier_routes(vertices, fixtures.supply_pairs(spark, sf_dir), collapsed=True)
 
 
 def trip_queries() -> dict[str, Query]:

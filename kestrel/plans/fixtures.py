@@ -120,16 +120,33 @@ def log_lines(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     return ev.select(line.alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
 
 
+def _both_ways(df: DataFrame, miles: str) -> DataFrame:
+    """Supplier-part rows (``l_suppkey``, ``l_partkey``, ``miles``) as one
+    edge in each direction, from a single scan (an exploded pair)."""
+    s_id = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    p_id = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
+    both = F.array(F.struct(s_id.alias("src"), p_id.alias("dst"), F.col(miles).alias("TripMiles")),
+                   F.struct(p_id.alias("src"), s_id.alias("dst"), F.col(miles).alias("TripMiles")))
+    return df.select(F.explode(both).alias("_e")).select("_e.*")
+
+
+def supply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supply graph's edges collapsed to one per (src, dst), carrying the
+    pair's smallest quantity: the same rows as ``graph.min_per_pair`` over
+    ``supply_graph``'s edges. The collapse runs on the numeric key pair
+    (combined map-side, a fixed-width hash key) before the text ids are
+    built, so half as many rows are grouped and no strings are hashed; both
+    directions of a pair carry the same minimum."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_quantity"])
+    pairs = li.groupBy("l_suppkey", "l_partkey").agg(F.min("l_quantity").alias("_min_qty"))
+    return _both_ways(pairs, "_min_qty")
+
+
 def supply_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Vertices ``(id, kind)`` and edges ``(src, dst, TripMiles)`` of the
     supplier-part graph; ids are ``S<suppkey>`` and ``P<partkey>``."""
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_quantity"])
-    s_id = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
-    p_id = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
-    # Both directions from one scan of the line items.
-    both = F.array(F.struct(s_id.alias("src"), p_id.alias("dst"), F.col("l_quantity").alias("TripMiles")),
-                   F.struct(p_id.alias("src"), s_id.alias("dst"), F.col("l_quantity").alias("TripMiles")))
-    edges = li.select(F.explode(both).alias("_e")).select("_e.*")
+    edges = _both_ways(li, "l_quantity")
     su = read_table(spark, sf_dir, "supplier", ["s_suppkey"])
     pa = read_table(spark, sf_dir, "part", ["p_partkey"])
     vertices = (su.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"),

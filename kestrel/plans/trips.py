@@ -81,11 +81,14 @@ def bfs_to(trips: DataFrame, target, max_path_length: int = 10) -> DataFrame:
 
 
 def supplier_routes(vertices: DataFrame, edges: DataFrame, target: str = SUPPLY_TARGET,
-                    max_path_length: int = 10) -> DataFrame:
+                    max_path_length: int = 10, collapsed: bool = False) -> DataFrame:
     """BFS over the supplier-part graph: per supplier, the smallest first-leg
-    quantity among shortest routes to ``target`` through shared parts."""
+    quantity among shortest routes to ``target`` through shared parts.
+    ``collapsed=True`` declares that ``edges`` already holds one edge per
+    (src, dst) with the pair's smallest ``TripMiles``."""
     is_supplier = F.col("id").startswith("S")
-    hops = graph.bfs_first_hops(vertices, graph.min_per_pair(edges, "TripMiles"),
+    pairs = edges if collapsed else graph.min_per_pair(edges, "TripMiles")
+    hops = graph.bfs_first_hops(vertices, pairs,
                                 is_supplier & (F.col("id") != F.lit(target)),
                                 F.col("id") == F.lit(target), max_path_length,
                                 distinct_pairs=True)

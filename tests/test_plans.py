@@ -63,3 +63,16 @@ def test_correlations_in_one_pass(spark):
 def test_top_k_is_take_ordered(spark):
     for name in ("tweets_top_locations", "ratings_top_movies", "ratings_top_raters"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, SF_DIR))
+
+
+def test_supply_pairs_equal_min_per_pair_of_line_item_edges(spark):
+    from kestrel.operators import graph
+    from kestrel.plans import fixtures
+    _, edges = fixtures.supply_graph(spark, SF_DIR)
+    expected = graph.min_per_pair(edges, "TripMiles")
+    collapsed = fixtures.supply_pairs(spark, SF_DIR)
+    assert collapsed.exceptAll(expected).count() == 0
+    assert expected.exceptAll(collapsed).count() == 0
+    # The collapse groups the numeric key pair, before any text id exists.
+    plan = plan_of(collapsed)
+    assert re.search(r"HashAggregate\(keys=\[l_suppkey#\d+L, l_partkey#\d+L\]", plan)
