@@ -120,7 +120,8 @@ def materialize(df, name: str, metrics=None):
         observation = Observation(f"{name}-metrics")
         df = df.observe(observation, *metrics)
     df.write.parquet(path)
-    out = spark.read.parquet(path)
+    # The schema is known, so the read skips footer inference.
+    out = spark.read.schema(df.schema).parquet(path)
     if observation is None:
         return out
     return out, observation.get
