@@ -81,11 +81,17 @@ def parallel_edge_weights(df: DataFrame, src: Column, dst: Column, weight: Colum
 
 def normalize_out_weights(weighted: DataFrame) -> DataFrame:
     """``norm_weight = weight / sum of the source's out-weights``, 0 when that
-    sum is 0 (G12, J3, F18). The per-source sum is a window over ``src``:
-    one shuffle on ``src`` instead of an aggregate joined back."""
-    from pyspark.sql import Window
-    sum_out = F.sum("weight").over(Window.partitionBy("src"))
-    return (weighted.withColumn("sumOut", sum_out)
+    sum is 0 (G12, J3, F18). The per-source sums are aggregated (combined
+    map-side) and left-joined back on ``src``, as the reference does, rather
+    than taken over a window: a window puts all of a hub source's pairs in
+    one task, while the join lets AQE broadcast the sums when they are small
+    or split the hub's partition (skew join) when they are not. The join is
+    inner, so both sides are the same plan and the sums read the pairs'
+    shuffle output again (exchange reuse) instead of rescanning the input;
+    edges with a null ``src`` have no out-weights and are dropped
+    (``parallel_edge_weights`` never yields them)."""
+    sum_out = weighted.groupBy("src").agg(F.sum("weight").alias("sumOut"))
+    return (weighted.join(sum_out, "src", "inner")
             .withColumn("norm_weight",
                         F.when(F.col("sumOut") == 0, F.lit(0.0))
                         .otherwise(F.col("weight") / F.col("sumOut"))))

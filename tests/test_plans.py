@@ -76,3 +76,13 @@ def test_supply_pairs_equal_min_per_pair_of_line_item_edges(spark):
     # The collapse groups the numeric key pair, before any text id exists.
     plan = plan_of(collapsed)
     assert re.search(r"HashAggregate\(keys=\[l_suppkey#\d+L, l_partkey#\d+L\]", plan)
+
+
+def test_out_weight_sums_reuse_the_pair_shuffle(spark):
+    df = QUERIES["trips_weighted_edges"](spark, SF_DIR)
+    df.collect()
+    plan = plan_of(df)
+    # Per-source sums joined back (no window holding a hub's pairs in one
+    # task), computed from the pairs' shuffle output rather than a rescan.
+    assert "Window" not in plan
+    assert "ReusedExchange" in plan
