@@ -110,6 +110,13 @@ def test_parallel_edges_and_normalisation(spark):
     assert n == {(1, 2): 0.5, (1, 3): 0.5, (4, 5): 0.0}
 
 
+def test_normalisation_drops_null_sources(spark):
+    w = spark.createDataFrame([(1, 2, 1.0), (1, 3, 3.0), (None, 2, 5.0), (4, 5, 0.0)],
+                              "src int, dst int, weight double")
+    got = {(r.src, r.dst): (r.sumOut, r.norm_weight) for r in graph.normalize_out_weights(w).collect()}
+    assert got == {(1, 2): (4.0, 0.25), (1, 3): (4.0, 0.75), (4, 5): (0.0, 0.0)}
+
+
 # --- PageRank -------------------------------------------------------------------
 
 WEDGES = [(1, 2, 3.0), (2, 1, 1.0), (2, 3, 1.0), (3, 1, 2.0), (3, 9, 5.0),  # 9 is unknown
