@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_mod
+from kestrel.plans import catalog, oracle
 from tests.compare import diff, duck_rows, spark_rows
 from tests.conftest import SF_DIR
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = catalog.all_queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -28,3 +29,8 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_lists_every_catalog_query():
+    assert set(QUERIES) <= set(entry_mod.queries())
+    assert set(ORACLES) <= set(entry_mod.oracle_sql())
