@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import license_scan, mixing, quality_rules
+from kestrel.llm import (exact_search, language_id, license_scan, mixing, packing, quality_rules,
+                         token_records)
 from kestrel.session import prepare
 from kestrel.sources.tables import read_table
 
@@ -19,16 +20,25 @@ def _documents(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_k(read_table(prepare(spark), sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_exact_top_k": _search,
+        "op2_language_id": _documents(language_id.identify),
         "op5_mixing": _documents(mixing.mix_report),
+        "op7_token_records": _documents(token_records.token_report),
         "op8_license_scan": _documents(license_scan.scan),
+        "op9_packing": _documents(packing.pack_documents),
         "op10_quality_rules": _documents(quality_rules.quality_report),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_exact_top_k": exact_search.oracle_sql(),
         "op5_mixing": mixing.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op10_quality_rules": quality_rules.oracle_sql(),
