@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import (exact_search, language_id, license_scan, mixing, packing, quality_rules,
-                         token_records)
+                         substring_dedup, token_records)
 from kestrel.session import prepare
 from kestrel.sources.tables import read_table
 
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": _search,
         "op2_language_id": _documents(language_id.identify),
+        "op4_substring_dedup": _documents(substring_dedup.substring_report),
         "op5_mixing": _documents(mixing.mix_report),
         "op7_token_records": _documents(token_records.token_report),
         "op8_license_scan": _documents(license_scan.scan),
