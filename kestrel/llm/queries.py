@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import (exact_search, language_id, license_scan, mixing, packing, quality_rules,
+from kestrel.llm import (exact_search, language_id, license_scan, mixing, near_dedup, packing, quality_rules,
                          substring_dedup, token_records)
 from kestrel.session import prepare
 from kestrel.sources.tables import read_table
 
+CONTRACT_SHINGLE_WORDS = 4  # the registered query's; the operator's default is five
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,6 +30,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": _search,
         "op2_language_id": _documents(language_id.identify),
+        "op3_near_dedup": _documents(lambda docs: near_dedup.near_duplicates(docs, size=CONTRACT_SHINGLE_WORDS)),
         "op4_substring_dedup": _documents(substring_dedup.substring_report),
         "op5_mixing": _documents(mixing.mix_report),
         "op7_token_records": _documents(token_records.token_report),
