@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import (exact_search, language_id, license_scan, mixing, near_dedup, packing, quality_rules,
+from kestrel.llm import (exact_search, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality_rules,
                          substring_dedup, token_records)
 from kestrel.session import prepare
 from kestrel.sources.tables import read_table
@@ -33,6 +33,7 @@ def queries() -> dict[str, Query]:
         "op3_near_dedup": _documents(lambda docs: near_dedup.near_duplicates(docs, size=CONTRACT_SHINGLE_WORDS)),
         "op4_substring_dedup": _documents(substring_dedup.substring_report),
         "op5_mixing": _documents(mixing.mix_report),
+        "op6_line_dedup": _documents(line_dedup.line_report),
         "op7_token_records": _documents(token_records.token_report),
         "op8_license_scan": _documents(license_scan.scan),
         "op9_packing": _documents(packing.pack_documents),
@@ -44,6 +45,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": exact_search.oracle_sql(),
         "op5_mixing": mixing.oracle_sql(),
+        "op6_line_dedup": line_dedup.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op10_quality_rules": quality_rules.oracle_sql(),
     }
