@@ -159,7 +159,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     sized = docs.select(F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
                         word_count(F.col("text")).alias("size"), row.alias("row"))
-    copies = _with_copies(sized, source_plan(sized.drop("row"))).filter("copies > 0")
+    copies = _with_copies(sized, source_plan(sized.drop("row")))
+    # No copies: an empty array, no row.
     return copies.select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")
 
 
