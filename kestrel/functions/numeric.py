@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Decimals that averages keep.
+MEAN_DIGITS = 9
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -26,19 +30,16 @@ def to_number(col: Column | str, dtype: str = "double") -> Column:
     return _c(col).try_cast(dtype)
 
 
-def scaled_sum(col: Column | str, scale: int) -> Column:
-    """Sum of ``round(x * 10^scale)`` as a long: exact and independent of the
-    order rows arrive in, for values with at most ``scale`` decimals."""
-    return F.sum(F.round(_c(col) * (10 ** scale)).cast("long"))
+def mean(col: Column | str, digits: int = MEAN_DIGITS) -> Column:
+    """``avg`` rounded to ``digits`` decimals, as an aggregate expression.
 
+    The last bits of an average of doubles depend on the order in which
+    partial sums arrive; rounding the result (never the inputs) makes equal
+    averages equal on every run, so ties in rankings are true ties."""
+    return F.round(F.avg(_c(col)), digits)
 
-def exact_mean(col: Column | str, scale: int) -> Column:
-    """Mean of a column whose values have at most ``scale`` decimals (money
-    with 2, ratings with 1), as an aggregate expression.
 
-    A plain ``avg`` over doubles depends on summation order in its last
-    bits, so two runs (or two engines) can disagree. Summing scaled integers
-    is exact; one division then rounds once. Nulls are skipped; no rows or
-    only nulls give null."""
-    n = F.count(_c(col))
-    return F.try_divide(scaled_sum(col, scale), n) / (10 ** scale)
+def mean_of_sums(total: Column | str, n: Column | str, digits: int = MEAN_DIGITS) -> Column:
+    """The same average from partial sums and non-null counts that were
+    aggregated before; null without rows."""
+    return F.round(F.try_divide(F.sum(_c(total)), F.sum(_c(n))), digits)

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.functions.numeric import to_number
+
 # ---------------------------------------------------------------------------
 # Fixed values. These must equal the reference's for matching results.
 # ---------------------------------------------------------------------------
@@ -37,9 +39,9 @@ def parse_location(df: DataFrame, key: str = "location",
     row and any row whose parts or count do not parse."""
     parts = F.split(F.col(key), ",")
     return (df.filter(F.lower(F.col(key)) != key.lower())
-            .select(F.get(parts, 0).try_cast("double").alias("longitude"),
-                    F.get(parts, 1).try_cast("double").alias("latitude"),
-                    F.col(count_col).try_cast("long").alias(count_col))
+            .select(to_number(F.get(parts, 0)).alias("longitude"),
+                    to_number(F.get(parts, 1)).alias("latitude"),
+                    to_number(count_col, "long").alias(count_col))
             .dropna(subset=["longitude", "latitude", count_col]))
 
 

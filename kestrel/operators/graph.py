@@ -15,9 +15,20 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from kestrel.session import materialize
+from kestrel.functions.numeric import ratio_or_zero
+from kestrel.operators.clean import drop_any_null, fill
+from kestrel.session import discard, materialize
+
+# ---------------------------------------------------------------------------
+# Fixed values. These must equal the reference's for matching results.
+# ---------------------------------------------------------------------------
+# PageRank: reset probability and tolerance; damping and rounds of the weighted one.
+RESET = 0.15
+TOLERANCE = 0.01
+DAMPING = 0.85
+ROUNDS = 10
+# ---------------------------------------------------------------------------
 
 
 # --- tables ---------------------------------------------------------------
@@ -74,9 +85,8 @@ def one_row_per_vertex(vertices: DataFrame, attrs: Sequence[str]) -> DataFrame:
 
 def parallel_edge_weights(df: DataFrame, src: Column, dst: Column, weight: Column) -> DataFrame:
     """Sum a weight over parallel edges; drop pairs with a null."""
-    return (df.groupBy(src.alias("src"), dst.alias("dst"))
-            .agg(F.sum(weight).alias("weight"))
-            .dropna(how="any"))
+    return drop_any_null(df.groupBy(src.alias("src"), dst.alias("dst"))
+                         .agg(F.sum(weight).alias("weight")))
 
 
 def normalize_out_weights(weighted: DataFrame) -> DataFrame:
@@ -92,9 +102,7 @@ def normalize_out_weights(weighted: DataFrame) -> DataFrame:
     (``parallel_edge_weights`` never yields them)."""
     sum_out = weighted.groupBy("src").agg(F.sum("weight").alias("sumOut"))
     return (weighted.join(sum_out, "src", "inner")
-            .withColumn("norm_weight",
-                        F.when(F.col("sumOut") == 0, F.lit(0.0))
-                        .otherwise(F.col("weight") / F.col("sumOut"))))
+            .withColumn("norm_weight", ratio_or_zero("weight", "sumOut")))
 
 
 # --- helpers for the loops --------------------------------------------------
@@ -112,10 +120,19 @@ def _cut(df: DataFrame, name: str, metrics=None):
     return materialize(df, name, metrics)
 
 
+def _along(pairs: DataFrame, state: DataFrame, end: str) -> DataFrame:
+    """Edges joined to the state of their ``end`` vertex.
+
+    Both sides are written tables, not cached or pre-partitioned frames: Spark
+    broadcasts a small state, and otherwise may split the shuffle partition of
+    a vertex that most edges share (skew join)."""
+    return pairs.join(state, end)
+
+
 # --- PageRank ----------------------------------------------------------------
 
-def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: float = 0.85,
-                      iterations: int = 10, checkpoint_every: int = 3,
+def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: float = DAMPING,
+                      iterations: int = ROUNDS, checkpoint_every: int = 3,
                       dangling: str = "leak") -> DataFrame:
     """Fixed-round weighted PageRank.
 
@@ -134,13 +151,16 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
     n = seen["n"]
     if n == 0:
         return ids.withColumn("pagerank", F.lit(None).cast("double"))
-    edges = (norm_edges.select("src", "dst", "norm_weight")
-             .repartition("src").persist(StorageLevel.MEMORY_AND_DISK))
+    edges = _cut(norm_edges.select("src", "dst", "norm_weight"), "wpagerank-edges")
     base = (1.0 - damping) / n
     members = ids.select("id", F.lit(True).alias("_member"), F.lit(None).cast("double").alias("contrib"))
     rank = ids.withColumn("pagerank", F.lit(1.0 / n))
+    # The redistributed mass reads the rank twice more, so an uncut plan would
+    # multiply from round to round.
+    every = 1 if dangling == "redistribute" else checkpoint_every
+    written = None
     for i in range(iterations):
-        contrib = (edges.join(rank.withColumnRenamed("id", "src"), "src")
+        contrib = (_along(edges, rank.withColumnRenamed("id", "src"), "src")
                    .select(F.col("dst").alias("id"), F.lit(None).cast("boolean").alias("_member"),
                            (F.col("pagerank") * F.col("norm_weight")).alias("contrib")))
         # One shuffle: vertex rows and contributions meet in one aggregation;
@@ -148,7 +168,8 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
         summed = (members.unionByName(contrib).groupBy("id")
                   .agg(F.max("_member").alias("_member"), F.sum("contrib").alias("total_contrib"))
                   .filter(F.col("_member")))
-        received = F.coalesce(F.col("total_contrib"), F.lit(0.0))
+        summed = fill(summed, {"total_contrib": 0.0})
+        received = F.col("total_contrib")
         if dangling == "redistribute":
             # Mass held before the round minus mass delivered to vertices:
             # one-row scalars inside the plan.
@@ -156,14 +177,18 @@ def weighted_pagerank(vertex_ids: DataFrame, norm_edges: DataFrame, damping: flo
             delivered = summed.agg(F.coalesce(F.sum("total_contrib"), F.lit(0.0))).scalar()
             received = received + (held - delivered) / F.lit(float(n))
         rank = summed.select("id", (F.lit(base) + F.lit(damping) * received).alias("pagerank"))
-        if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-            rank = _cut(rank, "wpagerank")
-    edges.unpersist()
+        if (i + 1) % every == 0 or i + 1 == iterations:
+            rank, before = _cut(rank, "wpagerank"), written
+            if before is not None:
+                discard(before)
+            written = rank
+    if iterations:
+        discard(ids, edges)
     return rank
 
 
-def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol: float = 0.01,
-             max_rounds: int = 10_000) -> DataFrame:
+def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = RESET, tol: float = TOLERANCE,
+             max_rounds: int | None = None) -> DataFrame:
     """PageRank to a tolerance (G9), with the dynamic (delta-propagating)
     semantics of the GraphX implementation behind the reference's call.
 
@@ -173,7 +198,10 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     each count); a vertex that receives ``m`` adds ``(1 - reset) * m`` to its
     rank and that becomes its change. Rounds stop when nothing is sent; ranks
     are then scaled to sum to the number of vertices. Edges with an end
-    outside the vertex table are ignored. Returns (id, pagerank)."""
+    outside the vertex table are ignored. Returns (id, pagerank).
+
+    The loop has no round limit: what is sent shrinks by ``1 - reset`` each
+    round. With ``max_rounds``, reaching it before convergence raises."""
     keep = 1.0 - reset
     first = keep * (reset / keep)
     sending = F.col("active") & (F.col("delta") > tol)
@@ -184,24 +212,23 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
     state, seen = _cut(vertex_ids.select("id").distinct()
                        .select("id", F.lit(first).alias("pr"), F.lit(first).alias("delta"),
                                F.lit(True).alias("active")), "pagerank", senders_metric)
-    ids = state.select("id")
-    # Parallel edges are counted first (combined map-side, so a vertex with a
-    # third of all edges costs one row per task), then the distinct pairs are
-    # partitioned by src; out-degree and the join reuse that partitioning and
-    # the cached weights keep it for the rounds.
-    known = _restrict_to(edges.select("src", "dst"), ids)
-    mult = (known.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
-            .repartition("src"))
-    out_deg = mult.groupBy("src").agg(F.sum("_mult").alias("_deg"))
-    weights = (mult.join(out_deg, "src")
-               .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"))
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    # Parallel edges are counted first (combined map-side, so raw edges are
+    # shuffled once, already collapsed per task); only distinct pairs meet the
+    # vertex table and their out-degrees.
+    mult = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
+    known = _cut(_restrict_to(mult, state.select("id")), "pagerank-pairs")
+    out_deg = known.groupBy("src").agg(F.sum("_mult").alias("_deg"))
+    weights = _cut(known.join(out_deg, "src")
+                   .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w")), "pagerank-weights")
+    discard(known)
     null_d = F.lit(None).cast("double")
     round_no = 0
-    while round_no < max_rounds and seen["senders"]:
+    while seen["senders"]:
+        if round_no == max_rounds:
+            raise RuntimeError(f"PageRank has not converged after {max_rounds} rounds")
         round_no += 1
         senders = state.filter(sending).select(F.col("id").alias("src"), "delta")
-        msgs = (weights.join(senders, "src")
+        msgs = (_along(weights, senders, "src")
                 .select(F.col("dst").alias("id"), null_d.alias("pr"), null_d.alias("delta"),
                         (F.col("delta") * F.col("w")).alias("msg")))
         merged = (state.select("id", "pr", "delta", null_d.alias("msg")).unionByName(msgs)
@@ -209,12 +236,14 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = 0.15, tol:
                                      F.sum("msg").alias("msg")))
         new_pr = F.col("pr") + F.lit(keep) * F.col("msg")
         got = F.col("msg").isNotNull()
+        before = state
         state, seen = _cut(merged.select(
             "id",
             F.when(got, new_pr).otherwise(F.col("pr")).alias("pr"),
             F.when(got, new_pr - F.col("pr")).otherwise(F.col("delta")).alias("delta"),
             got.alias("active")), "pagerank", senders_metric)
-    weights.unpersist()
+        discard(before)
+    discard(weights)
     total = state.agg(F.sum("pr")).scalar()
     count = state.agg(F.count(F.lit(1))).scalar()
     return state.select("id", (F.col("pr") * count / total).alias("pagerank"))
@@ -238,10 +267,12 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
     ``distinct_pairs=True`` declares that ``edges`` already has one row per
     (src, dst) (as ``min_per_pair`` returns), which saves a deduplication.
 
-    Method: hop distances to each target are found by expanding frontiers
-    backwards from the targets over distinct (src, dst) pairs; state is one
-    row per (vertex, target) reached. An edge s -> u starts a shortest path
-    to t exactly when dist(s, t) = D and dist(u, t) = D - 1."""
+    Method: hop distances to the nearest target are found by expanding a
+    frontier backwards from all targets at once; the state is one row per
+    vertex. D is the smallest distance of a start, so every shortest path
+    steps from distance to distance - 1. Targets are carried only along those
+    paths: the vertices on them are found forwards from the starts, then the
+    targets travel back over them."""
     # One small table of per-vertex flags, written once, so the loop never
     # goes back to the (possibly huge) input the vertices came from.
     flags = _cut(vertices.groupBy("id").agg(
@@ -249,67 +280,71 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
         F.max(F.coalesce(to_cond, F.lit(False))).alias("_to")), "bfs-vertices")
     ids = flags.select("id")
     # Used by the search (as distinct pairs) and by the final first-hop join.
-    known = _restrict_to(edges, ids).persist(StorageLevel.MEMORY_AND_DISK)
+    known = _cut(_restrict_to(edges, ids), "bfs-edges")
     attrs = [c for c in known.columns if c not in ("src", "dst")]
     starts = flags.filter("_from").select("id")
     targets = flags.filter("_to").select("id")
-    empty_schema = (known.select(F.col("src").alias("start"), F.col("dst").alias("end"),
-                                 F.lit(0).alias("hops"), F.col("dst").alias("next_id"), *attrs)
-                    .limit(0))
 
     zero = targets.join(starts, "id", "left_semi")
-    if zero.limit(1).count():
+    if not zero.isEmpty():
         return zero.select(F.col("id").alias("start"), F.col("id").alias("end"),
                            F.lit(0).alias("hops"), F.lit(None).cast(ids.schema["id"].dataType).alias("next_id"),
                            *[F.lit(None).cast(known.schema[a].dataType).alias(a) for a in attrs])
 
-    # Deduplicate first (combined map-side, so a vertex with a third of all
-    # edges does not land in one task), then partition the distinct pairs by
-    # dst: the frontier joins on dst then move only the frontier.
-    pairs = known.select("src", "dst")
-    if not distinct_pairs:
-        pairs = pairs.distinct()
-    pairs = pairs.repartition("dst").persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = known if distinct_pairs else _cut(known.select("src", "dst").distinct(), "bfs-pairs")
+    pairs, collapsed = pairs.select("src", "dst"), pairs
     start_flags = flags.select("id", F.col("_from").alias("_is_start"))
     # Each level is written out once; `visited` is the union of the level
     # tables, so the plan grows by one file scan per level.
-    frontier = _cut(targets.select("id", F.col("id").alias("target"), F.lit(False).alias("_is_start"),
-                                   F.lit(0).alias("hops")), "bfs-level")
-    levels = [frontier]
+    levels = [_cut(targets.select("id", F.lit(False).alias("_is_start")), "bfs-level")]
     depth = None
     for k in range(1, max_path_length + 1):
-        visited = levels[0].select("id", "target")
+        visited = levels[0].select("id")
         for level in levels[1:]:
-            visited = visited.unionByName(level.select("id", "target"))
-        step = (pairs.join(frontier.select(F.col("id").alias("dst"), "target"), "dst")
-                .select(F.col("src").alias("id"), "target").distinct()
-                .join(visited, ["id", "target"], "left_anti")
+            visited = visited.unionByName(level.select("id"))
+        step = (_along(pairs, levels[-1].select(F.col("id").alias("dst")), "dst")
+                .select(F.col("src").alias("id")).distinct()
+                .join(visited, "id", "left_anti")
                 .join(start_flags, "id", "left")
-                .select("id", "target", F.coalesce("_is_start", F.lit(False)).alias("_is_start"),
-                        F.lit(k).alias("hops")))
+                .select("id", F.coalesce("_is_start", F.lit(False)).alias("_is_start")))
         step, stats = _cut(step, "bfs-level", [F.count(F.lit(1)).alias("n"),
                                                F.max("_is_start").alias("hit")])
         if not stats["n"]:
             break
         levels.append(step)
-        frontier = step
         if stats["hit"]:
             depth = k
             break
-    pairs.unpersist()
     if depth is None:
-        known.unpersist()
-        return empty_schema
-    visited = levels[0]
-    for level in levels[1:]:
-        visited = visited.unionByName(level)
-
-    at_depth = (visited.filter(F.col("hops") == depth).join(starts, "id", "left_semi")
-                .select(F.col("id").alias("src"), "target"))
-    one_less = visited.filter(F.col("hops") == depth - 1).select(F.col("id").alias("dst"), "target")
-    return (known.join(at_depth, "src").join(one_less, ["dst", "target"])
-            .select(F.col("src").alias("start"), F.col("target").alias("end"),
-                    F.lit(depth).alias("hops"), F.col("dst").alias("next_id"), *attrs))
+        empty = (known.select(F.col("src").alias("start"), F.col("dst").alias("end"), F.lit(0).alias("hops"),
+                              F.col("dst").alias("next_id"), *attrs).schema)
+        discard(flags, known, *levels)
+        if collapsed is not known:
+            discard(collapsed)
+        return vertices.sparkSession.createDataFrame([], empty)
+
+    # Forwards: the vertices of each level that a shortest path runs through.
+    on_path = [levels[depth].filter("_is_start").select("id")]
+    for k in range(depth - 1, 0, -1):
+        nexts = (_along(pairs, on_path[-1].select(F.col("id").alias("src")), "src")
+                 .select(F.col("dst").alias("id")).distinct().join(levels[k].select("id"), "id", "left_semi"))
+        on_path.append(_cut(nexts, "bfs-path"))
+    # Backwards: the targets each of them leads to.
+    reach = levels[0].select("id", F.col("id").alias("target"))
+    carried = []
+    for k in range(1, depth):
+        step = (_along(pairs, reach.withColumnRenamed("id", "dst"), "dst").select(F.col("src").alias("id"), "target")
+                .join(on_path[depth - k], "id", "left_semi").distinct())
+        reach = _cut(step, "bfs-reach")
+        carried.append(reach)
+    first = _cut(_along(known, on_path[0].select(F.col("id").alias("src")), "src")
+                 .join(reach.withColumnRenamed("id", "dst"), "dst")
+                 .select(F.col("src").alias("start"), F.col("target").alias("end"),
+                         F.lit(depth).alias("hops"), F.col("dst").alias("next_id"), *attrs), "bfs-first-hops")
+    discard(flags, known, *levels, *on_path[1:], *carried)
+    if collapsed is not known:
+        discard(collapsed)
+    return first
 
 
 def min_per_pair(edges: DataFrame, attr: str) -> DataFrame:
@@ -356,11 +391,11 @@ class PropertyGraph:
         return self_loops(self.edges)
 
     def bfs(self, fromExpr: str | Column, toExpr: str | Column,  # noqa: N803 - GraphFrames names
-            maxPathLength: int = 10) -> DataFrame:  # noqa: N803
+            maxPathLength: int = 10, distinct_pairs: bool = False) -> DataFrame:  # noqa: N803
         """First legs of the shortest paths (see ``bfs_first_hops``)."""
         return bfs_first_hops(self.vertices, self.edges, self._cond(fromExpr), self._cond(toExpr),
-                              maxPathLength)
+                              maxPathLength, distinct_pairs)
 
-    def pageRank(self, resetProbability: float = 0.15, tol: float = 0.01) -> DataFrame:  # noqa: N802,N803
+    def pageRank(self, resetProbability: float = RESET, tol: float = TOLERANCE) -> DataFrame:  # noqa: N802,N803
         """``(id, pagerank)`` to a tolerance (see ``pagerank``)."""
         return pagerank(self.vertices, self.edges, reset=resetProbability, tol=tol)

@@ -20,11 +20,11 @@ def histogram(df: DataFrame, value: Column | str, lo: float, hi: float, bins: in
                                               F.lit(bins)),
                                F.lit(bins)).cast("int").alias("bin"))
                .groupBy("bin").count())
-    # The bin list has exactly `bins` rows, so broadcasting it is bounded.
+    # The counted side has at most `bins` rows, so broadcasting it is bounded.
     width = (hi - lo) / bins
     all_bins = (df.sparkSession.range(1, bins + 1)
                 .select(F.col("id").cast("int").alias("bin")))
-    return (F.broadcast(all_bins).join(counted, "bin", "left")
+    return (all_bins.join(F.broadcast(counted), "bin", "left")
             .select("bin",
                     (F.lit(float(lo)) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"),
                     (F.lit(float(lo)) + F.col("bin") * F.lit(width)).alias("bin_end"),

@@ -6,14 +6,18 @@ and meaning from the given Parquet tables, so every query's work grows with
 them. The same derivations are written in SQL in ``kestrel.plans.oracle``.
 
 - tweets: one per event; 14-digit packed timestamp from ``ts``; longitude
-  from the user, latitude from the event type.
+  from the user (none for every 37th user), latitude from the event type.
 - ratings: one per line item; user = ordering customer, movie = part,
-  rating = quantity / 10 (0.1 to 5.0), time = order date in epoch seconds.
+  rating = quantity / 10 plus 0.00 to 0.03, time = order date in epoch seconds.
 - movies: one per part; genres = the words of the part name and its type,
   joined by pipes.
 - trips: one per line item; pickup area = the customer's nation, dropoff
-  area = the supplier's nation; miles = quantity, fare = extended price,
-  seconds = part key, start = ship date plus ``orderkey % 24`` hours.
+  area = the supplier's nation; miles = quantity, fare = extended price /
+  1000, seconds = part key, start = ship date plus ``orderkey % 24`` hours.
+  Every 97th customer starts in area 100, which nobody goes to, and every
+  7th supplier is in area 200, where nobody starts. Some values are
+  missing: pickup area (every 53rd order), dropoff tract (every 41st part),
+  fare (every 59th part), miles (every 61st part).
 - log lines: one per event, rendered as an HDFS-style line whose shape
   depends on the event type; arrival time = event time.
 - supply graph: suppliers and parts as vertices, an edge each way per line
@@ -32,7 +36,7 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type"])
     return ev.select(
         F.date_format("ts", "yyyyMMddHHmmss").cast("long").alias("timestamp"),
-        (F.lit(-125.0) + F.col("user_id") * F.lit(0.5)).alias("longitude"),
+        F.when(F.col("user_id") % 37 != 0, F.lit(-125.0) + F.col("user_id") * F.lit(0.5)).alias("longitude"),
         (F.lit(24.0) + F.length("event_type")).cast("double").alias("latitude"),
     )
 
@@ -43,7 +47,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .select(F.col("o_custkey").alias("userId"),
                     F.col("l_partkey").alias("movieId"),
-                    (F.col("l_quantity") / 10).alias("rating"),
+                    ((F.col("l_quantity") * 10 + F.col("l_orderkey") % 4) / 100).alias("rating"),
                     F.unix_timestamp("o_orderdate").alias("timestamp")))
 
 
@@ -72,23 +76,33 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (li.join(od, li.l_orderkey == od.o_orderkey)
               .join(cu, F.col("o_custkey") == cu.c_custkey)
               .join(su, F.col("l_suppkey") == su.s_suppkey))
+    joined = joined.withColumns({
+        "_pickup": F.when(F.col("l_orderkey") % 53 != 0,
+                          F.when(F.col("c_custkey") % 97 == 0, F.lit(100)).otherwise(F.col("c_nationkey"))),
+        "_dropoff": F.when(F.col("s_suppkey") % 7 == 0, F.lit(200)).otherwise(F.col("s_nationkey"))})
     return joined.select(
         (F.col("l_shipdate")
          + F.make_dt_interval(F.lit(0), (F.col("l_orderkey") % 24).cast("int"))).alias("trip_start"),
         F.col("l_partkey").alias("trip_seconds"),
-        F.col("l_quantity").alias("trip_miles"),
-        F.col("l_extendedprice").alias("fare"),
-        F.col("c_nationkey").alias("pickup_area"),
-        (F.lit(41.0) + F.col("c_nationkey") * F.lit(0.01)).alias("pickup_lat"),
-        (F.lit(-87.0) - F.col("c_nationkey") * F.lit(0.01)).alias("pickup_lon"),
+        F.when(F.col("l_partkey") % 61 != 0, F.col("l_quantity")).alias("trip_miles"),
+        F.when(F.col("l_partkey") % 59 != 0, F.col("l_extendedprice") / 1000).alias("fare"),
+        F.col("_pickup").alias("pickup_area"),
+        (F.lit(41.0) + F.col("_pickup") * F.lit(0.01)).alias("pickup_lat"),
+        (F.lit(-87.0) - F.col("_pickup") * F.lit(0.01)).alias("pickup_lon"),
         (F.col("c_custkey") % 2).alias("pickup_tract"),
-        F.col("s_nationkey").alias("dropoff_area"),
-        (F.lit(41.0) + F.col("s_nationkey") * F.lit(0.01)).alias("dropoff_lat"),
-        (F.lit(-87.0) - F.col("s_nationkey") * F.lit(0.01)).alias("dropoff_lon"),
-        (F.col("s_suppkey") % 2).alias("dropoff_tract"),
+        F.col("_dropoff").alias("dropoff_area"),
+        (F.lit(41.0) + F.col("_dropoff") * F.lit(0.01)).alias("dropoff_lat"),
+        (F.lit(-87.0) - F.col("_dropoff") * F.lit(0.01)).alias("dropoff_lon"),
+        F.when(F.col("l_partkey") % 41 != 0, F.col("s_suppkey") % 2).alias("dropoff_tract"),
     )
 
 
+def tagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts whose words in ``a`` are hashtags."""
+    docs = read_table(spark, sf_dir, "documents", ["text"])
+    return docs.select(F.replace("text", F.lit(" a"), F.lit(" #a")).alias("text"))
+
+
 def log_lines(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """``(value, timestamp)`` like the socket source with arrival time.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 TWEETS = """tweets AS (
   SELECT CAST(strftime(ts, '%Y%m%d%H%M%S') AS BIGINT) AS timestamp,
-         CAST(-125.0 + user_id * 0.5 AS DOUBLE) AS longitude,
+         CASE WHEN user_id % 37 <> 0 THEN CAST(-125.0 + user_id * 0.5 AS DOUBLE) END AS longitude,
          CAST(24 + length(event_type) AS DOUBLE) AS latitude
   FROM events),
 tweets_t AS (
@@ -22,7 +22,7 @@ weekday AS (
   SELECT * FROM tweets_t WHERE dayofweek(tweet_time) BETWEEN 1 AND 5)"""
 
 RATINGS = """ratings AS (
-  SELECT o_custkey AS userId, l_partkey AS movieId, l_quantity / 10 AS rating,
+  SELECT o_custkey AS userId, l_partkey AS movieId, (l_quantity * 10 + l_orderkey % 4) / 100 AS rating,
          CAST(epoch(o_orderdate) AS BIGINT) AS timestamp
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 ratings_t AS (
@@ -68,7 +68,7 @@ def tweets_sql() -> dict[str, str]:
             "SELECT timestamp, longitude, latitude, tweet_time, "
             "strftime(tweet_time, '%Y-%m-%d') AS tweet_date FROM weekday"),
         "tweets_location_counts": w + (
-            "SELECT concat(longitude, ',', latitude) AS location, count(*) AS count "
+            "SELECT longitude || ',' || latitude AS location, count(*) AS count "
             "FROM weekday GROUP BY 1"),
         "tweets_time_of_day": w + (
             "SELECT CASE WHEN hour(tweet_time) BETWEEN 5 AND 11 THEN 'Morning' "
@@ -81,7 +81,7 @@ def tweets_sql() -> dict[str, str]:
             "SELECT day_name, count, count / (SELECT sum(count) FROM g) * 100 AS percentage "
             "FROM g WHERE count > (SELECT avg(count) FROM g)"),
         "tweets_top_locations": w + (
-            "SELECT concat(longitude, ',', latitude) AS location, count(*) AS count "
+            "SELECT longitude || ',' || latitude AS location, count(*) AS count "
             "FROM tweets GROUP BY 1 ORDER BY count DESC, location ASC NULLS LAST LIMIT 10"),
         "tweets_map_points": w + (
             "SELECT longitude, latitude, count(*) AS count FROM weekday "
@@ -121,14 +121,14 @@ def ratings_sql() -> dict[str, str]:
         "ratings_genre_counts": per_genre + (
             "SELECT genre, count(*) AS count FROM vg JOIN ratings USING (movieId) GROUP BY genre"),
         "ratings_genre_average": per_genre + (
-            "SELECT genre, sum(CAST(round(rating * 10) AS BIGINT)) / count(rating) / 10 AS avg_rating, count(rating) AS rating_count "
+            "SELECT genre, round(avg(rating), 9) AS avg_rating, count(rating) AS rating_count "
             "FROM vg JOIN ratings USING (movieId) GROUP BY genre"),
         "ratings_year_share": years + (
             "SELECT year, count, count / (SELECT sum(count) FROM y) * 100 AS percentage FROM y"),
         "ratings_years": years + (
             "SELECT DISTINCT TRY_CAST(year AS INTEGER) AS year FROM y WHERE TRY_CAST(year AS INTEGER) IS NOT NULL"),
         "ratings_top_movies": w + (
-            "SELECT movieId, title, genres, sum(CAST(round(rating * 10) AS BIGINT)) / count(rating) / 10 AS avg_rating, "
+            "SELECT movieId, title, genres, round(avg(rating), 9) AS avg_rating, "
             "count(rating) AS rating_count FROM movies JOIN ratings USING (movieId) "
             "GROUP BY movieId, title, genres "
             "ORDER BY avg_rating DESC NULLS LAST, movieId LIMIT 10"),
@@ -148,18 +148,22 @@ def ratings_sql() -> dict[str, str]:
 
 TRIPS = """trips AS (
   SELECT l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS trip_start,
-         l_partkey AS trip_seconds, l_quantity AS trip_miles, l_extendedprice AS fare,
-         c_nationkey AS pickup_area,
-         CAST(41.0 AS DOUBLE) + c_nationkey * CAST(0.01 AS DOUBLE) AS pickup_lat,
-         CAST(-87.0 AS DOUBLE) - c_nationkey * CAST(0.01 AS DOUBLE) AS pickup_lon,
+         l_partkey AS trip_seconds,
+         CASE WHEN l_partkey % 61 <> 0 THEN l_quantity END AS trip_miles,
+         CASE WHEN l_partkey % 59 <> 0 THEN l_extendedprice / 1000 END AS fare,
+         pickup AS pickup_area,
+         CAST(41.0 AS DOUBLE) + pickup * CAST(0.01 AS DOUBLE) AS pickup_lat,
+         CAST(-87.0 AS DOUBLE) - pickup * CAST(0.01 AS DOUBLE) AS pickup_lon,
          c_custkey % 2 AS pickup_tract,
-         s_nationkey AS dropoff_area,
-         CAST(41.0 AS DOUBLE) + s_nationkey * CAST(0.01 AS DOUBLE) AS dropoff_lat,
-         CAST(-87.0 AS DOUBLE) - s_nationkey * CAST(0.01 AS DOUBLE) AS dropoff_lon,
-         s_suppkey % 2 AS dropoff_tract
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       JOIN customer ON o_custkey = c_custkey
-       JOIN supplier ON l_suppkey = s_suppkey),
+         dropoff AS dropoff_area,
+         CAST(41.0 AS DOUBLE) + dropoff * CAST(0.01 AS DOUBLE) AS dropoff_lat,
+         CAST(-87.0 AS DOUBLE) - dropoff * CAST(0.01 AS DOUBLE) AS dropoff_lon,
+         CASE WHEN l_partkey % 41 <> 0 THEN s_suppkey % 2 END AS dropoff_tract
+  FROM (SELECT *, CASE WHEN l_orderkey % 53 <> 0 THEN CASE WHEN c_custkey % 97 = 0 THEN 100 ELSE c_nationkey END END AS pickup,
+               CASE WHEN s_suppkey % 7 = 0 THEN 200 ELSE s_nationkey END AS dropoff
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+             JOIN customer ON o_custkey = c_custkey
+             JOIN supplier ON l_suppkey = s_suppkey)),
 verts AS (
   SELECT DISTINCT * FROM (
     SELECT pickup_area AS id, pickup_lat AS latitude, pickup_lon AS longitude, pickup_tract AS CensusTract
@@ -269,6 +273,11 @@ def _pagerank_sql(prefix: str, reset: float = 0.15, tol: float = 0.01, steps: in
     return "\n".join(parts)
 
 
+def _ranked_sql(ranks: str) -> str:
+    """Ranks in a registered order: highest first, ties by id."""
+    return f"SELECT *, CAST(row_number() OVER (ORDER BY pagerank DESC, id) AS INTEGER) AS position FROM ({ranks})"
+
+
 def _histogram_sql(prefix: str, column: str, lo: float, hi: float, bins: int) -> str:
     width = (hi - lo) / bins
     return prefix + f""",
@@ -287,7 +296,7 @@ def trips_sql() -> dict[str, str]:
     from kestrel.plans.trips import BFS_TARGET_AREA, FARE_HISTOGRAMS, SUPPLY_TARGET
     w = _with(TRIPS)
     ww = _with(TRIPS, WEIGHTED)
-    fare_avg = "SELECT {k}, sum(CAST(round(fare_amount * 100) AS BIGINT)) / count(fare_amount) / 100 AS avg_fare FROM fares GROUP BY {k}"
+    fare_avg = "SELECT {k}, round(avg(fare_amount), 9) AS avg_fare FROM fares GROUP BY {k}"
     out = {
         "trips_record_count": w + "SELECT count(*) AS record_count FROM trips",
         "trips_vertices": w + "SELECT * FROM verts",
@@ -305,6 +314,8 @@ def trips_sql() -> dict[str, str]:
                                        f"id LIKE 'S%' AND id <> '{SUPPLY_TARGET}'", f"'{SUPPLY_TARGET}'"),
         "trips_unique_vertices": w + "SELECT * FROM uverts",
         "trips_weighted_edges": ww + "SELECT * FROM nedges",
+        "trips_pagerank_ranked": _ranked_sql(_pagerank_sql("WITH " + TRIPS)),
+        "trips_weighted_pagerank_ranked": _ranked_sql(_weighted_pagerank_sql("WITH " + TRIPS + ",\n" + WEIGHTED)),
         "trips_weighted_pagerank": _weighted_pagerank_sql("WITH " + TRIPS + ",\n" + WEIGHTED),
         "trips_pagerank": _pagerank_sql("WITH " + TRIPS),
         "trips_fare_table": w + "SELECT * FROM fares",
@@ -354,10 +365,22 @@ def logs_sql() -> dict[str, str]:
     info = w + (f"SELECT {HOST} AS hostname, count(*) AS count FROM logs "
                 "WHERE contains(value, 'INFO') AND contains(value, 'blk_') GROUP BY 1")
     lines = w + "SELECT value, timestamp FROM logs"
+    from kestrel.streaming.logs import LATE_ONE_IN
+    late = ("(epoch_us(ts) - lo) / CAST(hi - lo + 1 AS DOUBLE) < 0.5 AND event_id % " + str(LATE_ONE_IN) + " = 0")
+    replay = _with(
+        "span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)",
+        f"arrived AS (SELECT *, {late} AS is_late FROM events, span)",
+        LOGS.replace("ts AS timestamp\n  FROM events", "ts AS timestamp, is_late\n  FROM arrived"),
+        "mark AS (SELECT max(timestamp) - INTERVAL 5 second AS mark FROM logs WHERE NOT is_late)",
+        "w AS (SELECT unnest([b, b - INTERVAL 30 second]) AS s, is_late FROM (SELECT is_late, "
+        "time_bucket(INTERVAL 30 second, timestamp) AS b FROM logs WHERE contains(value, 'DataNode')))") + (
+        "SELECT s AS window_start, s + INTERVAL 60 second AS window_end, count(*) AS datanode_count FROM w, mark "
+        "WHERE NOT is_late OR s + INTERVAL 60 second > mark GROUP BY s")
     return {
         "logs_lines": lines, "logs_lines_stream": lines,
         "logs_datanode_windows": windows, "logs_datanode_windows_stream": windows,
         "logs_bytes_per_host": per_host, "logs_bytes_per_host_stream": per_host,
+        "logs_datanode_windows_replay": replay,
         "logs_info_block_counts": info, "logs_info_block_counts_stream": info,
     }
 
@@ -368,7 +391,11 @@ def oracle_sql() -> dict[str, str]:
     out.update(ratings_sql())
     out.update(trips_sql())
     out.update(logs_sql())
+    out |= {"csv_tweets_day_share": out["tweets_day_share"], "csv_ratings_top_movies": out["ratings_top_movies"],
+            "csv_trips_avg_fare_by_hour": out["trips_avg_fare_by_hour"], "csv_trips_malformed":
+            _with(TRIPS) + "SELECT count(*) FILTER (WHERE trip_seconds % 43 = 0) AS malformed_values, "
+            "count(*) AS trips, count(pickup_area) AS with_pickup FROM trips"}
     out["documents_hashtags"] = (
-        r"SELECT hashtag, count(*) AS count FROM (SELECT unnest(regexp_extract_all(text, '#(\w+)', 1)) "
+        r"SELECT hashtag, count(*) AS count FROM (SELECT unnest(regexp_extract_all(replace(text, ' a', ' #a'), '#(\w+)', 1)) "
         r"AS hashtag FROM documents) GROUP BY hashtag")
     return out

@@ -24,12 +24,11 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) ->
     """Settings for a large cluster, sized from the bytes a job reads.
 
     Shuffles start with about one partition per ``partition_bytes`` of input
-    (at least 200, at most 100,000) and AQE merges the small ones after
-    measuring them, so partitions stay near the advisory size whatever the
-    selectivity. Skewed join partitions over 5x the median (and 1 GiB) are
+    (at least 200) and AQE merges the small ones after measuring them, so
+    partitions stay near the advisory size whatever the selectivity. Skewed join partitions over 5x the median (and 1 GiB) are
     split. Large streaming state goes to RocksDB instead of the JVM heap.
     ``spark.checkpoint.dir`` must also be set, to shared storage."""
-    partitions = max(200, min(100_000, input_bytes // partition_bytes))
+    partitions = max(200, input_bytes // partition_bytes)
     return {
         **DEFAULT_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
@@ -66,6 +65,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     Epoch seconds become calendar fields through the session time zone, so
     year, month, day and hour answers move with it; the library pins UTC.
+    The setting stays with the session after the query: results are lazy, and
+    are evaluated under the zone in force when they are read.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -117,6 +118,7 @@ def materialize(df, name: str, metrics=None):
     from pyspark.sql import Observation
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _written.add(path)
     observation = None
     if metrics:
         observation = Observation(f"{name}-metrics")
@@ -124,6 +126,35 @@ def materialize(df, name: str, metrics=None):
     df.write.parquet(path)
     # The schema is known, so the read skips footer inference.
     out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
     if observation is None:
         return out
     return out, observation.get
+
+
+# Scratch tables this driver has written and not deleted.
+_written: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _written.discard(path)
+
+
+def discard(*frames) -> None:
+    """Delete the scratch tables behind frames that ``materialize`` returned.
+    Only for tables that every later result was written from already."""
+    for frame in frames:
+        path = frame.__dict__.pop("_scratch_path", None)
+        if path:
+            _delete(frame.sparkSession, path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables still held, once their results have been
+    read; returns how many there were."""
+    held = sorted(_written)
+    for path in held:
+        _delete(spark, path)
+    return len(held)

@@ -18,8 +18,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] | None = None) -> None:
+                  partition_by: Sequence[str] | None = None, rows_per_file: int | None = None) -> None:
     writer = df.write.mode(mode)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

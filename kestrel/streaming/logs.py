@@ -9,10 +9,12 @@ functions the batch queries use.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kestrel.plans import fixtures, logs
+from kestrel.session import scratch_path
 from kestrel.sources.stream import read_file_stream
-from kestrel.sources.tables import stream_glob
+from kestrel.sources.tables import read_table, stream_glob
 from kestrel.streaming.runner import StreamRun, run_stream
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
@@ -42,10 +44,15 @@ def stream_bytes_per_host(spark: SparkSession, path: str,
     return run_stream(spark, q, "complete", name="bytes-per-host")
 
 
-def stream_info_block_counts(spark: SparkSession, path: str,
-                             max_files_per_trigger: int | None = None) -> StreamRun:
+def stream_info_block_counts(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                             timed_s: float | None = None,
+                             trigger: str = logs.PATTERN_TRIGGER) -> StreamRun:
+    """INFO/blk_ counts per host. With ``timed_s`` the query runs for so many
+    seconds on its processing-time trigger (ST8, ST9) instead of until the
+    input is used up."""
     q = logs.info_block_counts(line_stream(spark, path, max_files_per_trigger))
-    return run_stream(spark, q, "complete", name="info-block-counts")
+    timed = {"processing_time": trigger, "timeout_s": timed_s} if timed_s else {}
+    return run_stream(spark, q, "complete", name="info-block-counts", **timed)
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> StreamRun:
@@ -53,6 +60,43 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return run_stream(spark, line_stream(spark, path, max_files_per_trigger), "append", name="lines")
 
 
+# --- replay in several arrivals, the last one late ---------------------------------
+
+REPLAY_SLICES = 4
+LATE_ONE_IN = 40
+
+
+def replay_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events table in the order it arrives: time slices, then rows that
+    were held back (every ``LATE_ONE_IN``-th event of the first half)."""
+    events = read_table(spark, sf_dir, "events", EVENT_COLUMNS)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(micros), F.max(micros)).first()
+    if lo is None:
+        return [events]
+    share = (micros - lo) / F.lit(float(hi - lo + 1))
+    late = (share < 0.5) & (F.col("event_id") % LATE_ONE_IN == 0)
+    on_time = [events.filter(~late & (F.floor(share * REPLAY_SLICES) == n)) for n in range(REPLAY_SLICES)]
+    return [*on_time, events.filter(late)]
+
+
+def replay_datanode_windows(spark: SparkSession, sf_dir: str) -> StreamRun:
+    """DataNode windows over events that arrive slice by slice, in update
+    mode: each arrival is written and the query resumed from its checkpoint,
+    so windows are emitted again as later arrivals add to them, and the late
+    rows meet a watermark that has moved past them (ST1, ST6, ST10)."""
+    folder, sink, ckpt = (scratch_path(spark, f"log-replay{part}") for part in ("", "-sink", "-ckpt"))
+    dropped: dict[int, int] = {}
+    for n, part in enumerate(replay_slices(spark, sf_dir)):
+        part.write.parquet(f"{folder}/slice={n}")
+        query = logs.datanode_windows(line_stream(spark, f"{folder}/slice=*"))
+        run = run_stream(spark, query, "update", keys=["window_start", "window_end"], name="log-replay",
+                         sink_path=sink, checkpoint_path=ckpt)
+        dropped |= run.dropped
+    run.dropped = dropped
+    return run
+
+
 def events_path(sf_dir: str) -> str:
     """Stream source path of the events table under ``sf_dir``."""
     return stream_glob(sf_dir, "events")

@@ -10,6 +10,9 @@ the sink is exactly-once. The final answer is read from that table:
 - ``append``: every emitted row.
 - ``update``: per key, the row from the latest batch that emitted it (ST6).
 - ``complete``: the rows of the last batch (ST7).
+
+The sink stays bounded: ``complete`` keeps the newest batch only, and
+``update`` folds its folders into one every ``COMPACT_EVERY`` batches.
 """
 
 from __future__ import annotations
@@ -24,24 +27,67 @@ from pyspark.sql import functions as F
 from kestrel.session import scratch_path
 
 BATCH_COL = "kestrel_batch"
+COMPACT_EVERY = 16
 
 
 @dataclass
 class StreamRun:
+    """``finished`` is false for a run on a processing-time trigger, which is
+    stopped by the clock: its result covers the batches up to then."""
     result: DataFrame
     sink_path: str
     checkpoint_path: str
     progress: list
+    dropped: dict[int, int]
+    finished: bool
 
     def rows_dropped_by_watermark(self) -> int:
-        """Late rows the engine dropped (ST10), summed over the batches in
-        ``progress`` (the query's recent progress updates: the latest
-        ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
-        total = 0
-        for p in self.progress:
-            for op in p.get("stateOperators", []) or []:
-                total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
-        return total
+        """Late rows the engine dropped (ST10), over all batches of the run."""
+        return sum(self.dropped.values())
+
+
+def _note_drops(dropped: dict[int, int], progress: list) -> None:
+    for p in progress:
+        total = sum(int(op.get("numRowsDroppedByWatermark", 0) or 0) for op in p.get("stateOperators", []) or [])
+        dropped[int(p["batchId"])] = max(total, dropped.get(int(p["batchId"]), 0))
+
+
+def _batch_folders(spark: SparkSession, sink: str) -> dict[float, str]:
+    """Batch label -> folder of the sink."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    found = {}
+    for status in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{BATCH_COL}="):
+            found[float(name.split("=", 1)[1])] = status.getPath().toString()
+    return found
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _bound_sink(spark: SparkSession, sink: str, mode: str, keys: Sequence[str], batch_id: int) -> None:
+    """Drop what later readers cannot need, after batch ``batch_id`` is written.
+
+    Compaction writes the latest row per key under the label ``<id>.5``, which
+    is later than every batch it covers, and only then removes those: a crash
+    in between leaves rows twice, and readers take the later ones."""
+    if mode == "complete":
+        for label, folder in _batch_folders(spark, sink).items():
+            if label < batch_id:
+                _remove(spark, folder)
+    elif mode == "update" and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        covered = {label: f for label, f in _batch_folders(spark, sink).items() if label <= batch_id}
+        rows = _read_sink(spark, sink).filter(F.col(BATCH_COL) <= batch_id)
+        final_answer(rows, mode, keys).write.mode("overwrite").parquet(f"{sink}/{BATCH_COL}={batch_id}.5")
+        for folder in covered.values():
+            _remove(spark, folder)
+
+
+def _read_sink(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.parquet(sink).withColumn(BATCH_COL, F.col(BATCH_COL).cast("double"))
 
 
 def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[str] = (),
@@ -52,8 +98,10 @@ def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[
 
     Without ``processing_time`` the trigger is ``availableNow``: all input
     present at start is processed in as many micro-batches as the source's
-    rate limits make, then the query stops. With ``processing_time`` (ST8)
-    the query runs on that trigger until ``timeout_s`` elapses (ST9).
+    rate limits make, then the query stops; if ``timeout_s`` passes before
+    that, ``TimeoutError`` is raised (a rerun with the same two paths goes on
+    from the last batch). With ``processing_time`` (ST8) the query runs on
+    that trigger until ``timeout_s`` elapses (ST9).
 
     Fresh sink and checkpoint folders are made in the shared folder unless
     given; calling again with the same two paths resumes from the
@@ -61,36 +109,42 @@ def run_stream(spark: SparkSession, query: DataFrame, mode: str, keys: Sequence[
     or for the next files of a growing folder)."""
     sink = sink_path or scratch_path(spark, f"{name}-sink")
     ckpt = checkpoint_path or scratch_path(spark, f"{name}-ckpt")
+    dropped: dict[int, int] = {}
+    running: list = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch, overwritten: a batch re-run after a failure
         # (same id) replaces its own output instead of adding to it.
         batch.write.mode("overwrite").parquet(f"{sink}/{BATCH_COL}={batch_id}")
+        _bound_sink(spark, sink, mode, keys, batch_id)
+        # Progress is kept for a limited number of batches: note it as it comes.
+        for handle in running:
+            _note_drops(dropped, handle.recentProgress)
 
     writer = (query.writeStream.outputMode(mode).foreachBatch(write_batch)
               .option("checkpointLocation", ckpt))
     if processing_time:
         handle = writer.trigger(processingTime=processing_time).start()
-        try:
-            handle.awaitTermination(timeout_s)
-        finally:
-            handle.stop()
     else:
         handle = writer.trigger(availableNow=True).start()
-        try:
-            handle.awaitTermination(timeout_s)
-        finally:
-            if handle.isActive:
-                handle.stop()
+    running.append(handle)
+    try:
+        ended = handle.awaitTermination(timeout_s) if timeout_s is not None else handle.awaitTermination() or True
+    finally:
+        if handle.isActive:
+            handle.stop()
+    if not processing_time and not ended:
+        raise TimeoutError(f"stream {name} had input left after {timeout_s} s; rerun with sink {sink} and checkpoint {ckpt}")
     progress = [p for p in handle.recentProgress]
+    _note_drops(dropped, progress)
     if handle.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {handle.exception()}")
     columns = list(query.columns)
     try:
-        written = spark.read.parquet(sink).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+        written = _read_sink(spark, sink)
     except AnalysisException:  # no batch was written: an empty result
-        return StreamRun(spark.createDataFrame([], query.schema), sink, ckpt, progress)
-    return StreamRun(final_answer(written, mode, keys).select(*columns), sink, ckpt, progress)
+        return StreamRun(spark.createDataFrame([], query.schema), sink, ckpt, progress, dropped, not processing_time)
+    return StreamRun(final_answer(written, mode, keys).select(*columns), sink, ckpt, progress, dropped, not processing_time)
 
 
 def final_answer(written: DataFrame, mode: str, keys: Sequence[str] = ()) -> DataFrame:

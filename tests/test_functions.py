@@ -96,12 +96,15 @@ def test_hashtags(spark):
     assert got == [["Spark", "big_data"], [], None]
 
 
-def test_exact_mean_is_order_free(spark):
-    vals = [0.1, 0.2, 0.7, None]
-    got = _one_col(spark, vals, "double").agg(numeric.exact_mean("v", 1)).first()[0]
-    # Sum of tenths (10) over the non-null count (3), then back to units.
-    assert got == (10 / 3) / 10
-    assert _one_col(spark, [None], "double").agg(numeric.exact_mean("v", 1)).first()[0] is None
+def test_mean_keeps_every_digit_of_its_inputs(spark):
+    got = _one_col(spark, [3.75, 4.25, 3.333, None], "double").agg(numeric.mean("v")).first()[0]
+    assert got == 3.777666667
+    parts = spark.createDataFrame([(8.0, 2), (3.333, 1)], "s double, n int")
+    assert parts.agg(numeric.mean_of_sums("s", "n")).first()[0] == 3.777666667
+    assert _one_col(spark, [None], "double").agg(numeric.mean("v")).first()[0] is None
+    # The order of the rows does not show in the result.
+    assert len({_one_col(spark, v, "double").agg(numeric.mean("v")).first()[0]
+                for v in ([0.1, 0.2, 0.7], [0.7, 0.1, 0.2], [0.2, 0.7, 0.1])}) == 1
 
 
 def test_ratio_or_zero(spark):

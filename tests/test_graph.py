@@ -199,7 +199,7 @@ def test_property_graph_calls(spark):
 def test_cluster_conf_sizes_partitions():
     from kestrel.session import cluster_conf
     conf = cluster_conf(100 * 1024 ** 4)
-    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    assert conf["spark.sql.shuffle.partitions"] == "409600"
     assert cluster_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
 
 
@@ -259,3 +259,23 @@ def test_fare_table_export_is_partitioned(spark):
     assert any(d.startswith("start_hour=") for d in os.listdir(out))
     back = spark.read.option("header", True).csv(out)
     assert back.count() == trips.fare_table(t).count()
+
+
+def test_pagerank_round_limit_raises(spark):
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src int, dst int")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    with pytest.raises(RuntimeError):
+        graph.pagerank(ids, e, max_rounds=2)
+
+
+def test_fare_export_writes_few_files(spark):
+    import os
+    import tempfile
+    from kestrel.plans import fixtures, trips
+    from tests.conftest import SF_DIR
+    out = tempfile.mkdtemp(prefix="kestrel-fares-") + "/fares"
+    t = fixtures.trips(spark, SF_DIR).repartition(16)
+    trips.export_fare_table(t, out)
+    for d in os.listdir(out):
+        if d.startswith("start_hour="):
+            assert len([f for f in os.listdir(os.path.join(out, d)) if f.endswith(".csv")]) == 1

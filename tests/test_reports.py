@@ -41,7 +41,10 @@ def test_taxi_report_end_to_end(spark):
     corr = spark.read.option("header", True).csv(paths["fare_correlations"]).first()
     want = trips.fare_correlations(t).first()
     assert abs(float(corr.corr_distance) - want.corr_distance) < 1e-9
-    assert spark.read.option("header", True).csv(paths["fare_table"]).count() == t.count()
+    assert spark.read.option("header", True).csv(paths["fare_table"]).count() == trips.fare_table(t).count()
+    account = spark.read.option("header", True).csv(paths["input_account"]).first()
+    assert (int(account.input_rows), int(account.malformed_values)) == (t.count(), 0)
+    assert spark.read.option("header", True).csv(paths["edges"]).count() == trips.edges(t).count()
 
 
 def test_ratings_report(spark):
@@ -63,8 +66,24 @@ def test_logs_report_over_text_files(spark):
     lines = fixtures.log_lines(spark, SMALL_DIR)
     lines.select("value").write.text(os.path.join(folder, "logs"))
     runs = reports.logs_report(spark, os.path.join(folder, "logs"))
+    assert runs["lines"].result.count() == lines.count()
     got = {r.hostname: r.total_bytes for r in runs["bytes_per_host"].result.collect()}
     assert got == {r.hostname: r.total_bytes for r in logs.bytes_per_host(lines).collect()}
     counts = {r.hostname: r["count"] for r in runs["info_block_counts"].result.collect()}
     assert counts == {r.hostname: r["count"] for r in logs.info_block_counts(lines).collect()}
-    assert runs["datanode_windows"].result.count() > 0
+    # All lines of the one batch arrive at one moment: two sliding windows.
+    windows = [r.datanode_count for r in runs["datanode_windows"].result.collect()]
+    assert windows == [lines.filter(F.col("value").contains("DataNode")).count()] * 2
+
+
+def test_logs_report_at_event_time(spark):
+    from kestrel.plans import logs
+    folder = tempfile.mkdtemp(prefix="kestrel-report-")
+    lines = fixtures.log_lines(spark, SMALL_DIR)
+    stamped = lines.select(F.concat(F.date_format("timestamp", "yyMMdd HHmmss"), F.lit(" 143 "), "value").alias("value"))
+    stamped.write.text(os.path.join(folder, "logs"))
+    runs = reports.logs_report(spark, os.path.join(folder, "logs"), event_time=True)
+    whole = lines.withColumn("timestamp", F.date_trunc("second", "timestamp"))
+    want = {(r.window_start, r.window_end): r.datanode_count for r in logs.datanode_windows(whole).collect()}
+    got = {(r.window_start, r.window_end): r.datanode_count for r in runs["datanode_windows"].result.collect()}
+    assert got == want and len(want) > 100

@@ -99,3 +99,49 @@ def test_collapses_combine_map_side(spark):
     # Distinct vertices: a key-only partial aggregate below the exchange.
     plan = _plan(graph.endpoint_vertices(edges, [{"id": "src"}, {"id": "dst"}]))
     assert plan.count("HashAggregate(keys=[id") == 2
+
+
+def test_a_hub_of_distinct_pairs_is_split(spark):
+    """Two thirds of the distinct pairs leave one vertex: the join of a round
+    is split by Spark, and the ranks are those of the reference."""
+    n = 40_000
+    pairs = (spark.range(0, 2 * n).select(F.lit(0).cast("long").alias("src"), (F.col("id") + 1).alias("dst"))
+             .unionAll(spark.range(0, n).select((F.col("id") % 997 + 1).alias("src"), (F.col("id") * 7 % (2 * n) + 1).alias("dst"))))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        from kestrel.session import materialize
+        edges = materialize(pairs.distinct().withColumn("w", F.lit(1.0)), "hub-edges")
+        state = materialize(edges.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0)), "hub-state")
+        assert edges.count() >= 100_000
+        round_ = graph._along(edges, state.withColumnRenamed("id", "src"), "src").groupBy("dst").agg(F.sum("w"))
+        round_.collect()
+        assert "skew=true" in round_._jdf.queryExecution().executedPlan().toString()
+        ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+        got = {r.id: r.pagerank for r in graph.pagerank(ids, edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    listed = [(r.src, r.dst) for r in edges.collect()]
+    want = ref_dynamic_pagerank(sorted(got), listed)
+    assert all(got[v] == pytest.approx(want[v], abs=1e-9) for v in want)
+
+
+def test_scratch_tables_do_not_pile_up(spark):
+    from kestrel import session
+    e = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0), (3, 1, 1.0), (1, 3, 2.0)], "src int, dst int, TripMiles double")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    session.release_scratch(spark)
+    held = []
+    for _ in range(3):
+        graph.pagerank(ids, e).collect()
+        graph.bfs_first_hops(ids, e, F.col("id") == 1, F.col("id") == 3).collect()
+        graph.weighted_pagerank(ids, e.withColumn("norm_weight", F.lit(0.5))).collect()
+        held.append(session.release_scratch(spark))
+    assert held == [3, 3, 3]  # each run leaves its result alone
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

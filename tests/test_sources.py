@@ -84,3 +84,20 @@ def test_raw_tweets_and_ratings_csv(spark):
         "Action": 2, "Crime": 2, "Thriller": 2}
     top = ratings.top_movies(rt, mv).first()
     assert (top.title, top.avg_rating, top.rating_count) == ("Heat (1995)", 4.75, 2)
+
+
+def test_numbers_are_read_leniently_and_losses_counted(spark):
+    from kestrel.sources.raw_inputs import TAXI_COLUMNS, taxi_csv
+    folder = tempfile.mkdtemp(prefix="kestrel-lenient-")
+    rows = [
+        ["01/31/2024 01:15:00 PM", "600.0", '"1,234.5"', " 10.25 ", "8.0", "41.9", "-87.6", "17031081500.0", "32", "41.8", "-87.6", "1"],
+        ["31/31/2024 01:15:00 PM", "6.5", "x", "", "8", "41.9", "-87.6", "17031081500", "32", "41.8", "-87.6", "1"],
+    ]
+    with open(os.path.join(folder, "t.csv"), "w") as f:
+        f.write("\n".join([",".join(TAXI_COLUMNS.values()), *map(",".join, rows)]) + "\n")
+    good, bad = sorted(taxi_csv(spark, folder, with_malformed=True).collect(), key=lambda r: r.malformed)
+    assert (good.trip_seconds, good.trip_miles, good.fare, good.pickup_area, good.pickup_tract) == (600, 1234.5, 10.25, 8, 17031081500)
+    assert good.malformed == 0
+    # The date, the seconds (not whole) and the miles; an empty fare is missing, not malformed.
+    assert (bad.malformed, bad.trip_seconds, bad.trip_miles, bad.fare) == (3, None, None, None)
+    assert "malformed" not in taxi_csv(spark, folder).columns

@@ -163,3 +163,26 @@ def test_rerun_with_same_checkpoint_resumes(utc):
     assert got == {r.hostname: r["count"] for r in logs.info_block_counts(lines).collect()}
     # The second run saw only the two new files.
     assert sum(p["numInputRows"] for p in second.progress) < lines.count()
+
+
+def test_sinks_stay_bounded(utc, monkeypatch):
+    from kestrel.streaming import runner
+    spark = utc
+    monkeypatch.setattr(runner, "COMPACT_EVERY", 2)
+    path = _write_replay(spark, [0, 1, 2, 3])
+    run = stream_logs.stream_datanode_windows(spark, path, "update", max_files_per_trigger=1)
+    got = {(r.window_start, r.window_end): r.datanode_count for r in run.result.collect()}
+    assert got == _batch_windows(spark)
+    assert len([d for d in os.listdir(run.sink_path.removeprefix("file:")) if d.startswith(runner.BATCH_COL)]) <= 2
+    run = stream_logs.stream_bytes_per_host(spark, path, max_files_per_trigger=1)
+    assert len([d for d in os.listdir(run.sink_path.removeprefix("file:")) if d.startswith(runner.BATCH_COL)]) == 1
+    assert run.finished
+
+
+def test_a_run_that_is_cut_short_raises(utc):
+    from kestrel.streaming.runner import run_stream
+    spark = utc
+    path = _write_replay(spark, [0, 1, 2, 3])
+    query = logs.datanode_windows(stream_logs.line_stream(spark, path, 1))
+    with pytest.raises(TimeoutError):
+        run_stream(spark, query, "update", keys=["window_start", "window_end"], timeout_s=0.01)
