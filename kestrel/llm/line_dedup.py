@@ -70,11 +70,10 @@ def _half_keys(line: Column) -> list[Column]:
     return out
 
 
-def _sharing(rows: DataFrame, name: str) -> DataFrame:
-    """Distinct (h1, h2) of the rows whose key is met more than once. Rows are
-    distinct per line and key."""
+def _met(rows: DataFrame, name: str) -> DataFrame:
+    """The rows whose key is met more than once."""
     met = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k")), name)
-    return rows.join(met, F.col("key") == F.col("k"), "left_semi").select("h1", "h2").distinct()
+    return rows.join(met, F.col("key") == F.col("k"), "left_semi")
 
 
 def _segments(lines: DataFrame) -> DataFrame:
@@ -92,37 +91,43 @@ def _segments(lines: DataFrame) -> DataFrame:
 
 
 def _segment_keys(segments: DataFrame) -> DataFrame:
-    """Keys that a pair shares at the segment of its edit."""
-    key = lambda size, after: F.xxhash64(F.col("seg"), size, F.col("before"), F.col(after))
-    return segments.select("h1", "h2", F.explode(F.array(
-        F.xxhash64(F.lit("s"), key(F.col("size"), "after")),
-        F.xxhash64(F.lit("d"), key(F.col("size") - 1, "after")),
-        F.xxhash64(F.lit("d"), key(F.col("size"), "after_shorter")))).alias("key"))
+    """Keys that a pair shares at the segment of its edit, one per kind of
+    part that the line can play in it."""
+    def key(kind: str, edit: str, size: Column, after: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"),
+                        F.xxhash64(F.lit(edit), F.col("seg"), size, F.col("before"), F.col(after)).alias("key"))
 
+    return segments.select("h1", "h2", "seg", F.explode(F.array(
+        key("sub", "s", F.col("size"), "after"), key("del", "d", F.col("size") - 1, "after"),
+        key("whole", "d", F.col("size"), "after_shorter"))).alias("k")).select("h1", "h2", "seg", "k.*")
 
-def _variants(segments: DataFrame) -> DataFrame:
-    """Deletion neighbourhood: (line, place, key, kind) with kind ``sub`` and
-    ``del`` for each variant and ``whole`` for the line itself."""
-    def keys(i: Column) -> Column:
-        left = F.concat(F.left(F.col("middle"), i), F.substr(F.col("middle"), i + 2))
-        return F.array(
-            F.struct(F.xxhash64(F.lit("s"), F.col("seg"), i, F.col("size"), F.col("before"), left, F.col("after")).alias("key"),
-                     F.lit("sub").alias("kind")),
-            F.struct(F.xxhash64(F.lit("d"), F.col("seg"), F.col("size") - 1, F.col("before"), left, F.col("after")).alias("key"),
-                     F.lit("del").alias("kind")))
 
+def _variants(segments: DataFrame) -> DataFrame:
+    """Deletion neighbourhood of the segments with matched parts (column
+    ``kinds``): (line, place, key, kind) with kind ``sub`` and ``del`` for each
+    variant and ``whole`` for the line itself."""
+    def variant(kind: str, edit: str, *of: Column):
+        def at(i: Column) -> Column:
+            left = F.concat(F.left(F.col("middle"), i), F.substr(F.col("middle"), i + 2))
+            place = [i] if kind == "sub" else []
+            return F.struct(F.xxhash64(F.lit(edit), F.col("seg"), *place, *of, F.col("before"), left, F.col("after")).alias("key"),
+                            F.lit(kind).alias("kind"))
+        return F.when(F.array_contains("kinds", kind), F.transform(places, at)).otherwise(none)
+
+    none = F.array().cast("array<struct<key:bigint,kind:string>>")
     places = F.when(F.length("middle") > 0, F.sequence(F.lit(0), F.length("middle") - 1)).otherwise(F.array().cast("array<int>"))
     whole = F.struct(
         F.xxhash64(F.lit("d"), F.col("seg"), F.col("size"), F.col("before"), F.col("shorter"), F.col("after_shorter")).alias("key"),
         F.lit("whole").alias("kind"))
-    every = F.concat(F.flatten(F.transform(places, keys)), F.array(whole))
+    every = F.concat(variant("sub", "s", F.col("size")), variant("del", "d", F.col("size") - 1),
+                     F.when(F.array_contains("kinds", "whole"), F.array(whole)).otherwise(none))
     return segments.select("h1", "h2", "doc_id", "no", F.explode(every).alias("v")).select("h1", "h2", "doc_id", "no", "v.*")
 
 
 def _near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with an earlier line at distance 1."""
     halves = distinct.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    possible = _sharing(halves, "line-half-keys").join(
+    possible = _met(halves, "line-half-keys").select("h1", "h2").distinct().join(
         distinct.select(F.col("h1").alias("a"), F.col("h2").alias("b"), F.col("first.doc_id").alias("d"), F.col("first.no").alias("n")),
         (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b"))).select("a", "b", "d", "n").distinct()
     possible = materialize(possible, "line-possible")
@@ -130,9 +135,10 @@ def _near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     fetched = lines.join(possible, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("no") == F.col("n"))
                          & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left_semi")
     text = materialize(fetched.select("h1", "h2", "doc_id", "no", "line").dropDuplicates(["h1", "h2", "doc_id", "no"]), "line-text")
-    thin = materialize(_sharing(_segment_keys(_segments(text)).distinct(), "line-segment-keys"), "line-thin")
-    text = materialize(text.join(thin, ["h1", "h2"], "left_semi"), "line-text")
-    rows = _variants(_segments(text)).withColumn("me", F.struct("doc_id", "no", "h1", "h2"))
+    # Only the segments that can hold the edit have their variants emitted.
+    thin = _met(_segment_keys(_segments(text)), "line-segment-keys").groupBy("h1", "h2", "seg").agg(F.collect_set("kind").alias("kinds"))
+    thin = materialize(thin, "line-thin")
+    rows = _variants(_segments(text).join(thin, ["h1", "h2", "seg"])).withColumn("me", F.struct("doc_id", "no", "h1", "h2"))
     earliest = materialize(
         rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("kind") != "whole", F.col("me"))).alias("variant"),
                                 F.min(F.when(F.col("kind") == "whole", F.col("me"))).alias("whole"))
