@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.llm.textcols import small_batches
 from kestrel.session import materialize
 
 SCALE = 256
@@ -174,6 +175,7 @@ def build_index(vectors: DataFrame, n_shards: int) -> DataFrame:
 
 def top_k(embeddings: DataFrame, k: int = 5, query_step: int = QUERY_STEP) -> DataFrame:
     """query_id, rank, vec_id, score of every query's k best other rows."""
+    small_batches(embeddings.sparkSession)
     usable = (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding")).alias("vector"))
               .filter("vec_id is not null and vector is not null"))
     n_shards = max(1, -(-usable.count() // SHARD_ROWS))

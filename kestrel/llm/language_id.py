@@ -36,6 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.textcols import small_batches
+
 SAMPLE = 400
 WIDTH = 4096
 PIECE = 1 << 20
@@ -211,4 +213,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the training folds and predict every document."""
+    small_batches(docs.sparkSession)
     return predict(docs, train(docs))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.textcols import word_count
+from kestrel.llm.textcols import small_batches, word_count
 
 CAPACITIES = (256, 512, 1024, 2048, 4096)
 OVERHEAD = 16  # cost of a bin beyond its capacity, in words
@@ -144,6 +144,7 @@ def _pack_blocks(capacities: Sequence[int], most: int):
 def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataFrame:
     """One row per document piece with its bin, its offset there and the
     bin's capacity. Sizes are words."""
+    small_batches(docs.sparkSession)
     capacities = tuple(sorted(capacities))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"))
     n_blocks = max(1, -(-docs.count() // BLOCK_ROWS))

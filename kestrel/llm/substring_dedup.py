@@ -48,6 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import suffix_array as sa
+from kestrel.llm.textcols import small_batches
 from kestrel.session import materialize
 
 WINDOW = 400
@@ -341,6 +342,7 @@ def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The candidate texts (tid, text, copies) and the spans (tid, p, q) that
     are covered by repeated windows."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
                         text_id(F.col("text")).alias("tid")).filter(F.octet_length("text") >= WINDOW)
     runs = materialize(texts.mapInArrow(_runs, RUN_ROWS), "suffix-runs")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 256
 # The white space of the word rule, x20 and x09-x0D.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WHITE_SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -34,14 +35,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def with_private(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add helper columns; names are made unique against the input's own."""
-    return df.withColumns({private(df, k): c for k, c in columns.items()})
-
-
-def private(df: DataFrame, name: str) -> str:
-    """A column name that no input column has (case-insensitively)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python tasks at most ``BATCH_ROWS`` whole texts (or index shards)
+    at a time: a batch is held in the JVM and in the worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
