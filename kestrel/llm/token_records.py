@@ -24,9 +24,9 @@ stores).
 Defined results
     null or empty text    one record that holds the end id alone
     null doc_id           first, before all others
-    very long text        cut for the tokenizer where a letter, one space and
-                          a letter meet, a place where its pre-tokenizer
-                          always cuts; the ids are those of the whole text
+    very long text        cut for the tokenizer at single spaces, where its
+                          pre-tokenizer always cuts; the ids are those of the
+                          whole text
     ties, repeated rows   repeated doc_ids in order of their text
     empty table           no shard, empty result
     extra columns         ignored
@@ -39,6 +39,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -48,13 +49,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.llm.textcols import small_batches
 from kestrel.session import materialize, scratch_path
 
 END_ID = 0
 MASK = 0xA282EAD8
 BATCH_CHARS = 1 << 19
-LONG_TEXT = 1 << 20
-CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+BATCH_PIECES = 4096
+CACHE_PIECES = 300_000
+# One space between characters that no tokenizer takes for white space.
+CUT = re.compile("(?<=[!-~\u00c0-\u024f]) (?=[!-~\u00c0-\u024f])")
 MANIFEST = "shard int, path string, docs long, ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -117,24 +121,59 @@ def read_at(path: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]
     return out
 
 
-def cut_long(text: str, most: int = LONG_TEXT) -> list[str]:
-    """Pieces of about ``most`` characters whose tokens are the text's."""
-    pieces, start = [], 0
-    while len(text) - start > most:
-        at = CUT.search(text, start + most)
-        if not at:
-            break
-        pieces.append(text[start:at.start()])
-        start = at.start()
-    return [*pieces, text[start:]]
-
-
-def _encode(tokenizer, texts: list[str]) -> list[np.ndarray]:
-    pieces = [cut_long(t) for t in texts]
-    flat = [p for of in pieces for p in of]
-    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    ids = iter([e.ids for e in encode(flat, add_special_tokens=False)])
-    return [np.asarray([x for _ in of for x in next(ids)] + [END_ID], np.uint32) for of in pieces]
+class PieceEncoder:
+    """Ids of whole texts, with repeated pieces encoded once.
+
+    A single space between two visible characters always starts a new
+    pre-token of a byte-level tokenizer, so a text is the pieces between such
+    spaces, each but the first with its space in front. Pieces are kept in
+    two generations of at most ``CACHE_PIECES`` (or one batch's) each: a full
+    one becomes the old one, from which pieces in use come back."""
+
+    def __init__(self, tokenizer):
+        self._encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        vocabulary = tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # the byte level's space
+        self._known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+        self._old: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+
+    def _learn(self, pieces: set[str], space: str) -> dict[str, bytes]:
+        if len(self._known[space]) > CACHE_PIECES:
+            self._known[space], self._old[space] = {}, self._known[space]
+        known, old = self._known[space], self._old[space]
+        new = []
+        for p in pieces - known.keys():
+            if p in old:
+                known[p] = old[p]
+            else:
+                new.append(p)
+        if space:
+            # Without white space inside, a piece has one token that starts
+            # with a space, so many can be encoded as one text and told apart.
+            plain = [p for p in new if len(p.split()) == 1]
+            for at in range(0, len(plain), BATCH_PIECES):
+                part = plain[at:at + BATCH_PIECES]
+                found = self._encode([space + space.join(part)], add_special_tokens=False)[0].ids
+                ids = np.asarray(found, "<u4")
+                starts = np.flatnonzero(self._spaced[ids])
+                if len(starts) == len(part) and starts[0] == 0:
+                    data, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+                    known.update((p, data[a:b]) for p, a, b in zip(part, cuts, cuts[1:]))
+            new = [p for p in new if p not in known]
+        for at in range(0, len(new), BATCH_PIECES):
+            part = new[at:at + BATCH_PIECES]
+            for piece, found in zip(part, self._encode([space + p for p in part], add_special_tokens=False)):
+                known[piece] = array("I", found.ids).tobytes()
+        return known
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text and the end id."""
+        split = [CUT.split(t) for t in texts]
+        first = self._learn({s[0] for s in split}, "")
+        later = self._learn(set().union(*(s[1:] for s in split)), " ")
+        end = np.asarray([END_ID], "<u4").tobytes()
+        return [np.frombuffer(b"".join((first[s[0]], *map(later.__getitem__, s[1:]), end)), "<u4") for s in split]
 
 
 def _batches_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -161,13 +200,14 @@ def _write_shard(tokenizer_path: str, folder: str):
             return
         tokenizer = Tokenizer.from_file(tokenizer_path)
         tokenizer.encode_special_tokens = True
+        encoder = PieceEncoder(tokenizer)
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
         store, inner = _file_system(path)
         offsets, at, total = [], 0, 0
         with store.open_output_stream(inner) as out:
             for doc_ids, texts in chain([first], work):
-                for doc_id, ids in zip(doc_ids, _encode(tokenizer, texts)):
+                for doc_id, ids in zip(doc_ids, encoder.encode(texts)):
                     record = frame(serialize(doc_id, ids))
                     out.write(record)
                     offsets.append(at)
@@ -185,6 +225,7 @@ def write_records(docs: DataFrame, tokenizer_path: str | None = None, folder: st
     """Encode and write every document; returns the manifest (shard, path,
     docs, ids), one row per file, as a written table."""
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or scratch_path(spark, "tokens")
     store, inner = _file_system(folder)
     store.create_dir(inner, recursive=True)

@@ -105,15 +105,19 @@ def test_records_detect_damage():
             token_records.read_record(io.BytesIO(broken))
 
 
-def test_long_texts_are_cut_where_the_tokenizer_cuts():
+def test_pieces_give_the_ids_of_whole_texts(monkeypatch):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(token_records.default_tokenizer())
+    tokenizer.encode_special_tokens = True
     rng = random.Random(6)
-    text = "".join(rng.choices(["a", "bc", " ", "  ", "\n", "é", "1", "'s", "."], k=4000))
-    pieces = token_records.cut_long(text, 50)
-    assert "".join(pieces) == text and len(pieces) > 10
-    whole = tokenizer.encode(text, add_special_tokens=False).ids
-    assert [i for p in pieces for i in tokenizer.encode(p, add_special_tokens=False).ids] == whole
+    alphabet = ["a", "bc", "the", " ", " ", "  ", "\n", "\t", "é", "日", "1", "'s", ".", "\u00a0", "\x1c", "_", "<|endoftext|>"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 300))) for _ in range(200)] + ["", " ", " a", "a "]
+    monkeypatch.setattr(token_records, "CACHE_PIECES", 50)
+    encoder = token_records.PieceEncoder(tokenizer)
+    for at in range(0, len(texts), 7):
+        part = texts[at:at + 7]
+        for text, ids in zip(part, encoder.encode(part)):
+            assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
 def test_features_do_not_depend_on_the_piece(monkeypatch):
