@@ -132,7 +132,9 @@ def _near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
         (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b"))).select("a", "b", "d", "n").distinct()
     possible = materialize(possible, "line-possible")
     # One occurrence of each line is enough; its first place has no copies.
-    fetched = lines.join(possible, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("no") == F.col("n"))
+    # Sorted on both sides at every size: the text of all lines moves once,
+    # whether or not the possible ones would fit a broadcast.
+    fetched = lines.join(possible.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("no") == F.col("n"))
                          & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left_semi")
     text = materialize(fetched.select("h1", "h2", "doc_id", "no", "line").dropDuplicates(["h1", "h2", "doc_id", "no"]), "line-text")
     # Only the segments that can hold the edit have their variants emitted.
