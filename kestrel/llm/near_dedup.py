@@ -7,17 +7,22 @@ hash, the number of leading zeros and ``MANTISSA`` bits after them.
 1.  Documents with equal sets form a class, known by a 128-bit signature; one
     row per class goes on (map-side combined).
 2.  The compressed registers are banded; classes that share a band are
-    candidates. Every band bucket is first a star around its smallest class.
+    candidates. Every band bucket is first a star around the class with the
+    most company over all its buckets, which in a family of edited copies is
+    the original.
 3.  Candidates pass the size bound and the collision-corrected Jaccard
     estimate (five deviations below the threshold, so that a true link passes
     but for about one in a million) and are then verified on the full sets of
     both texts.
 4.  Links give components. A pair inside one component can change nothing;
     what is left are the pairs of a bucket whose classes lie in different
-    components. For the buckets that have such, the classes outside the star
-    centre's component meet all others, in chunks of ``CHUNK`` classes, so no
-    group is ever one task, and pass step 3 again. Then the components are
-    final: every candidate pair was either tested or is inside a component.
+    components. The verification noted which of the centre's shingles a class
+    has: two sets have in common at most what both have of it, and the
+    smaller rest. The classes outside the centre's component meet all members
+    in chunks of ``CHUNK`` classes, so no group is ever one task; pairs that
+    pass this exact bound and the estimate are verified, once each. Then the
+    components are final: every candidate pair was tested, cannot reach the
+    threshold, or is inside a component.
     With 32 bands of 4 registers two documents at similarity 0.8 share no
     band once in 20 million.
 
@@ -45,7 +50,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.components import components
 from kestrel.llm.shingles import shingle_sets
-from kestrel.llm.substring_dedup import _mixed
+from kestrel.llm.substring_dedup import _mixed, text_id
+from kestrel.llm.textcols import small_batches
 from kestrel.session import materialize
 
 SHINGLE_WORDS = 5
@@ -57,7 +63,7 @@ BAND = 4
 BANDS = REGISTERS // BAND
 CHUNK = 1024
 DEVIATIONS = 5.0
-SKETCH_ROWS = "doc_id long, n long, sig binary, registers binary"
+SKETCH_ROWS = "doc_id long, tid binary, n long, sig binary, registers binary"
 
 
 # --- sketches ---------------------------------------------------------------------
@@ -91,24 +97,24 @@ def _sketch(size: int):
                 sig.append(signature(hashes) if len(hashes) else None)
                 registers.append(registers_of(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "sig": pa.array(sig, pa.binary()),
+                "doc_id": batch.column("doc_id"), "tid": batch.column("tid"), "n": pa.array(n, pa.int64()), "sig": pa.array(sig, pa.binary()),
                 "registers": pa.array(registers, pa.binary())})
     return run
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id(F.col("text")).alias("tid"),
                         F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return texts.mapInArrow(_sketch(size), SKETCH_ROWS)
 
 
 def band_keys(registers: Column) -> Column:
-    """One hash per band that has a register in use."""
+    """(band, hash) of each band that has a register in use."""
     width = 2 * BAND
     empty = F.lit(b"\0" * width)
     def key(b: int) -> Column:
         part = F.substring(registers, b * width + 1, width)
-        return F.when(part != empty, F.xxhash64(F.lit(b), part))
+        return F.when(part != empty, F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), part).alias("bucket")))
     return F.array_compact(F.array(*[key(b) for b in range(BANDS)]))
 
 
@@ -153,79 +159,108 @@ def _estimated(percent: int):
                 number = lambda c: batch.column(c).to_numpy()
                 good = _likely(_rows_of(batch.column("ra")), _rows_of(batch.column("rb")), number("na"), number("nb"), percent)
                 keep = pa.array(np.flatnonzero(good))
-                yield pa.RecordBatch.from_pydict({c: batch.column(c).take(keep) for c in ("a", "b", "da", "db")})
+                yield pa.RecordBatch.from_pydict({c: batch.column(c).take(keep) for c in ("a", "b")})
     return run
 
 
 def _verified(size: int, percent: int):
+    """Tests pairs on their full sets; keeps which of b's shingles a has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
         for batch in batches:
-            a, b, good = batch.column("a"), batch.column("b").to_pylist(), []
+            b, linked, bits = batch.column("b").to_pylist(), [], []
             centres = batch.column("tb")
             for k, x in enumerate(shingle_sets(batch.column("ta"), size)):
                 if b[k] != held[0]:
                     held = (b[k], next(shingle_sets(centres.slice(k, 1), size)))
-                y = held[1]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                # A repeated doc_id may have brought another text.
-                own = signature(x) == a[k].as_py() and signature(y) == b[k]
-                if own and 100 * both >= percent * (len(x) + len(y) - both):
-                    good.append(k)
+                has = np.isin(held[1], x, assume_unique=True)
+                both = int(has.sum())
+                linked.append(100 * both >= percent * (len(x) + len(has) - both))
+                bits.append(np.packbits(has).tobytes())
+            yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(linked, pa.bool_()),
+                                              "bits": pa.array(bits, pa.binary())})
+    return run
+
+
+def _with_signature(size: int):
+    """Texts under their own signature; a repeated doc_id may have brought
+    another text than the one wanted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column("sig").to_pylist()
+            good = [k for k, x in enumerate(shingle_sets(batch.column("text"), size)) if signature(x) == wanted[k]]
             keep = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_pydict({"a": a.take(keep), "b": batch.column("b").take(keep)})
+            yield pa.RecordBatch.from_pydict({c: batch.column(c).take(keep) for c in ("sig", "text")})
     return run
 
 
 # --- linking ----------------------------------------------------------------------
 
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that pass the size bound and the estimate, with doc_ids."""
+    """Pairs (a, b) that pass the size bound and the estimate."""
     side = lambda c: classes.select(F.col("sig").alias(c), F.col("n").alias(f"n{c}"),
-                                    F.col("registers").alias(f"r{c}"), F.col("doc_id").alias(f"d{c}"))
+                                    F.col("registers").alias(f"r{c}"))
     sized = (pairs.join(side("a"), "a").join(side("b"), "b")
              .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-    return sized.mapInArrow(_estimated(percent), "a binary, b binary, da long, db long")
+    return sized.mapInArrow(_estimated(percent), "a binary, b binary")
 
 
 def _verify(candidates: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    text = lambda c: texts.select(F.col("doc_id").alias(f"id{c}"), F.col("text").alias(f"t{c}"))
-    rows = (candidates.join(text("a"), F.col("da").eqNullSafe(F.col("ida")))
-            .join(text("b"), F.col("db").eqNullSafe(F.col("idb"))).select("a", "b", "ta", "tb"))
-    return rows.mapInArrow(_verified(size, percent), "a binary, b binary").distinct()
-
-
-def _texts_of(docs: DataFrame, *candidates: DataFrame) -> DataFrame:
-    """The texts that any candidate pair needs."""
-    needed = None
-    for c in candidates:
-        ids = c.select(F.explode(F.array("da", "db")).alias("need"))
-        needed = ids if needed is None else needed.unionAll(ids)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return materialize(texts.join(needed.distinct(), F.col("doc_id").eqNullSafe(F.col("need")), "left_semi"), "near-texts")
+    text = lambda c: texts.select(F.col("sig").alias(c), F.col("text").alias(f"t{c}"))
+    rows = candidates.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
+    return rows.mapInArrow(_verified(size, percent), "a binary, b binary, linked boolean, bits binary")
+
+
+def _bit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's part of the centre's shingles as bits, and how many of its
+    shingles lie outside it. Rows that were not compared with the centre have
+    no known part: all of their shingles lie outside, and all bits are set."""
+    n, centre = table["n"].to_numpy(), table["centre"][0].as_py()
+    known = table["bits"].to_pylist()
+    sigs = table["sig"].to_pylist()
+    own = next((int(k) for k, s in zip(n, sigs) if s == centre), None)
+    width = max((len(b) for b in known if b is not None), default=0 if own is None else -(-own // 8))
+    bits, outside = np.full((len(n), width), 255, np.uint8), n.astype(np.int64)
+    for k, (b, s) in enumerate(zip(known, sigs)):
+        if s == centre:
+            outside[k] = 0
+        elif b is not None:
+            bits[k] = np.frombuffer(b, np.uint8)
+            outside[k] -= int(np.bitwise_count(bits[k]).sum())
+    return bits, outside
 
 
 def _chunk_pairs(percent: int):
     """Rows of one (bucket, chunk): its members and every class outside the
-    star centre's component; likely pairs across components come out."""
+    centre's component; the pairs across components that can still reach the
+    threshold come out, each from the first band that it shares."""
     def run(table: pa.Table) -> pa.Table:
-        members = table.filter(pc.equal(table["outside"], False))
-        others = table.filter(pc.equal(table["outside"], True))
         out = {"a": [], "b": []}
-        if len(members) and len(others):
-            x, n = _rows_of(members["registers"].combine_chunks()), members["n"].to_numpy()
-            sig, component = members["sig"].to_pylist(), np.asarray(members["component"].to_pylist(), object)
-            for row, m, own, at in zip(_rows_of(others["registers"].combine_chunks()), others["n"].to_pylist(),
-                                       others["sig"].to_pylist(), others["component"].to_pylist()):
-                good = _likely(x, row[None, :], n, np.full(len(n), m), percent) & (component != at)
-                for k in np.flatnonzero(good):
-                    out["a"].append(max(sig[k], own))
-                    out["b"].append(min(sig[k], own))
+        other = table["outside"].to_numpy(zero_copy_only=False)
+        mine = np.flatnonzero(~other)
+        registers, n = _rows_of(table["registers"].combine_chunks()), table["n"].to_numpy()
+        bits, beyond = _bit_rows(table)
+        sig, component = table["sig"].to_pylist(), np.asarray(table["component"].to_pylist(), object)
+        band = table["band"][0].as_py()
+        before = slice(0, band * BAND)
+        for k in np.flatnonzero(other):
+            # What two sets have in common lies in both parts of the centre or
+            # outside it in both.
+            most = np.bitwise_count(bits[mine] & bits[k]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[mine], beyond[k])
+            most = np.minimum(most, np.minimum(n[mine], n[k]))
+            at = mine[((100 + percent) * most >= percent * (n[mine] + n[k])) & (component[mine] != component[k])]
+            x = registers[at]
+            earlier = (x[:, before] == registers[k, before]).reshape(len(at), band, BAND).all(axis=2)
+            used = (registers[k, before].reshape(band, BAND) > 0).any(axis=1)
+            likely = _likely(x, registers[k][None, :], n[at], np.full(len(at), n[k]), percent)
+            for j in at[~(earlier & used).any(axis=1) & likely]:
+                out["a"].append(max(sig[j], sig[k]))
+                out["b"].append(min(sig[j], sig[k]))
         return pa.table(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
     return run
 
 
-def _rest(buckets: DataFrame, centres: DataFrame, classes: DataFrame, labels: DataFrame, tested: DataFrame,
+def _rest(rows: DataFrame, centres: DataFrame, classes: DataFrame, labels: DataFrame, verified: DataFrame,
           percent: int) -> DataFrame:
     """Likely pairs of a bucket that lie in different components and were not
     tested yet."""
@@ -233,66 +268,96 @@ def _rest(buckets: DataFrame, centres: DataFrame, classes: DataFrame, labels: Da
         classes.join(labels.withColumnRenamed("node", "x"), F.col("sig") == F.col("x"), "left")
         .select("sig", "n", "registers", F.coalesce("component", "sig").alias("component")), "near-labelled")
     # Buckets of two are whole as stars.
-    large = centres.filter("size > 2").select(F.col("bucket").alias("k"), "centre", "size")
-    rows = (buckets.join(large, F.col("bucket") == F.col("k")).drop("k")
-            .join(labelled.select(F.col("sig").alias("s"), "component"), F.col("sig") == F.col("s")).drop("s"))
-    rows = materialize(rows, "near-bucket-rows")
-    mixed = (rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                        F.max(F.when(F.col("sig") == F.col("centre"), F.col("component"))).alias("home"))
+    open_rows = (rows.filter("size > 2").join(centres.withColumnRenamed("bucket", "k"), F.col("bucket") == F.col("k")).drop("k")
+                 .join(labelled.select(F.col("sig").alias("s"), "component"), F.col("sig") == F.col("s")).drop("s"))
+    open_rows = materialize(open_rows, "near-bucket-rows")
+    mixed = (open_rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                             F.max(F.when(F.col("sig") == F.col("centre"), F.col("component"))).alias("home"))
              .filter("lo <> hi").select(F.col("bucket").alias("k"), "home"))
     mixed = materialize(mixed, "near-mixed")
     if mixed.isEmpty():
-        return tested.limit(0).select("a", "b")
-    open_rows = rows.join(mixed, F.col("bucket") == F.col("k")).drop("k")
-    chunks = F.ceil(F.col("size") / F.lit(float(CHUNK))).cast("int")
-    dealt = open_rows.withColumn("chunks", chunks).withColumn("outside", F.col("component") != F.col("home"))
-    member = dealt.select("bucket", "sig", "component", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int").alias("chunk"),
-                          F.lit(False).alias("outside"))
-    outside = dealt.filter("outside").select("bucket", "sig", "component",
-                                             F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-                                             F.lit(True).alias("outside"))
-    full = (member.unionAll(outside).join(labelled.select(F.col("sig").alias("s"), "n", "registers"), F.col("sig") == F.col("s"))
-            .drop("s"))
-    pairs = full.groupBy("bucket", "chunk").applyInArrow(_chunk_pairs(percent), "a binary, b binary").distinct()
-    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
-def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    rows = materialize(sketches(docs, size), "near-sketches")
+        return verified.limit(0).select("a", "b")
+    known = verified.select(F.col("a").alias("s"), F.col("b").alias("c"), "bits")
+    dealt = (open_rows.join(mixed, F.col("bucket") == F.col("k")).drop("k")
+             .join(known, (F.col("sig") == F.col("s")) & (F.col("centre") == F.col("c")), "left").drop("s", "c")
+             .join(labelled.select(F.col("sig").alias("s"), "n", "registers"), F.col("sig") == F.col("s")).drop("s")
+             .withColumn("chunks", F.ceil(F.col("size") / F.lit(float(CHUNK))).cast("int"))
+             .withColumn("outside", F.col("component") != F.col("home")))
+    # One row as a member of its chunk, and for the outside ones one per chunk.
+    own = F.array(F.struct(F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("outside")))
+    every = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("outside")))
+    places = dealt.select("bucket", "band", "sig", "component", "centre", "n", "registers", "bits", F.explode(
+        F.when(F.col("outside"), F.concat(own, every)).otherwise(own)).alias("at")).select("*", "at.*").drop("at")
+    pairs = places.groupBy("bucket", "chunk").applyInArrow(_chunk_pairs(percent), "a binary, b binary").distinct()
+    either = verified.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return pairs.join(either, ["a", "b"], "left_anti")
+
+
+def _decide(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, the text's hash, n_shingles, component_id and kept per row."""
+    small_batches(docs.sparkSession)
+    sketched = materialize(sketches(docs, size), "near-sketches")
     classes = materialize(
-        rows.filter("sig is not null").groupBy("sig")
+        sketched.filter("sig is not null").groupBy("sig")
         .agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("registers").alias("registers")), "near-classes")
-    buckets = classes.select("sig", F.explode(band_keys(F.col("registers"))).alias("bucket"))
-    centres = materialize(
-        buckets.groupBy("bucket").agg(F.min("sig").alias("centre"), F.count("*").alias("size")).filter("size > 1"), "near-centres")
-    stars = (buckets.join(centres.select(F.col("bucket").alias("k"), "centre"), F.col("bucket") == F.col("k"))
+    buckets = classes.select("sig", F.explode(band_keys(F.col("registers"))).alias("b")).select("sig", "b.*")
+    met = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+                      .withColumnRenamed("bucket", "k"), "near-buckets")
+    rows = materialize(buckets.join(met, F.col("bucket") == F.col("k")).select("bucket", "band", "sig", "size"), "near-rows")
+    # A bucket's centre is the class with the most company over all its bands:
+    # the original of a family rather than one of its edited copies.
+    company = materialize(rows.groupBy("sig").agg(F.sum("size").alias("company")), "near-company")
+    centres = (rows.select("bucket", "sig").join(company.withColumnRenamed("sig", "s"), F.col("sig") == F.col("s"))
+               .groupBy("bucket").agg(F.max(F.struct("company", "sig")).alias("best")))
+    centres = materialize(centres.select("bucket", F.col("best.sig").alias("centre")), "near-centres")
+    stars = (rows.join(centres.withColumnRenamed("bucket", "k"), F.col("bucket") == F.col("k"))
              .filter("sig <> centre").select(F.col("sig").alias("a"), F.col("centre").alias("b")).distinct())
+    wanted = materialize(classes.join(company.select(F.col("sig").alias("s")), F.col("sig") == F.col("s"), "left_semi")
+                         .select("sig", F.col("doc_id").alias("first")), "near-wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    texts = (texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("sig", "text")
+             .mapInArrow(_with_signature(size), "sig binary, text string"))
+    texts = materialize(texts, "near-texts")
     tested = materialize(_candidates(stars, classes, percent), "near-candidates")
-    links = materialize(_verify(tested, _texts_of(docs, tested), size, percent), "near-links")
+    verified = materialize(_verify(tested, texts, size, percent), "near-verified")
+    links = verified.filter("linked").select("a", "b")
     labels = components(links)
-    rest = materialize(_candidates(_rest(buckets, centres, classes, labels, tested, percent), classes, percent), "near-rest")
+    rest = materialize(_rest(rows, centres, classes, labels, verified, percent), "near-rest")
     if not rest.isEmpty():
-        more = materialize(_verify(rest, _texts_of(docs, rest), size, percent), "near-links")
+        more = materialize(_verify(rest, texts, size, percent).filter("linked").select("a", "b"), "near-links")
         if not more.isEmpty():
             labels = components(links.unionAll(more))
     named = (classes.select("sig", F.col("doc_id").alias("first"))
              .join(labels.withColumnRenamed("node", "x"), F.col("sig") == F.col("x"), "left")
              .select("sig", "first", F.coalesce("component", "sig").alias("component")))
     named = materialize(named, "near-named")
-    smallest = materialize(named.groupBy("component").agg(F.min("first").alias("component_id")), "near-smallest")
-    by_class = materialize(named.join(smallest, "component").select(F.col("sig").alias("s"), "component_id"), "near-by-class")
-    return (rows.join(by_class, F.col("sig") == F.col("s"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+    smallest = materialize(named.groupBy("component").agg(F.min("first").alias("component_id"))
+                           .withColumnRenamed("component", "c"), "near-smallest")
+    by_class = materialize(named.join(smallest, F.col("component") == F.col("c")).select(F.col("sig").alias("s"), "component_id"), "near-by-class")
+    return (sketched.select("doc_id", "tid", "n", "sig").join(by_class, F.col("sig") == F.col("s"), "left")
+            .select("doc_id", "tid", F.col("n").alias("n_shingles"),
                     F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    return _decide(docs, size, percent).drop("tid")
+
+
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
-    """One document of each group, with all its columns; rows repeated in
-    every column become one."""
-    decided = near_duplicates(docs, size, percent)
-    gone = materialize(decided.filter("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
+    """One document of each group, with all its columns. Rows repeated in
+    every column become one; texts that share a doc_id are judged alone."""
+    decided = materialize(_decide(docs, size, percent), "near-decided")
+    gone = materialize(decided.filter("not kept").select(F.col("doc_id").alias("gone"), F.col("tid").alias("gone_text")).distinct(),
+                       "near-gone")
     inner = docs.toDF(*[f"in_{k}" for k in range(len(docs.columns))])
-    key = F.col(f"in_{[c.lower() for c in docs.columns].index('doc_id')}")
-    return inner.join(gone, key.cast("long").eqNullSafe(F.col("gone")), "left_anti").distinct().toDF(*docs.columns)
+    at = {c.lower(): f"in_{k}" for k, c in enumerate(docs.columns)}
+    key = F.col(at["doc_id"]).cast("long")
+    left = inner.join(gone, key.eqNullSafe(F.col("gone")) & (text_id(F.col(at["text"])) == F.col("gone_text")), "left_anti")
+    again = materialize(decided.filter("kept").groupBy("doc_id").count().filter("count > 1")
+                        .select(F.col("doc_id").alias("again")), "near-again")
+    if not again.isEmpty():
+        same = key.eqNullSafe(F.col("again"))
+        left = left.join(again, same, "left_anti").unionAll(left.join(again, same, "left_semi").distinct())
+    return left.toDF(*docs.columns)
