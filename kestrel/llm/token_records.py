@@ -56,8 +56,9 @@ END_ID = 0
 MASK = 0xA282EAD8
 BATCH_CHARS = 1 << 19
 BATCH_PIECES = 4096
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 # One space between characters that no tokenizer takes for white space.
+ODD = re.compile("[^\n !-~\u00c0-\u024f]")
 CUT = re.compile("(?<=[!-~\u00c0-\u024f]) (?=[!-~\u00c0-\u024f])")
 MANIFEST = "shard int, path string, docs long, ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -121,6 +122,13 @@ def read_at(path: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]
     return out
 
 
+def _pieces(text: str) -> list[str]:
+    """The text cut at single spaces between visible characters."""
+    if ODD.search(text) or any(s in text for s in ("  ", " \n", "\n ")) or text[:1] == " " or text[-1:] == " ":
+        return CUT.split(text)
+    return text.split(" ")  # every space is such a one
+
+
 class PieceEncoder:
     """Ids of whole texts, with repeated pieces encoded once.
 
@@ -169,13 +177,28 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
-        split = [CUT.split(t) for t in texts]
+        split = [_pieces(t) for t in texts]
         first = self._learn({s[0] for s in split}, "")
         later = self._learn(set().union(*(s[1:] for s in split)), " ")
         end = np.asarray([END_ID], "<u4").tobytes()
         return [np.frombuffer(b"".join((first[s[0]], *map(later.__getitem__, s[1:]), end)), "<u4") for s in split]
 
 
+# One encoder per tokenizer file: worker processes are reused, and so is what
+# they have learned.
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def _encoder(tokenizer_path: str) -> PieceEncoder:
+    if tokenizer_path not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        tokenizer.encode_special_tokens = True
+        _encoders[tokenizer_path] = PieceEncoder(tokenizer)
+    return _encoders[tokenizer_path]
+
+
 def _batches_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     ids, texts, chars = [], [], 0
     for batch in batches:
@@ -192,15 +215,11 @@ def _batches_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list,
 
 def _write_shard(tokenizer_path: str, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
         work = _batches_of_text(batches)
         first = next(work, None)
         if first is None:
             return
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        encoder = PieceEncoder(tokenizer)
+        encoder = _encoder(tokenizer_path)
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
         store, inner = _file_system(path)
