@@ -18,11 +18,18 @@ hash, the number of leading zeros and ``MANTISSA`` bits after them.
     what is left are the pairs of a bucket whose classes lie in different
     components. The verification noted which of the centre's shingles a class
     has: two sets have in common at most what both have of it, and the
-    smaller rest. The classes outside the centre's component meet all members
-    in chunks of ``CHUNK`` classes, so no group is ever one task; pairs that
-    pass this exact bound and the estimate are verified, once each. Then the
-    components are final: every candidate pair was tested, cannot reach the
-    threshold, or is inside a component.
+    smaller rest. Up to ``CHUNK`` classes outside the centre's component meet
+    all members of their bucket in chunks of ``CHUNK`` classes. The classes of
+    a bucket with more outside ones (a crowded bucket) meet under single
+    registers instead, rarest first: a set of n shingles that reaches the
+    threshold with another differs from it in a quarter of n shingles at most,
+    hence in no more registers, so the first registers beyond that number
+    include one that both have. Registers that stay common are dealt in pairs
+    of blocks, within a set-size band or two adjacent ones (the size bound
+    rules out the rest). So a group holds about two chunks, whatever a bucket
+    holds; pairs that pass these exact bounds and the estimate are verified,
+    once each. Then the components are final: every candidate pair was tested,
+    cannot reach the threshold, or is inside a component.
     With 32 bands of 4 registers two documents at similarity 0.8 share no
     band once in 20 million.
 
@@ -260,7 +267,107 @@ def _chunk_pairs(percent: int):
     return run
 
 
-def _rest(rows: DataFrame, centres: DataFrame, classes: DataFrame, labels: DataFrame, verified: DataFrame,
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The registers in use as numbers of place and value."""
+    for batch in batches:
+        place = np.arange(REGISTERS, dtype=np.int32) << 16
+        listed = [(place | row)[row > 0] for row in _rows_of(batch.column("registers")).astype(np.int32)]
+        yield pa.RecordBatch.from_pydict({"sig": batch.column("sig"), "n": batch.column("n"),
+                                          "used": pa.array([len(x) for x in listed], pa.int32()),
+                                          "tokens": pa.array(listed, pa.list_(pa.int32()))})
+
+
+def _may_differ(n: Column, used: Column, percent: int) -> Column:
+    """How many of its registers a set can have that a candidate has not: one
+    for each shingle that only one of both has, and no more than the estimate
+    lets pass."""
+    share = MIN_PERCENT / 100
+    equal = F.ceil(used * (percent / 100) - F.sqrt(used * (share * (1 - share))) * DEVIATIONS - 1e-6)
+    return F.least(F.floor(n * (100 - percent) / percent + 1e-9), used - F.greatest(equal, F.lit(0))).cast("int")
+
+
+def _block_pairs(percent: int):
+    """Rows of one register and two blocks (or one): the pairs across
+    components that can still reach the threshold."""
+    def run(table: pa.Table) -> pa.Table:
+        out = {"a": [], "b": []}
+        registers, n = _rows_of(table["registers"].combine_chunks()), table["n"].to_numpy()
+        sig, component = table["sig"].to_pylist(), np.asarray(table["component"].to_pylist(), object)
+        anchors, known = table["anchor"].to_pylist(), table["bits"].to_pylist()
+        number = {c: i for i, c in enumerate(set(anchors) - {None})}
+        anchor = np.array([number.get(c, -1) for c in anchors])
+        bits, row_of, beyond = {}, np.zeros(len(n), np.int64), n.astype(np.int64)
+        for i in number.values():
+            at = np.flatnonzero(anchor == i)
+            bits[i] = np.array([np.frombuffer(known[k], np.uint8) for k in at])
+            row_of[at] = np.arange(len(at))
+            beyond[at] -= np.bitwise_count(bits[i]).sum(axis=1, dtype=np.int64)
+        first, same = table["first"].to_numpy(zero_copy_only=False), table["same"][0].as_py()
+        left = np.flatnonzero(first)
+        for k in range(len(n)) if same else np.flatnonzero(~first):
+            at = left[left < k] if same else left
+            at = at[(100 * np.minimum(n[at], n[k]) >= percent * np.maximum(n[at], n[k])) & (component[at] != component[k])]
+            # Registers that differ stand for as many shingles that only one has.
+            unequal = (registers[at] != registers[k]).sum(axis=1)
+            at = at[(100 + percent) * unequal <= (100 - percent) * (n[at] + n[k])]
+            most = np.minimum(n[at], n[k])
+            if anchor[k] >= 0 and len(at):
+                alike = anchor[at] == anchor[k]
+                own, j = bits[anchor[k]], at[alike]
+                common = np.bitwise_count(own[row_of[j]] & own[row_of[k]]).sum(axis=1, dtype=np.int64)
+                most[alike] = np.minimum(most[alike], common + np.minimum(beyond[j], beyond[k]))
+            at = at[(100 + percent) * most >= percent * (n[at] + n[k])]
+            if len(at):
+                for j in at[_likely(registers[at], registers[k][None, :], n[at], np.full(len(at), n[k]), percent)]:
+                    out["a"].append(max(sig[j], sig[k]))
+                    out["b"].append(min(sig[j], sig[k]))
+        return pa.table(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+    return run
+
+
+def _crowded_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of different components among ``members`` (sig, n,
+    registers, component, anchor, bits)."""
+    tokens = materialize(members.select("sig", "n", "registers").mapInArrow(_tokens, "sig binary, n long, used int, tokens array<int>")
+                         .select("sig", "n", "used", F.explode("tokens").alias("token")), "near-tokens")
+    often = materialize(tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
+                        .withColumnRenamed("token", "t"), "near-often")
+    ordered = (tokens.join(often, F.col("token") == F.col("t")).groupBy("sig")
+               .agg(F.min("n").alias("n"), F.min("used").alias("used"), F.sort_array(F.collect_list(F.struct("often", "token"))).alias("order")))
+    # Registers that no other class has come first and meet nobody.
+    length = _may_differ(F.col("n"), F.col("used"), percent) + 1 - (F.col("used") - F.size("order"))
+    prefix = (ordered.select("sig", "n", F.explode(F.slice("order", F.lit(1), F.greatest(length, F.lit(0)))).alias("o"))
+              .select("sig", "n", F.col("o.token").alias("token"))
+              .join(members.select(F.col("sig").alias("s"), "component"), F.col("sig") == F.col("s")).drop("s"))
+    prefix = materialize(prefix, "near-prefix")
+    homes = (prefix.groupBy("token", "component").agg(F.count("*").alias("many")).groupBy("token")
+             .agg(F.sum("many").alias("total"), F.max(F.struct("many", "component")).alias("most")).filter("total > most.many")
+             .select(F.col("token").alias("t"), "total", F.col("most.component").alias("main")))
+    homes = materialize(homes, "near-homes")
+    large = F.col("total") > CHUNK
+    size_band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent))) + 1e-9) if percent < 100 else F.col("n")
+    placed = (prefix.join(homes, F.col("token") == F.col("t")).drop("t")
+              .withColumn("cell", F.when(large, size_band).otherwise(F.lit(0)).cast("long"))
+              .withColumn("home", large & (F.col("component") == F.col("main"))))
+    placed = materialize(placed.select("token", "sig", "component", "cell", "home"), "near-placed")
+    cells = (placed.groupBy("token", "cell", "home").agg(F.ceil(F.count("*") / F.lit(float(CHUNK))).cast("int").alias("blocks"))
+             .groupBy("token").agg(F.collect_list(F.struct("cell", "home", "blocks")).alias("cells")).withColumnRenamed("token", "t"))
+    cells = materialize(cells, "near-cells")
+    block = lambda c, h, k: F.struct(c.alias("cell"), h.alias("home"), k.cast("int").alias("block"))
+    near = F.filter("cells", lambda c: (F.abs(c["cell"] - F.col("cell")) <= 1) & ~(c["home"] & F.col("home")))
+    others = F.flatten(F.transform(near, lambda c: F.transform(
+        F.sequence(F.lit(0), c["blocks"] - 1), lambda k: block(c["cell"], c["home"], k))))
+    mine = F.filter("cells", lambda c: (c["cell"] == F.col("cell")) & (c["home"] == F.col("home")))[0]["blocks"]
+    places = (placed.join(cells, F.col("token") == F.col("t"))
+              .withColumn("me", block(F.col("cell"), F.col("home"), F.pmod(F.xxhash64("sig"), mine)))
+              .select("token", "sig", "me", F.explode(others).alias("other"))
+              .select("token", F.col("sig").alias("s"), F.least("me", "other").alias("lo"), F.greatest("me", "other").alias("hi"),
+                      (F.col("me") <= F.col("other")).alias("first"), (F.col("me") == F.col("other")).alias("same")))
+    return (materialize(places, "near-places").join(members, F.col("s") == F.col("sig")).drop("s")
+            .groupBy("token", "lo", "hi").applyInArrow(_block_pairs(percent), "a binary, b binary"))
+
+
+def _rest(rows: DataFrame, centres: DataFrame, company: DataFrame, classes: DataFrame, labels: DataFrame, verified: DataFrame,
           percent: int) -> DataFrame:
     """Likely pairs of a bucket that lie in different components and were not
     tested yet."""
@@ -278,18 +385,32 @@ def _rest(rows: DataFrame, centres: DataFrame, classes: DataFrame, labels: DataF
     if mixed.isEmpty():
         return verified.limit(0).select("a", "b")
     known = verified.select(F.col("a").alias("s"), F.col("b").alias("c"), "bits")
+    either = verified.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    crowded = (open_rows.filter(F.col("size") > CHUNK).join(mixed, F.col("bucket") == F.col("k"))
+               .filter("component <> home").groupBy("bucket").count().filter(F.col("count") > CHUNK).select("bucket"))
+    crowded = materialize(crowded, "near-crowded")
+    pairs = None
+    if not crowded.isEmpty():
+        inside = materialize(open_rows.join(crowded, "bucket", "left_semi").select("sig").distinct(), "near-inside")
+        anchors = (known.join(company.select(F.col("sig").alias("x"), "company"), F.col("c") == F.col("x"))
+                   .join(inside, F.col("s") == F.col("sig"), "left_semi").groupBy("s")
+                   .agg(F.max(F.struct("company", "c", "bits")).alias("best"))
+                   .select("s", F.col("best.c").alias("anchor"), F.col("best.bits").alias("bits")))
+        members = labelled.join(inside, "sig", "left_semi").join(anchors, F.col("sig") == F.col("s"), "left").drop("s")
+        pairs = materialize(_crowded_pairs(materialize(members, "near-members"), percent).distinct(), "near-crowded-pairs")
+        mixed = materialize(mixed.join(crowded, F.col("k") == F.col("bucket"), "left_anti"), "near-uncrowded")
     dealt = (open_rows.join(mixed, F.col("bucket") == F.col("k")).drop("k")
              .join(known, (F.col("sig") == F.col("s")) & (F.col("centre") == F.col("c")), "left").drop("s", "c")
              .join(labelled.select(F.col("sig").alias("s"), "n", "registers"), F.col("sig") == F.col("s")).drop("s")
              .withColumn("chunks", F.ceil(F.col("size") / F.lit(float(CHUNK))).cast("int"))
              .withColumn("outside", F.col("component") != F.col("home")))
-    # One row as a member of its chunk, and for the outside ones one per chunk.
+    # One row as a member of its chunk, and for the outside ones (CHUNK at most) one per chunk.
     own = F.array(F.struct(F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("outside")))
     every = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("outside")))
     places = dealt.select("bucket", "band", "sig", "component", "centre", "n", "registers", "bits", F.explode(
         F.when(F.col("outside"), F.concat(own, every)).otherwise(own)).alias("at")).select("*", "at.*").drop("at")
-    pairs = places.groupBy("bucket", "chunk").applyInArrow(_chunk_pairs(percent), "a binary, b binary").distinct()
-    either = verified.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    chunked = places.groupBy("bucket", "chunk").applyInArrow(_chunk_pairs(percent), "a binary, b binary")
+    pairs = (chunked if pairs is None else chunked.unionAll(pairs)).distinct()
     return pairs.join(either, ["a", "b"], "left_anti")
 
 
@@ -322,7 +443,7 @@ def _decide(docs: DataFrame, size: int, percent: int) -> DataFrame:
     verified = materialize(_verify(tested, texts, size, percent), "near-verified")
     links = verified.filter("linked").select("a", "b")
     labels = components(links)
-    rest = materialize(_rest(rows, centres, classes, labels, verified, percent), "near-rest")
+    rest = materialize(_rest(rows, centres, company, classes, labels, verified, percent), "near-rest")
     if not rest.isEmpty():
         more = materialize(_verify(rest, texts, size, percent).filter("linked").select("a", "b"), "near-links")
         if not more.isEmpty():

@@ -52,6 +52,46 @@ def test_near_family_around_the_threshold(spark):
     assert got == dict(enumerate(want))
 
 
+@pytest.mark.parametrize("shape", ["one shared shingle", "family around the threshold"])
+def test_crowded_bucket_is_dealt(spark, monkeypatch, shape):
+    """Many classes outside the centre's component in one bucket: no group
+    may hold them all, and no link may be lost."""
+    rng, chunk = random.Random(7), 32
+    word = lambda: "".join(rng.choices("abcdefgh", k=8))
+    if shape == "one shared shingle":
+        shared = " ".join(word() for _ in range(4))
+        texts = [shared + " " + " ".join(word() for _ in range(rng.randint(1, 40))) for _ in range(300)]
+        texts += [" ".join(t.split()[:-1]) for t in texts[:40]] + [t + " " + word() for t in texts[20:60]]
+    else:
+        base, texts = [word() for _ in range(160)], []
+        for _ in range(300):
+            own = list(base)
+            for k in rng.sample(range(160), rng.randint(3, 7)):
+                own[k] = word()
+            texts.append(" ".join(own))
+    limit = 5 * chunk
+
+    def bounded(make):
+        def outer(percent):
+            run = make(percent)
+
+            def inner(table):
+                if table.num_rows > limit:
+                    raise ValueError(f"a group of {table.num_rows} rows")
+                return run(table)
+            return inner
+        return outer
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    for name in ("_chunk_pairs", "_block_pairs"):
+        if hasattr(near_dedup, name):
+            monkeypatch.setattr(near_dedup, name, bounded(getattr(near_dedup, name)))
+    docs = data.documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, size=4).collect()}
+    want = reference.near_components(texts, 4)
+    assert got == dict(enumerate(want))
+    assert len(set(want)) > 3 * chunk
+
+
 def test_substrings_match_all_windows(spark, small, monkeypatch):
     rows = collected(small)
     want = dict(zip((i for i, _ in rows), reference.removed_substrings([t for _, t in rows], 400)))
