@@ -189,18 +189,6 @@ def _verified(size: int, percent: int):
     return run
 
 
-def _with_signature(size: int):
-    """Texts under their own signature; a repeated doc_id may have brought
-    another text than the one wanted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = batch.column("sig").to_pylist()
-            good = [k for k, x in enumerate(shingle_sets(batch.column("text"), size)) if signature(x) == wanted[k]]
-            keep = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_pydict({c: batch.column(c).take(keep) for c in ("sig", "text")})
-    return run
-
-
 # --- linking ----------------------------------------------------------------------
 
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -420,7 +408,9 @@ def _decide(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sketched = materialize(sketches(docs, size), "near-sketches")
     classes = materialize(
         sketched.filter("sig is not null").groupBy("sig")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("registers").alias("registers")), "near-classes")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tid")).alias("first"), F.min("n").alias("n"),
+             F.min("registers").alias("registers"))
+        .select("sig", "first.doc_id", "first.tid", "n", "registers"), "near-classes")
     buckets = classes.select("sig", F.explode(band_keys(F.col("registers"))).alias("b")).select("sig", "b.*")
     met = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
                       .withColumnRenamed("bucket", "k"), "near-buckets")
@@ -434,11 +424,13 @@ def _decide(docs: DataFrame, size: int, percent: int) -> DataFrame:
     stars = (rows.join(centres.withColumnRenamed("bucket", "k"), F.col("bucket") == F.col("k"))
              .filter("sig <> centre").select(F.col("sig").alias("a"), F.col("centre").alias("b")).distinct())
     wanted = materialize(classes.join(company.select(F.col("sig").alias("s")), F.col("sig") == F.col("s"), "left_semi")
-                         .select("sig", F.col("doc_id").alias("first")), "near-wanted")
+                         .select("sig", F.col("doc_id").alias("first"), F.col("tid").alias("first_text")), "near-wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = (texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("sig", "text")
-             .mapInArrow(_with_signature(size), "sig binary, text string"))
-    texts = materialize(texts, "near-texts")
+    # By the text too: a repeated or null doc_id brings other texts than the one wanted.
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("first")) & (text_id(F.col("text")) == F.col("first_text")))
+    texts = materialize(texts.select("sig", "text"), "near-texts")
+    if not texts.groupBy("sig").count().filter("count > 1").isEmpty():  # rows repeated with their doc_id
+        texts = materialize(texts.dropDuplicates(["sig"]), "near-texts-once")
     tested = materialize(_candidates(stars, classes, percent), "near-candidates")
     verified = materialize(_verify(tested, texts, size, percent), "near-verified")
     links = verified.filter("linked").select("a", "b")

@@ -2,6 +2,7 @@
 with clashing names, for every operator and every pipeline stage."""
 
 import hashlib
+import random
 
 import pytest
 
@@ -93,6 +94,30 @@ def test_repeated_rows_of_near_duplicates(spark):
     assert sorted(r.text for r in kept) == ["a b c d e f", "other words here now and so"]
 
 
+def test_texts_of_a_shared_doc_id_are_fetched_once(spark, monkeypatch):
+    """Different texts under one doc_id, or under none: one text a class."""
+    rng, texts = random.Random(5), []
+    for k in range(60):
+        words = data.words(rng, 40)
+        texts += [" ".join(words), " ".join(words + ["more"])]
+    rows = [(None if i % 4 < 2 else 7, t, "en", "s", 0) for i, t in enumerate(texts)]
+    fetched = {}
+
+    def counted(df, name, metrics=None):
+        out = materialize(df, name, metrics)
+        if name.startswith("near-texts"):
+            fetched[name] = out.count()
+        return out
+    materialize = near_dedup.materialize
+    monkeypatch.setattr(near_dedup, "materialize", counted)
+    if hasattr(near_dedup, "_with_signature"):
+        monkeypatch.setattr(near_dedup, "_with_signature", lambda size: lambda batches: (
+            b.select(["sig", "text"]) for b in batches))
+    got = near_dedup.near_duplicates(data.documents(spark, rows + rows[:8]), size=4).collect()
+    assert min(fetched.values()) == len(texts)
+    assert sorted((r.component_id is None, r.component_id or 0) for r in got) == [(False, 7)] * 64 + [(True, 0)] * 64
+
+
 def test_mix_targets_and_caps(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 7)), None, "abc"[i % 3] if i % 10 else None, None) for i in range(3000)]
     got = mixing.mix_report(data.documents(spark, rows)).collect()
