@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions import bands
 from kestrel.operators.aggregate import with_category_order
+from kestrel.operators.positions import with_positions
 from kestrel.plans import documents, fixtures, logs, ratings, trips, tweets
 from kestrel.session import materialize, prepare, scratch_path
 from kestrel.sources import raw_inputs
@@ -59,9 +60,8 @@ def _staged_trips(fn) -> Query:
 def _ranked(fn):
     """Ranks in order (G10, O2), with their position."""
     def run(trips_df: DataFrame) -> DataFrame:
-        order = Window.orderBy(F.col("pagerank").desc(), F.col("id"))
-        # One row per area: the order is over vertices, not trips.
-        return trips.ranked(fn(trips_df).withColumn("position", F.row_number().over(order)))
+        placed = with_positions(fn(trips_df), F.col("pagerank").desc(), F.col("id"))
+        return trips.ranked(placed.withColumn("position", F.col("position").cast("int")))
     return run
 
 
