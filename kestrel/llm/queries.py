@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import (exact_search, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality_rules,
-                         substring_dedup, token_records)
+from kestrel.llm import (exact_search, hard_negatives, language_id, license_scan, line_dedup, merkle, mixing, near_dedup, packing,
+                         quality_rules, substring_dedup, token_counts, token_records)
 from kestrel.session import prepare
 from kestrel.sources.tables import read_table
 
@@ -22,13 +22,15 @@ def _documents(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_search.top_k(read_table(prepare(spark), sf_dir, "embeddings"))
+def _embeddings(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(read_table(prepare(spark), sf_dir, "embeddings"))
+    return run
 
 
 def queries() -> dict[str, Query]:
     return {
-        "op1_exact_top_k": _search,
+        "op1_exact_top_k": _embeddings(exact_search.top_k),
         "op2_language_id": _documents(language_id.identify),
         "op3_near_dedup": _documents(lambda docs: near_dedup.near_duplicates(docs, size=CONTRACT_SHINGLE_WORDS)),
         "op4_substring_dedup": _documents(substring_dedup.substring_report),
@@ -38,6 +40,9 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": _documents(license_scan.scan),
         "op9_packing": _documents(packing.pack_documents),
         "op10_quality_rules": _documents(quality_rules.quality_report),
+        "op11_hard_negatives": _embeddings(hard_negatives.negatives_report),
+        "op12_merkle_manifest": _documents(merkle.merkle_report),
+        "op13_token_counts": _documents(token_counts.token_counts),
     }
 
 
@@ -48,4 +53,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": line_dedup.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op10_quality_rules": quality_rules.oracle_sql(),
+        "op11_hard_negatives": hard_negatives.oracle_sql(),
+        "op12_merkle_manifest": merkle.oracle_sql(),
     }

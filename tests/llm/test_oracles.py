@@ -19,4 +19,4 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
