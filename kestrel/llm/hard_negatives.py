@@ -75,16 +75,17 @@ LEAST_PERCENT = 50
 MOST_PERCENT = 95
 LARGEST = 1 << 22
 SAMPLE_ROWS = 8192
-FAN_OUT = 16
-LEAF_SAMPLE = 32  # a subtree of so few sample rows, or expected
+FAN_OUT = 8
+LEAF_SAMPLE = 64  # a subtree of so few sample rows, or expected
 LEAF_ROWS = 2048  # to hold so few rows of all, is a leaf
 BLOCK_ROWS = 4096
+PART_BLOCKS = 16
 QUERY_ROWS = 256
 SLACK = 1e-6  # relative; rounding of distances is near 1e-14
 NO_LEAST, NO_MOST = -(1 << 62), 1 << 62
 EXACT_FLOAT = 1 << 53
 
-BLOCKS = "cell int, near double, far double, ids binary, labels binary, vectors binary"
+BLOCKS = "cell int, count long, near double, far double, ids binary, labels binary, vectors binary"
 GROUPS = "cells array<int>, queries binary, ids binary, labels binary, windows binary"
 FOUND = "anchor_id long, slot int, vec_id long, score long"
 
@@ -117,6 +118,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows of two integer matrices."""
+    # int32 holds LARGEST, so no absolute value leaves it.
     largest = a.shape[1] * int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0))
     if largest < EXACT_FLOAT:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
@@ -147,8 +149,8 @@ class Tree:
         self._grow(sample)
 
     def _grow(self, x: np.ndarray) -> int:
-        points = self._spread(x)
-        if len(x) <= self._leaf or len(points) < 2:
+        points = self._spread(x) if len(x) > self._leaf else x[:0]
+        if len(points) < 2:
             self.cells += 1
             return ~(self.cells - 1)
         at = len(self.nodes)
@@ -159,8 +161,9 @@ class Tree:
         return at
 
     def _spread(self, x: np.ndarray) -> np.ndarray:
-        """Split points far from each other: each next one is the row that is
-        farthest from those before it."""
+        """Split points far from each other, out of three times as many rows:
+        each next one is the row that is farthest from those before it."""
+        x = x[:: max(1, len(x) // (3 * FAN_OUT))][:3 * FAN_OUT]
         chosen = [0]
         least = self._distances(x, x[:1])[:, 0] if len(x) else np.zeros(0)
         while len(x) and len(chosen) < FAN_OUT and least.max() > 0:
@@ -253,7 +256,7 @@ def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Tree, list]:
     ``sample_rows`` rows, in the driver): the only bounded part of the index."""
     longest, width, n = _extent(rows)
     sample = rows.orderBy(F.xxhash64("vector", "vec_id"), "vec_id", "label").limit(sample_rows).collect()
-    x = np.zeros((len(sample), width), np.int64)
+    x = np.zeros((len(sample), width), np.int32)
     for k, row in enumerate(sample):
         x[k, :len(row["vector"])] = row["vector"]
     return Tree(x, longest, n), [np.asarray([r["vec_id"] for r in sample], np.int64),
@@ -333,7 +336,7 @@ def _leaf_blocks(width: int):
         for part in _chunks(batches, BLOCK_ROWS, True):
             own = part["own"].to_numpy()
             yield pa.RecordBatch.from_pydict({
-                "cell": pa.array([part["cell"][0].as_py()], pa.int32()), "near": [float(own.min())], "far": [float(own.max())],
+                "cell": pa.array([part["cell"][0].as_py()], pa.int32()), "count": pa.array([len(part)], pa.int64()), "near": [float(own.min())], "far": [float(own.max())],
                 "ids": pa.array([part["vec_id"].to_numpy().tobytes()], pa.binary()),
                 "labels": pa.array([part["label"].to_numpy().astype(np.int64).tobytes()], pa.binary()),
                 "vectors": pa.array([_matrix(_array(part, "vector"), width).astype(np.int32).tobytes()], pa.binary())})
@@ -396,7 +399,7 @@ def _query_groups(tree: Tree, sample: list, want_same: bool, k: int):
             windows = raised(sample, ids, labels, q, windows, want_same, k)
             cells = np.flatnonzero(tree.reachable(q, windows[:, :, 0], windows[:, :, 1]).any(axis=0))
             yield pa.RecordBatch.from_pydict({
-                "cells": pa.array([cells.tolist()], pa.list_(pa.int32())), "queries": pa.array([q.tobytes()], pa.binary()),
+                "cells": pa.array([cells.tolist()], pa.list_(pa.int32())), "queries": pa.array([q.astype(np.int32).tobytes()], pa.binary()),
                 "ids": pa.array([ids.tobytes()], pa.binary()), "labels": pa.array([labels.tobytes()], pa.binary()),
                 "windows": pa.array([windows.tobytes()], pa.binary())})
     return run
@@ -407,9 +410,9 @@ def search_block(tree: Tree, row: dict, want_same: bool, k: int) -> tuple[np.nda
     every window of one block of anchors."""
     read = lambda name, kind=np.int64: np.frombuffer(row[name], kind)
     q_ids, q_labels = read("q_ids"), read("q_labels")
-    q, windows = read("queries").reshape(len(q_ids), -1), read("windows").reshape(len(q_ids), -1, 2)
+    q, windows = read("queries", np.int32).reshape(len(q_ids), -1), read("windows").reshape(len(q_ids), -1, 2)
     at, of = read("ids"), read("labels")
-    x = read("vectors", np.int32).astype(np.int64).reshape(len(at), tree.width)
+    x = read("vectors", np.int32).reshape(len(at), tree.width)
     s = scores(q, x)
     own, same = q_ids[:, None] == at[None, :], q_labels[:, None] == of[None, :]
     parts = []
@@ -427,7 +430,7 @@ def _near_enough(tree: Tree, row: dict) -> bool:
     point = tree.cell_points().get(row["cell"])
     if point is None:
         return True
-    q = np.frombuffer(row["queries"], np.int64).reshape(-1, tree.width)
+    q = np.frombuffer(row["queries"], np.int32).reshape(-1, tree.width)
     windows = np.frombuffer(row["windows"], np.int64).reshape(len(q), -1, 2)
     apart = tree.of_score(q, scores(q, point[None, :]))
     inner = tree.of_score(q, np.minimum(windows[:, :, 1], tree.longest * 4.0))
@@ -449,6 +452,12 @@ def _search(tree: Tree, want_same: bool, k: int):
     return run
 
 
+def _parts_by_cell(cells: list) -> list[int]:
+    """Parts of each cell number from 0; a cell without rows has none to meet."""
+    blocks = {r["cell"]: r["n"] for r in cells}
+    return [max(1, -(-blocks.get(c, 0) // PART_BLOCKS)) for c in range(max(blocks, default=0) + 1)]
+
+
 def range_search(tree: Tree, sample: list, leaves: DataFrame, queries: DataFrame, want_same: bool, k: int) -> DataFrame:
     """anchor_id, slot (number of the window), vec_id, score and rank of the k
     best rows in every window. ``queries``: vec_id, label, vector, lows, highs."""
@@ -457,8 +466,14 @@ def range_search(tree: Tree, sample: list, leaves: DataFrame, queries: DataFrame
     groups = materialize(
         routed.repartitionByRange("cell", "own", "vec_id").sortWithinPartitions("cell", "own", "vec_id")
         .mapInArrow(_query_groups(tree, sample, want_same, k), GROUPS), "gnat-queries")
-    pairs = (groups.select(F.explode("cells").alias("cell"), "queries", F.col("ids").alias("q_ids"),
-                           F.col("labels").alias("q_labels"), "windows").join(leaves, "cell"))
+    # Number of parts by cell: as many entries as the routing tree has leaves.
+    cells = leaves.groupBy("cell").agg(F.count("*").alias("n")).collect()
+    parts = F.array(*[F.lit(n) for n in _parts_by_cell(cells)])
+    asked = groups.select(F.explode("cells").alias("cell"), "queries", F.col("ids").alias("q_ids"), F.col("labels").alias("q_labels"), "windows")
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.get(parts, F.col("cell")) - 1)))
+    held = leaves.withColumn("part", F.pmod(F.xxhash64("ids"), F.get(parts, F.col("cell"))).cast("int"))
+    # Both sides carry blocks of vectors: a shuffled join at every size.
+    pairs = asked.hint("merge").join(held, ["cell", "part"])
     found = pairs.mapInArrow(_search(tree, want_same, k), FOUND)
     order = Window.partitionBy("anchor_id", "slot").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

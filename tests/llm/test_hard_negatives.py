@@ -62,6 +62,7 @@ def test_equals_brute_force(spark, monkeypatch, sample):
 
 def test_blocks_of_leaves_and_queries(spark, monkeypatch):
     monkeypatch.setattr(hn, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(hn, "PART_BLOCKS", 2)
     monkeypatch.setattr(hn, "QUERY_ROWS", 3)
     rows = clustered(2, 500, 5, 0.3)
     assert mined(spark, rows) == brute(rows)
