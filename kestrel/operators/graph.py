@@ -251,6 +251,52 @@ def pagerank(vertex_ids: DataFrame, edges: DataFrame, reset: float = RESET, tol:
 
 # --- breadth-first search ------------------------------------------------------
 
+def _levels(flags: DataFrame, pairs: DataFrame, max_path_length: int) -> tuple[list[DataFrame], int | None]:
+    """Vertices by hop distance to the nearest target, as one written table
+    (id, _is_start) per distance, and the smallest distance of a start (None
+    if none is within ``max_path_length``). ``flags``: id, _from, _to."""
+    start_flags = flags.select("id", F.col("_from").alias("_is_start"))
+    # Each level is written out once; `visited` is the union of the level
+    # tables, so the plan grows by one file scan per level.
+    levels = [_cut(flags.filter("_to").select("id", F.lit(False).alias("_is_start")), "bfs-level")]
+    for k in range(1, max_path_length + 1):
+        visited = levels[0].select("id")
+        for level in levels[1:]:
+            visited = visited.unionByName(level.select("id"))
+        step = (_along(pairs, levels[-1].select(F.col("id").alias("dst")), "dst")
+                .select(F.col("src").alias("id")).distinct()
+                .join(visited, "id", "left_anti")
+                .join(start_flags, "id", "left")
+                .select("id", F.coalesce("_is_start", F.lit(False)).alias("_is_start")))
+        step, stats = _cut(step, "bfs-level", [F.count(F.lit(1)).alias("n"),
+                                               F.max("_is_start").alias("hit")])
+        if not stats["n"]:
+            return levels, None
+        levels.append(step)
+        if stats["hit"]:
+            return levels, k
+    return levels, None
+
+
+def _on_shortest(levels: list[DataFrame], depth: int, pairs: DataFrame) -> list[DataFrame]:
+    """The vertices of each level that a shortest path runs through, found
+    forwards: starts (distance ``depth``) first, distance 1 last."""
+    on_path = [levels[depth].filter("_is_start").select("id")]
+    for k in range(depth - 1, 0, -1):
+        nexts = (_along(pairs, on_path[-1].select(F.col("id").alias("src")), "src")
+                 .select(F.col("dst").alias("id")).distinct().join(levels[k].select("id"), "id", "left_semi"))
+        on_path.append(_cut(nexts, "bfs-path"))
+    return on_path
+
+
+def _flags(vertices: DataFrame, from_cond: Column, to_cond: Column) -> DataFrame:
+    """One small table of per-vertex flags, written once, so the loop never
+    goes back to the (possibly huge) input the vertices came from."""
+    return _cut(vertices.groupBy("id").agg(
+        F.max(F.coalesce(from_cond, F.lit(False))).alias("_from"),
+        F.max(F.coalesce(to_cond, F.lit(False))).alias("_to")), "bfs-vertices")
+
+
 def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_cond: Column,
                    max_path_length: int = 10, distinct_pairs: bool = False) -> DataFrame:
     """Shortest paths from vertices matching ``from_cond`` to vertices
@@ -273,11 +319,7 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
     steps from distance to distance - 1. Targets are carried only along those
     paths: the vertices on them are found forwards from the starts, then the
     targets travel back over them."""
-    # One small table of per-vertex flags, written once, so the loop never
-    # goes back to the (possibly huge) input the vertices came from.
-    flags = _cut(vertices.groupBy("id").agg(
-        F.max(F.coalesce(from_cond, F.lit(False))).alias("_from"),
-        F.max(F.coalesce(to_cond, F.lit(False))).alias("_to")), "bfs-vertices")
+    flags = _flags(vertices, from_cond, to_cond)
     ids = flags.select("id")
     # Used by the search (as distinct pairs) and by the final first-hop join.
     known = _cut(_restrict_to(edges, ids), "bfs-edges")
@@ -293,28 +335,7 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
 
     pairs = known if distinct_pairs else _cut(known.select("src", "dst").distinct(), "bfs-pairs")
     pairs, collapsed = pairs.select("src", "dst"), pairs
-    start_flags = flags.select("id", F.col("_from").alias("_is_start"))
-    # Each level is written out once; `visited` is the union of the level
-    # tables, so the plan grows by one file scan per level.
-    levels = [_cut(targets.select("id", F.lit(False).alias("_is_start")), "bfs-level")]
-    depth = None
-    for k in range(1, max_path_length + 1):
-        visited = levels[0].select("id")
-        for level in levels[1:]:
-            visited = visited.unionByName(level.select("id"))
-        step = (_along(pairs, levels[-1].select(F.col("id").alias("dst")), "dst")
-                .select(F.col("src").alias("id")).distinct()
-                .join(visited, "id", "left_anti")
-                .join(start_flags, "id", "left")
-                .select("id", F.coalesce("_is_start", F.lit(False)).alias("_is_start")))
-        step, stats = _cut(step, "bfs-level", [F.count(F.lit(1)).alias("n"),
-                                               F.max("_is_start").alias("hit")])
-        if not stats["n"]:
-            break
-        levels.append(step)
-        if stats["hit"]:
-            depth = k
-            break
+    levels, depth = _levels(flags, pairs, max_path_length)
     if depth is None:
         empty = (known.select(F.col("src").alias("start"), F.col("dst").alias("end"), F.lit(0).alias("hops"),
                               F.col("dst").alias("next_id"), *attrs).schema)
@@ -323,12 +344,7 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
             discard(collapsed)
         return vertices.sparkSession.createDataFrame([], empty)
 
-    # Forwards: the vertices of each level that a shortest path runs through.
-    on_path = [levels[depth].filter("_is_start").select("id")]
-    for k in range(depth - 1, 0, -1):
-        nexts = (_along(pairs, on_path[-1].select(F.col("id").alias("src")), "src")
-                 .select(F.col("dst").alias("id")).distinct().join(levels[k].select("id"), "id", "left_semi"))
-        on_path.append(_cut(nexts, "bfs-path"))
+    on_path = _on_shortest(levels, depth, pairs)
     # Backwards: the targets each of them leads to.
     reach = levels[0].select("id", F.col("id").alias("target"))
     carried = []
@@ -347,6 +363,62 @@ def bfs_first_hops(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_
     return first
 
 
+def bfs_paths(vertices: DataFrame, edges: DataFrame, from_cond: Column, to_cond: Column,
+              max_path_length: int = 10, max_paths_per_pair: int = 100_000,
+              distinct_pairs: bool = False) -> DataFrame:
+    """Every shortest path from vertices matching ``from_cond`` to vertices
+    matching ``to_cond`` (G6): ``start, end, hops, path`` with ``path`` the
+    array of vertex ids, start and end included.
+
+    As in ``bfs_first_hops`` only paths of the single shortest length count,
+    through vertices of the vertex table; parallel edges are one path here,
+    since they run through the same vertices. Empty when no path exists.
+
+    The number of shortest paths of a pair can grow exponentially with their
+    length. It is counted first, over the predecessor graph, and more than
+    ``max_paths_per_pair`` of any (start, end) raise ``ValueError`` before a
+    path is built; nothing is cut off.
+
+    Method: the search finds the vertices of each distance that lie on a
+    shortest path. The edges between consecutive distances are the predecessor
+    graph, one small written table per level; counts, then arrays, are carried
+    along it from the starts, level by level."""
+    flags = _flags(vertices, from_cond, to_cond)
+    id_type = flags.schema["id"].dataType
+    columns = ("start", "end", "hops", "path")
+    both = flags.filter("_from and _to")
+    if not both.isEmpty():
+        return both.select(F.col("id").alias("start"), F.col("id").alias("end"), F.lit(0).alias("hops"), F.array("id").alias("path"))
+    known = _restrict_to(edges.select("src", "dst"), flags.select("id"))
+    pairs = _cut(known if distinct_pairs else known.distinct(), "bfs-pairs")
+    levels, depth = _levels(flags, pairs, max_path_length)
+    if depth is None:
+        discard(flags, pairs, *levels)
+        return vertices.sparkSession.createDataFrame(
+            [], f"start {id_type.simpleString()}, end {id_type.simpleString()}, hops int, path array<{id_type.simpleString()}>")
+    on_path = _on_shortest(levels, depth, pairs)
+    ahead = [*on_path[1:], levels[0].select("id")]
+    steps = [_cut(_along(pairs, here.select(F.col("id").alias("src")), "src")
+                  .join(there.select(F.col("id").alias("dst")), "dst", "left_semi").select("src", "dst"), "bfs-steps")
+             for here, there in zip(on_path, ahead)]
+    starts = on_path[0].select(F.col("id").alias("start"), F.col("id").alias("src"))
+
+    # Doubles: exact far beyond any usable limit, and they do not overflow.
+    counts, seen = starts.withColumn("n", F.lit(1.0)), {"most": 0}
+    for step in steps:
+        counts, seen = _cut(_along(step, counts, "src").groupBy("start", F.col("dst").alias("src")).agg(F.sum("n").alias("n")),
+                            "bfs-counts", [F.max("n").alias("most")])
+    if seen["most"] > max_paths_per_pair:
+        raise ValueError(f"a pair has {seen['most']:.0f} shortest paths, more than max_paths_per_pair = {max_paths_per_pair}")
+
+    paths = starts.withColumn("path", F.array("src"))
+    for step in steps:
+        paths = _cut(_along(step, paths, "src").select("start", F.col("dst").alias("src"), F.array_append("path", F.col("dst")).alias("path")),
+                     "bfs-paths")
+    discard(flags, pairs, *levels, *on_path[1:], *steps)
+    return paths.select("start", F.col("src").alias("end"), F.lit(depth).alias("hops"), "path").select(*columns)
+
+
 def min_per_pair(edges: DataFrame, attr: str) -> DataFrame:
     """One edge per (src, dst) carrying the smallest ``attr`` of its parallel
     edges. Feeding this to ``bfs_first_hops`` leaves ``bfs_summary`` unchanged
@@ -396,6 +468,11 @@ class PropertyGraph:
         return bfs_first_hops(self.vertices, self.edges, self._cond(fromExpr), self._cond(toExpr),
                               maxPathLength, distinct_pairs)
 
+    def bfsPaths(self, fromExpr: str | Column, toExpr: str | Column,  # noqa: N802,N803
+                 maxPathLength: int = 10, maxPathsPerPair: int = 100_000) -> DataFrame:  # noqa: N803
+        """The shortest paths themselves (see ``bfs_paths``)."""
+        return bfs_paths(self.vertices, self.edges, self._cond(fromExpr), self._cond(toExpr), maxPathLength, maxPathsPerPair)
+
     def pageRank(self, resetProbability: float = RESET, tol: float = TOLERANCE) -> DataFrame:  # noqa: N802,N803
         """``(id, pagerank)`` to a tolerance (see ``pagerank``)."""
         return pagerank(self.vertices, self.edges, reset=resetProbability, tol=tol)

@@ -146,6 +146,11 @@ def _supplier_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.supplier_routes(vertices, fixtures.supply_pairs(spark, sf_dir), collapsed=True)
 
 
+def _supplier_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vertices, _ = fixtures.supply_graph(prepare(spark), sf_dir)
+    return trips.supplier_paths(vertices, fixtures.supply_pairs(spark, sf_dir))
+
+
 def trip_queries() -> dict[str, Query]:
     out = {
         "trips_record_count": _trips(trips.record_count),
@@ -155,7 +160,9 @@ def trip_queries() -> dict[str, Query]:
         "trips_same_area": _trips(trips.same_area_trips),
         "trips_same_area_count": _trips(trips.same_area_count),
         "trips_bfs_summary": _staged_trips(lambda t: trips.bfs_to(t, trips.BFS_TARGET_AREA)),
+        "trips_bfs_paths": _staged_trips(lambda t: trips.paths_to(t, trips.BFS_TARGET_AREA)),
         "supply_bfs_summary": _supplier_routes,
+        "supply_bfs_paths": _supplier_paths,
         "trips_unique_vertices": _trips(trips.unique_vertices),
         "trips_weighted_edges": _trips(trips.weighted_edges),
         "trips_weighted_pagerank": _staged_trips(trips.weighted_pagerank),

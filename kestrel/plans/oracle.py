@@ -211,10 +211,9 @@ sedges AS (
   SELECT 'P' || l_partkey AS src, 'S' || l_suppkey AS dst, l_quantity AS TripMiles FROM lineitem)"""
 
 
-def _bfs_sql(prefix: str, verts: str, edges: str, from_cond: str, target_sql: str,
-             max_len: int = 10) -> str:
-    """Shortest-path first legs by a recursive hop-distance CTE, summarised
-    per start: the smallest first-edge miles over shortest paths."""
+def _distance_sql(prefix: str, verts: str, edges: str, from_cond: str, target_sql: str, max_len: int) -> str:
+    """Hop distances to the target by a recursive CTE, the starts and their
+    smallest distance."""
     return prefix + f""",
 ids AS (SELECT DISTINCT id FROM {verts}),
 known AS (SELECT * FROM {edges} WHERE src IN (SELECT id FROM ids) AND dst IN (SELECT id FROM ids)),
@@ -225,13 +224,32 @@ dist(id, hops) AS (
   SELECT p.src, d.hops + 1 FROM pairs p JOIN dist d ON p.dst = d.id WHERE d.hops < {max_len}),
 best AS (SELECT id, min(hops) AS hops FROM dist GROUP BY id),
 starts AS (SELECT b.id, b.hops FROM best b JOIN (SELECT DISTINCT id FROM {verts} WHERE {from_cond}) f USING (id)),
-depth AS (SELECT min(hops) AS d FROM starts)
+depth AS (SELECT min(hops) AS d FROM starts)"""
+
+
+def _bfs_sql(prefix: str, verts: str, edges: str, from_cond: str, target_sql: str,
+             max_len: int = 10) -> str:
+    """Shortest-path first legs, summarised per start: the smallest first-edge
+    miles over shortest paths."""
+    return _distance_sql(prefix, verts, edges, from_cond, target_sql, max_len) + f"""
 SELECT s.id AS startComm, {target_sql} AS landmark, min(k.TripMiles) AS shortestMiles
 FROM starts s JOIN known k ON k.src = s.id JOIN best b ON b.id = k.dst
 WHERE s.hops = (SELECT d FROM depth) AND b.hops = (SELECT d FROM depth) - 1
 GROUP BY s.id"""
 
 
+def _paths_sql(prefix: str, verts: str, edges: str, from_cond: str, target_sql: str, max_len: int = 10) -> str:
+    """All shortest paths, walked one distance less at every step."""
+    return _distance_sql(prefix, verts, edges, from_cond, target_sql, max_len) + f""",
+walk(start, id, hops, path) AS (
+  SELECT id, id, hops, [id] FROM starts WHERE hops = (SELECT d FROM depth)
+  UNION ALL
+  SELECT w.start, b.id, b.hops, list_append(w.path, b.id)
+  FROM walk w JOIN pairs p ON p.src = w.id JOIN best b ON b.id = p.dst AND b.hops = w.hops - 1)
+SELECT start, id AS "end", CAST((SELECT d FROM depth) AS INTEGER) AS hops, array_to_string(path, ' > ') AS path
+FROM walk WHERE hops = 0"""
+
+
 def _weighted_pagerank_sql(prefix: str, rounds: int = 10, damping: float = 0.85) -> str:
     parts = [prefix + ",",
              "n AS (SELECT count(*) AS n FROM uverts),",
@@ -310,6 +328,10 @@ def trips_sql() -> dict[str, str]:
         "trips_same_area_count": w + "SELECT count(*) AS same_area_count FROM edges WHERE src = dst",
         "trips_bfs_summary": _bfs_sql("WITH RECURSIVE " + TRIPS, "verts", "edges",
                                       f"id <> {BFS_TARGET_AREA}", str(BFS_TARGET_AREA)),
+        "trips_bfs_paths": _paths_sql("WITH RECURSIVE " + TRIPS, "verts", "edges",
+                                      f"id <> {BFS_TARGET_AREA}", str(BFS_TARGET_AREA)),
+        "supply_bfs_paths": _paths_sql("WITH RECURSIVE " + SUPPLY, "sverts", "sedges",
+                                       f"id LIKE 'S%' AND id <> '{SUPPLY_TARGET}'", f"'{SUPPLY_TARGET}'"),
         "supply_bfs_summary": _bfs_sql("WITH RECURSIVE " + SUPPLY, "sverts", "sedges",
                                        f"id LIKE 'S%' AND id <> '{SUPPLY_TARGET}'", f"'{SUPPLY_TARGET}'"),
         "trips_unique_vertices": w + "SELECT * FROM uverts",

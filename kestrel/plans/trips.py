@@ -95,6 +95,25 @@ def supplier_routes(vertices: DataFrame, edges: DataFrame, target: str = SUPPLY_
     return graph.bfs_summary(hops, end=target)
 
 
+def path_text(paths: DataFrame) -> DataFrame:
+    """Paths with their vertices as text, ``a > b > c``."""
+    return paths.withColumn("path", F.array_join(F.col("path").cast("array<string>"), " > "))
+
+
+def paths_to(trips: DataFrame, target, max_path_length: int = 10) -> DataFrame:
+    """Q5 in full: the shortest paths of every other area into ``target``."""
+    graph_value = graph.PropertyGraph(vertices(trips), edges(trips))
+    return path_text(graph_value.bfsPaths(F.col("id") != F.lit(target), F.col("id") == F.lit(target), max_path_length))
+
+
+def supplier_paths(vertices: DataFrame, edges: DataFrame, target: str = SUPPLY_TARGET,
+                   max_path_length: int = 10) -> DataFrame:
+    """All shortest routes from each supplier to ``target`` through shared
+    parts; ``edges`` holds one row per (src, dst)."""
+    return path_text(graph.bfs_paths(vertices, edges, F.col("id").startswith("S") & (F.col("id") != F.lit(target)),
+                                     F.col("id") == F.lit(target), max_path_length, distinct_pairs=True))
+
+
 def unique_vertices(trips: DataFrame) -> DataFrame:
     """One vertex row per area id."""
     return graph.one_row_per_vertex(vertices(trips), VERTEX_ATTRS)

@@ -177,6 +177,52 @@ def test_bfs_first_hops_match_path_enumeration(spark, case):
     assert summary == best
 
 
+def ref_paths(ids, edges, target, max_len):
+    """All shortest id sequences into ``target`` by plain enumeration."""
+    out = defaultdict(set)
+    for s, t, _ in edges:
+        if s in ids and t in ids:
+            out[s].add(t)
+    paths = [(v,) for v in ids if v != target]
+    for _k in range(max_len):
+        paths = [p + (t,) for p in paths for t in out[p[-1]] if t not in p]
+        found = {p for p in paths if p[-1] == target}
+        if found:
+            return found
+    return set()
+
+
+@pytest.mark.parametrize("case", sorted(BFS_CASES))
+def test_bfs_paths_match_enumeration(spark, case):
+    ids, edges, target, max_len = BFS_CASES[case]
+    g = graph.PropertyGraph(spark.createDataFrame([(i,) for i in ids], "id int"),
+                            spark.createDataFrame(edges, "src int, dst int, TripMiles double"))
+    got = g.bfsPaths(f"id != {target}", f"id = {target}", max_len).collect()
+    assert sorted(tuple(r.path) for r in got) == sorted(ref_paths(set(ids), edges, target, max_len))
+    assert all((r.start, r.end, r.hops) == (r.path[0], r.path[-1], len(r.path) - 1) for r in got)
+
+
+def test_bfs_paths_of_a_wide_lattice_and_its_limit(spark):
+    """Three layers of four vertices: 4 ** 3 paths into one target."""
+    layers = [[10 * k + j for j in range(4)] for k in range(1, 4)]
+    edges = [(0, v, 1.0) for v in layers[0]] + [(a, b, 1.0) for x, y in zip(layers, layers[1:]) for a in x for b in y] + [(v, 99, 1.0) for v in layers[2]] * 2
+    v = spark.createDataFrame([(i,) for i in [0, 99, *sum(layers, [])]], "id int")
+    e = spark.createDataFrame(edges, "src int, dst int, TripMiles double")
+    ask = lambda limit: graph.bfs_paths(v, e, F.col("id") == 0, F.col("id") == 99, 10, limit)
+    got = ask(64).collect()
+    assert len({tuple(r.path) for r in got}) == len(got) == 64 and {r.hops for r in got} == {4}
+    with pytest.raises(ValueError, match="64 shortest paths"):
+        ask(63)
+
+
+def test_bfs_paths_of_a_start_that_is_a_target_and_of_nothing(spark):
+    v = spark.createDataFrame([(1,), (2,)], "id int")
+    e = spark.createDataFrame([(1, 2, 1.0)], "src int, dst int, TripMiles double")
+    assert [tuple(r) for r in graph.bfs_paths(v, e, F.lit(True), F.col("id") == 2).collect()] == [(2, 2, 0, [2])]
+    none = graph.bfs_paths(v, e, F.col("id") == 2, F.col("id") == 1)
+    assert none.collect() == [] and none.columns == ["start", "end", "hops", "path"]
+
+
 def test_bfs_start_that_is_a_target(spark):
     v = spark.createDataFrame([(1,), (2,)], "id int")
     e = spark.createDataFrame([(1, 2, 1.0)], "src int, dst int, TripMiles double")
