@@ -17,6 +17,7 @@ from kestrel.operators.positions import with_positions
 from kestrel.plans import documents, fixtures, logs, ratings, trips, tweets
 from kestrel.session import materialize, prepare, scratch_path
 from kestrel.sources import raw_inputs
+from kestrel.sources.objectstore import Store
 from kestrel.streaming import logs as stream_logs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +193,13 @@ def log_queries() -> dict[str, Query]:
                                                 "window_start", "window_end"),
         "logs_datanode_windows_replay": lambda spark, sf_dir: _ntz(
             stream_logs.replay_datanode_windows(prepare(spark), sf_dir).result, "window_start", "window_end"),
+        "logs_text_windows_replay": lambda spark, sf_dir: _ntz(
+            stream_logs.replay_text_windows(prepare(spark), sf_dir).result, "window_start", "window_end"),
+        "logs_late_windows_replay": lambda spark, sf_dir: _ntz(stream_logs.replay_dropped(prepare(spark), sf_dir), "watermark"),
+        "logs_text_windows_interrupted": lambda spark, sf_dir: _ntz(
+            stream_logs.interrupted_text_windows(prepare(spark), sf_dir).result, "window_start", "window_end"),
+        "logs_info_block_counts_triggered": lambda spark, sf_dir:
+            stream_logs.triggered_info_block_counts(prepare(spark), sf_dir).result,
         "logs_bytes_per_host_stream": _stream(stream_logs.stream_bytes_per_host),
         "logs_info_block_counts_stream": _stream(stream_logs.stream_info_block_counts),
     }
@@ -203,6 +211,15 @@ def document_queries() -> dict[str, Query]:
     return {"documents_hashtags": hashtags}
 
 
+def _stored_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tweets written to and read from a Hadoop file system that is not the
+    session's default one, addressed by URI alone (S3)."""
+    rows = fixtures.tweets(prepare(spark), sf_dir)
+    store = Store.mounted("kestrel", scratch_path(spark, "store"))
+    store.write(rows, "tweets.csv", "csv", header="true")
+    return tweets.day_share(store.read(spark, "tweets.csv", rows.schema, "csv", header="true"))
+
+
 def csv_queries() -> dict[str, Query]:
     """Questions answered from the original CSV layouts."""
     taxi = ([raw_inputs.write_taxi_csv], [raw_inputs.taxi_csv])
@@ -223,6 +240,7 @@ def csv_queries() -> dict[str, Query]:
         "csv_ratings_top_movies": _csv([raw_inputs.write_plain_csv] * 2, [raw_inputs.ratings_csv, raw_inputs.movies_csv],
                                        ratings.top_movies, fixtures.ratings, fixtures.movies),
         "csv_trips_avg_fare_by_hour": _csv(*taxi, lambda t: trips.average_fare_by(t, "start_hour"), fixtures.trips),
+        "csv_stored_tweets_day_share": _stored_tweets,
         "csv_trips_malformed": _csv(*counted, account, spoiled),
     }
 

@@ -387,7 +387,7 @@ def logs_sql() -> dict[str, str]:
     info = w + (f"SELECT {HOST} AS hostname, count(*) AS count FROM logs "
                 "WHERE contains(value, 'INFO') AND contains(value, 'blk_') GROUP BY 1")
     lines = w + "SELECT value, timestamp FROM logs"
-    from kestrel.streaming.logs import LATE_ONE_IN
+    from kestrel.streaming.logs import LATE_ONE_IN, REPLAY_SLICES
     late = ("(epoch_us(ts) - lo) / CAST(hi - lo + 1 AS DOUBLE) < 0.5 AND event_id % " + str(LATE_ONE_IN) + " = 0")
     replay = _with(
         "span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)",
@@ -398,7 +398,23 @@ def logs_sql() -> dict[str, str]:
         "time_bucket(INTERVAL 30 second, timestamp) AS b FROM logs WHERE contains(value, 'DataNode')))") + (
         "SELECT s AS window_start, s + INTERVAL 60 second AS window_end, count(*) AS datanode_count FROM w, mark "
         "WHERE NOT is_late OR s + INTERVAL 60 second > mark GROUP BY s")
+    # Text lines carry their time to the second; the rows of an arrival meet the
+    # watermark that the DataNode lines of earlier arrivals have left.
+    dropped = _with(
+        "span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)",
+        f"arrived AS (SELECT *, CASE WHEN {late} THEN {REPLAY_SLICES} ELSE "
+        f"CAST(floor((epoch_us(ts) - lo) / CAST(hi - lo + 1 AS DOUBLE) * {REPLAY_SLICES}) AS INTEGER) END AS arrival FROM events, span)",
+        LOGS.replace("ts AS timestamp\n  FROM events", "date_trunc('second', ts) AS timestamp, arrival\n  FROM arrived"),
+        "nodes AS (SELECT timestamp AS t, arrival FROM logs WHERE contains(value, 'DataNode'))",
+        "ends AS (SELECT arrival, max(t) - INTERVAL 5 second AS mark FROM nodes GROUP BY arrival)",
+        "marks AS (SELECT arrival, max(mark) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark FROM ends)",
+        "w AS (SELECT DISTINCT arrival, unnest([b, b - INTERVAL 30 second]) AS s FROM (SELECT arrival, "
+        "time_bucket(INTERVAL 30 second, t) AS b FROM nodes))") + (
+        "SELECT arrival, watermark, count(*) FILTER (WHERE s + INTERVAL 60 second <= watermark) AS dropped "
+        "FROM marks JOIN w USING (arrival) GROUP BY arrival, watermark")
     return {
+        "logs_text_windows_replay": replay, "logs_late_windows_replay": dropped,
+        "logs_text_windows_interrupted": windows, "logs_info_block_counts_triggered": info,
         "logs_lines": lines, "logs_lines_stream": lines,
         "logs_datanode_windows": windows, "logs_datanode_windows_stream": windows,
         "logs_bytes_per_host": per_host, "logs_bytes_per_host_stream": per_host,
@@ -413,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(ratings_sql())
     out.update(trips_sql())
     out.update(logs_sql())
-    out |= {"csv_tweets_day_share": out["tweets_day_share"], "csv_ratings_top_movies": out["ratings_top_movies"],
+    out |= {"csv_tweets_day_share": out["tweets_day_share"], "csv_stored_tweets_day_share": out["tweets_day_share"], "csv_ratings_top_movies": out["ratings_top_movies"],
             "csv_trips_avg_fare_by_hour": out["trips_avg_fare_by_hour"], "csv_trips_malformed":
             _with(TRIPS) + "SELECT count(*) FILTER (WHERE trip_seconds % 43 = 0) AS malformed_values, "
             "count(*) AS trips, count(pickup_area) AS with_pickup FROM trips"}

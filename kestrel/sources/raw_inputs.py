@@ -131,6 +131,12 @@ def line_time(value: Column) -> Column:
     return F.try_to_timestamp(F.regexp_extract(value, LINE_STAMP, 1), F.lit(LINE_STAMP_FORMAT))
 
 
+def write_log_lines(lines: DataFrame, path: str, thread: int = 35) -> None:
+    """``(value, timestamp)`` lines as HDFS text logs: stamp, thread, line."""
+    stamped = F.concat_ws(" ", F.date_format("timestamp", LINE_STAMP_FORMAT), F.lit(str(thread)), F.col("value"))
+    lines.select(stamped.alias("value")).write.text(path)
+
+
 def log_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                     event_time: bool = False) -> DataFrame:
     """``(value, timestamp)`` lines streamed from text files.

@@ -101,3 +101,16 @@ def test_numbers_are_read_leniently_and_losses_counted(spark):
     # The date, the seconds (not whole) and the miles; an empty fare is missing, not malformed.
     assert (bad.malformed, bad.trip_seconds, bad.trip_miles, bad.fare) == (3, None, None, None)
     assert "malformed" not in taxi_csv(spark, folder).columns
+
+
+def test_store_is_addressed_by_its_uri(spark, tmp_path):
+    """Settings travel with reads and writes; the session never learns them."""
+    from kestrel.sources.objectstore import Store
+    store = Store.mounted("tested", f"file:{tmp_path}")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    uri = store.write(df, "some/table", "csv", header="true")
+    assert uri == "viewfs://tested/data/some/table"
+    back = store.read(spark, "some/table", df.schema, "csv", header="true")
+    assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, None)]
+    assert all(f.startswith("viewfs://tested/data/some/table/") for f in back.inputFiles())
+    assert spark.conf.get("fs.viewfs.mounttable.tested.link./data", None) is None

@@ -186,3 +186,114 @@ def test_a_run_that_is_cut_short_raises(utc):
     query = logs.datanode_windows(stream_logs.line_stream(spark, path, 1))
     with pytest.raises(TimeoutError):
         run_stream(spark, query, "update", keys=["window_start", "window_end"], timeout_s=0.01)
+
+
+def _commits(run):
+    """Batches that the run's checkpoint planned, and those it committed."""
+    names = lambda part: {int(f) for f in os.listdir(f"{run.checkpoint_path.removeprefix('file:')}/{part}") if f.isdigit()}
+    return names("offsets"), names("commits")
+
+
+def test_interrupted_run_resumes_and_counts_no_window_twice(utc, monkeypatch):
+    spark = utc
+    runs = []
+    run_stream = stream_logs.run_stream
+
+    def noted(*args, **kwargs):
+        runs.append(run_stream(*args, **kwargs))
+        if len(runs) == 1:
+            planned, committed = _commits(runs[0])
+            assert planned - committed == {max(planned)} and len(planned) == stream_logs.STOP_AFTER
+        return runs[-1]
+    monkeypatch.setattr(stream_logs, "run_stream", noted)
+    got = stream_logs.interrupted_text_windows(spark, SMALL_DIR).result.collect()
+    assert len({(r.window_start, r.window_end) for r in got}) == len(got)
+    assert {(r.window_start, r.window_end): r.datanode_count for r in got} == _batch_windows(spark)
+    assert [r.finished for r in runs] == [False, True]
+    # The batch that was cut off is planned again under its number.
+    assert min(int(p["batchId"]) for p in runs[1].progress) == stream_logs.STOP_AFTER - 1
+
+
+def test_trigger_run_ends_when_its_input_is_used_up(utc):
+    spark = utc
+    run = stream_logs.triggered_info_block_counts(spark, SMALL_DIR, trigger="200 milliseconds")
+    assert run.finished and sum(p["numInputRows"] for p in run.progress) == 1000
+    lines = fixtures.log_lines(spark, SMALL_DIR)
+    assert {r.hostname: r["count"] for r in run.result.collect()} == {
+        r.hostname: r["count"] for r in logs.info_block_counts(lines).collect()}
+
+
+def test_trigger_run_that_times_out_raises(utc):
+    from kestrel.streaming.runner import run_stream
+    spark = utc
+    query = logs.info_block_counts(stream_logs.line_stream(spark, _write_replay(spark, [0, 1, 2, 3]), 1))
+    with pytest.raises(TimeoutError):
+        run_stream(spark, query, "complete", processing_time="1 hour", timeout_s=3, until_idle=True)
+
+
+def test_state_on_disk_gives_the_same_windows(utc):
+    """The text replay on RocksDB state with changelog checkpoints, against the
+    event replay on memory state; the session's setting is put back."""
+    spark = utc
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    disk = stream_logs.replay_text_windows(spark, SMALL_DIR)
+    memory = stream_logs.replay_datanode_windows(spark, SMALL_DIR)
+    read = lambda run: {(r.window_start, r.window_end): r.datanode_count for r in run.result.collect()}
+    assert read(disk) == read(memory) != {}
+    assert spark.conf.get(key) == before
+    state = {f.rsplit(".", 1)[-1] for _, _, files in os.walk(f"{disk.checkpoint_path.removeprefix('file:')}/state") for f in files}
+    assert "changelog" in state or "zip" in state
+
+
+def test_dropped_windows_are_counted_over_all_batches(utc):
+    """The listener keeps what the handle's own list has forgotten."""
+    spark = utc
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        run = stream_logs.stream_datanode_windows(spark, _write_replay(spark, [3, 2, 1, 0]), "update", max_files_per_trigger=1)
+    finally:
+        spark.conf.unset(key)
+    assert len(run.progress) <= 2 and len(run.dropped) >= 4
+    assert sum(n > 0 for n in run.dropped.values()) >= 2
+    whole, got = _batch_windows(spark), run.result.count()
+    assert run.rows_dropped_by_watermark() >= len(whole) - got > 0
+    rows = stream_logs.replay_dropped(spark, SMALL_DIR).orderBy("arrival").collect()
+    assert [r.arrival for r in rows] == [0, 1, 2, 3, 4] and rows[0].watermark is None
+    assert [r.dropped > 0 for r in rows] == [False] * 4 + [True]
+
+
+def test_compaction_rewrites_a_row_once_a_tier(spark, monkeypatch):
+    """64 batches of ten new keys and one old one in tiers of four."""
+    from kestrel.streaming import runner
+    monkeypatch.setattr(runner, "COMPACT_EVERY", 4)
+    sink = tempfile.mkdtemp(prefix="kestrel-tiers-")
+    folders = lambda: {float(d.split("=")[1]) for d in os.listdir(sink) if d.startswith(runner.BATCH_COL)}
+    rewritten = []
+    for n in range(64):
+        spark.createDataFrame([(f"{n}-{k}", n) for k in range(10)] + [("hot", n)], "k string, n int").coalesce(1).write.parquet(
+            f"{sink}/{runner.BATCH_COL}={n}")
+        before = folders()
+        runner._bound_sink(spark, sink, "update", ["k"], n)
+        made = folders() - before
+        rewritten.append(sum(spark.read.parquet(f"{sink}/{runner.BATCH_COL}={label:.3f}").count() for label in made))
+        assert len(folders()) <= 3 * 4
+    # 16 foldings of 41 rows, 4 of 161 (in one go with the first tier), one of 641.
+    assert sum(rewritten) <= 12 * 41 + 3 * 161 + 641 and sorted(rewritten)[-2] == 161
+    got = {r.k: r.n for r in runner.final_answer(runner._read_sink(spark, sink), "update", ["k"]).collect()}
+    assert got == {f"{n}-{k}": n for n in range(64) for k in range(10)} | {"hot": 63}
+
+
+def test_a_repeated_batch_keeps_what_was_folded_before(spark, monkeypatch):
+    """A crash between folding and the batch's commit loses nothing."""
+    from kestrel.streaming import runner
+    monkeypatch.setattr(runner, "COMPACT_EVERY", 2)
+    sink = tempfile.mkdtemp(prefix="kestrel-again-")
+    put = lambda n, rows: spark.createDataFrame(rows, "k string, n int").write.mode("overwrite").parquet(f"{sink}/{runner.BATCH_COL}={n}")
+    put(0, [("a", 0), ("b", 0)])
+    for _ in range(3):
+        put(1, [("b", 1)])
+        runner._bound_sink(spark, sink, "update", ["k"], 1)
+    got = runner.final_answer(runner._read_sink(spark, sink), "update", ["k"]).collect()
+    assert sorted(tuple(r) for r in got) == [("a", 0), ("b", 1)] and len(os.listdir(sink)) == 1
