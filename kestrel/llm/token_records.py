@@ -13,9 +13,9 @@ data holding its own checksum still verifies). A payload is a flag byte
 Beside every shard ``X`` stands ``X.idx``: the offset of each record and the
 file's end, as unsigned 64-bit integers, for reads in any order.
 
-Documents are range-partitioned and sorted by doc_id, so shard number order
+Documents are range-partitioned and sorted by doc_id (ties by a hash), so shard number order
 is ascending doc_id order; each task streams its partition into one shard and
-holds one batch of texts at a time. A shard's file name carries the task
+holds a few batches of texts at a time. A shard's file name carries the task
 attempt; the manifest table, committed by Spark, names the file of the attempt
 that won, so lost or repeated tasks leave at most unread files. Files go to
 the shared folder through pyarrow's file systems (local mounts, HDFS, object
@@ -24,10 +24,13 @@ stores).
 Defined results
     null or empty text    one record that holds the end id alone
     null doc_id           first, before all others
-    very long text        cut for the tokenizer at single spaces, where its
-                          pre-tokenizer always cuts; the ids are those of the
-                          whole text
-    ties, repeated rows   repeated doc_ids in order of their text
+    very long text        cut for the tokenizer at single separators, where
+                          its pre-tokenizer always cuts; the ids are those of
+                          the whole text
+    ties, repeated rows   repeated doc_ids in order of a hash of their text;
+                          they may lie in several shards
+    special token's string
+                          that token, as the library does by default
     empty table           no shard, empty result
     extra columns         ignored
 """
@@ -39,12 +42,12 @@ import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,11 +57,12 @@ from kestrel.session import materialize, scratch_path
 
 END_ID = 0
 MASK = 0xA282EAD8
-BATCH_CHARS = 1 << 19
+BATCH_BYTES = 1 << 21
 BATCH_PIECES = 4096
-CACHE_PIECES = 500_000
-# One space between characters that no tokenizer takes for white space.
-ODD = re.compile("[^\n !-~\u00c0-\u024f]")
+CACHE_PIECES = 1_000_000
+# Anything but single separators between characters that no tokenizer takes
+# for white space; and one space between such characters.
+ODD = "[^\n !-~\u00c0-\u024f]|[ \n][ \n]|\\A[ \n]|[ \n]\\z"
 CUT = re.compile("(?<=[!-~\u00c0-\u024f]) (?=[!-~\u00c0-\u024f])")
 MANIFEST = "shard int, path string, docs long, ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -122,66 +126,104 @@ def read_at(path: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]
     return out
 
 
-def _pieces(text: str) -> list[str]:
-    """The text cut at single spaces between visible characters."""
-    if ODD.search(text) or any(s in text for s in ("  ", " \n", "\n ")) or text[:1] == " " or text[-1:] == " ":
-        return CUT.split(text)
-    return text.split(" ")  # every space is such a one
+def _spliced(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` at ``starts``, one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class PieceEncoder:
     """Ids of whole texts, with repeated pieces encoded once.
 
-    A single space between two visible characters always starts a new
-    pre-token of a byte-level tokenizer, so a text is the pieces between such
-    spaces, each but the first with its space in front. Pieces are kept in
-    two generations of at most ``CACHE_PIECES`` (or one batch's) each: a full
-    one becomes the old one, from which pieces in use come back."""
+    A single space or line end between two visible characters always starts a
+    new pre-token of a byte-level tokenizer, so a text is the pieces before
+    such characters, each but the first with its separator in front. A batch of
+    texts is cut by Arrow and its distinct pieces are looked up; known pieces
+    have a number, under which their ids stand in one array. Beyond
+    ``CACHE_PIECES`` (or one batch's) the pieces are forgotten and learned anew.
+
+    The tokenizer is used as it is loaded, so a special token's string in a
+    text becomes that token. Cutting leaves this alone unless the token takes
+    in the white space around it; texts with such a string stay whole."""
 
     def __init__(self, tokenizer):
         self._encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-        vocabulary = tokenizer.get_vocab()
-        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self._spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # the byte level's space
-        self._known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
-        self._old: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
-
-    def _learn(self, pieces: set[str], space: str) -> dict[str, bytes]:
-        if len(self._known[space]) > CACHE_PIECES:
-            self._known[space], self._old[space] = {}, self._known[space]
-        known, old = self._known[space], self._old[space]
-        new = []
-        for p in pieces - known.keys():
-            if p in old:
-                known[p] = old[p]
-            else:
-                new.append(p)
-        if space:
-            # Without white space inside, a piece has one token that starts
-            # with a space, so many can be encoded as one text and told apart.
-            plain = [p for p in new if len(p.split()) == 1]
-            for at in range(0, len(plain), BATCH_PIECES):
-                part = plain[at:at + BATCH_PIECES]
-                found = self._encode([space + space.join(part)], add_special_tokens=False)[0].ids
-                ids = np.asarray(found, "<u4")
-                starts = np.flatnonzero(self._spaced[ids])
-                if len(starts) == len(part) and starts[0] == 0:
-                    data, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-                    known.update((p, data[a:b]) for p, a, b in zip(part, cuts, cuts[1:]))
-            new = [p for p in new if p not in known]
+        self._whole = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.lstrip or t.rstrip or t.single_word or " " in t.content]
+        self._forget()
+
+    def _forget(self) -> None:
+        # Number 0 is the end of a text.
+        self._numbers: dict[str, int] = {}
+        self._ids, self._used = np.full(1 << 16, END_ID, "<u4"), 1
+        self._starts, self._lengths = np.zeros(1 << 12, np.int64), np.ones(1 << 12, np.int64)
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of the pieces."""
+        new = [p for p in pieces if p not in self._numbers]
+        if new and self._numbers and len(self._numbers) + len(new) > CACHE_PIECES:
+            self._forget()
+            new = pieces
         for at in range(0, len(new), BATCH_PIECES):
             part = new[at:at + BATCH_PIECES]
-            for piece, found in zip(part, self._encode([space + p for p in part], add_special_tokens=False)):
-                known[piece] = array("I", found.ids).tobytes()
-        return known
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+            found = [e.ids for e in self._encode(part, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum()))
+            first, last = len(self._numbers) + 1, len(self._numbers) + 1 + len(part)
+            while self._used + len(flat) > len(self._ids):
+                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+            while last > len(self._starts):
+                self._starts, self._lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self._starts, self._lengths))
+            self._ids[self._used:self._used + len(flat)] = flat
+            self._lengths[first:last] = lengths
+            self._starts[first:last] = self._used + np.cumsum(lengths) - lengths
+            self._used += len(flat)
+            self._numbers.update(zip(part, range(first, last)))
+        return np.fromiter(map(self._numbers.__getitem__, pieces), np.int64, len(pieces))
+
+    def _cut(self, text: str) -> list[str]:
+        """The pieces of a text with separators of any kind."""
+        if any(s in text for s in self._whole):
+            return [text]
+        first, *rest = CUT.split(text)
+        return [first, *(" " + p for p in rest)]
+
+    def _plain(self, texts: pa.Array) -> np.ndarray:
+        """Texts whose spaces and line ends are all single and between visible characters."""
+        plain = ~pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        for special in self._whole:
+            plain &= ~pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        return plain
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and the end id."""
-        split = [_pieces(t) for t in texts]
-        first = self._learn({s[0] for s in split}, "")
-        later = self._learn(set().union(*(s[1:] for s in split)), " ")
-        end = np.asarray([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join((first[s[0]], *map(later.__getitem__, s[1:]), end)), "<u4") for s in split]
+        texts = texts.cast(pa.large_string())
+        plain = self._plain(texts)
+        out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
+        marked = texts.filter(pa.array(plain))
+        for separator in (" ", "\n"):  # plain texts hold no NUL
+            marked = pc.replace_substring(marked, separator, "\0" + separator)
+        split = pc.split_pattern(marked, "\0")
+        pieces = split.flatten().dictionary_encode()
+        odd = [self._cut(t) for t in texts.filter(pa.array(~plain)).to_pylist()]
+        todo = [
+            (np.flatnonzero(plain), lambda: self._learn(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()], np.diff(split.offsets.to_numpy())),
+            (np.flatnonzero(~plain), lambda: self._learn_all(odd), np.fromiter(map(len, odd), np.int64, len(odd)))]
+        for at, numbers, counts in todo:
+            if len(at):
+                # A zero, the end id's number, after every text's pieces.
+                numbers = np.insert(numbers(), np.cumsum(counts), 0)
+                lengths = self._lengths[numbers]
+                ids = _spliced(self._ids, self._starts[numbers], lengths)
+                ends = np.cumsum(lengths)[np.cumsum(counts + 1) - 1]
+                for k, part in zip(at.tolist(), np.split(ids, ends[:-1])):
+                    out[k] = part
+        return out
+
+    def _learn_all(self, cut: list[list[str]]) -> np.ndarray:
+        flat = list(chain.from_iterable(cut))
+        distinct = list(dict.fromkeys(flat))
+        place = dict(zip(distinct, self._learn(distinct).tolist()))
+        return np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
 
 
 # One encoder per tokenizer file: worker processes are reused, and so is what
@@ -193,24 +235,27 @@ def _encoder(tokenizer_path: str) -> PieceEncoder:
     if tokenizer_path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        _encoders[tokenizer_path] = PieceEncoder(tokenizer)
+        _encoders[tokenizer_path] = PieceEncoder(Tokenizer.from_file(tokenizer_path))
     return _encoders[tokenizer_path]
 
 
-def _batches_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    ids, texts, chars = [], [], 0
+def _batches_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]]:
+    """doc_ids and texts of about ``BATCH_BYTES``, nulls as empty texts."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[list, pa.Array]:
+        table = pa.Table.from_batches(held)
+        texts = pc.fill_null(table["text"].cast(pa.large_string()), "").combine_chunks()
+        return table["doc_id"].to_pylist(), texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-            ids.append(doc_id.as_py())
-            texts.append(text.as_py() or "")
-            chars += len(texts[-1])
-            if chars >= BATCH_CHARS:
-                yield ids, texts
-                ids, texts, chars = [], [], 0
-    if ids:
-        yield ids, texts
+        if len(batch):
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= BATCH_BYTES:
+            yield joined()
+            held = []
+    if held:
+        yield joined()
 
 
 def _write_shard(tokenizer_path: str, folder: str):
@@ -249,7 +294,9 @@ def write_records(docs: DataFrame, tokenizer_path: str | None = None, folder: st
     store, inner = _file_system(folder)
     store.create_dir(inner, recursive=True)
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+               .withColumn("tie", F.xxhash64("text"))
+               # The hash spreads documents of one doc_id, or of none.
+               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
     return materialize(ordered.mapInArrow(_write_shard(tokenizer_path or default_tokenizer(), folder), MANIFEST),
                        "token-manifest")
 

@@ -124,7 +124,8 @@ def test_lines_match_edit_distance(spark):
 def test_tokens_round_trip(spark, small):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(token_records.default_tokenizer())
-    tokenizer.encode_special_tokens = True
+    rows = [(-3, "first"), (-2, "end of text <|endoftext|> next<|endoftext|>"), (-1, "third")]
+    small = small.select("doc_id", "text").unionAll(spark.createDataFrame(rows, "doc_id long, text string"))
     start, want = 0, {}
     for doc_id, text in collected(small):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -140,6 +141,29 @@ def test_tokens_round_trip(spark, small):
         assert zlib.crc32(ids.tobytes()) == want[doc_id][2]
 
 
+def test_documents_without_an_id_spread_over_shards(spark):
+    """Null ids in bulk: every text is there, starts follow one another, and no
+    shard holds them all."""
+    rng = random.Random(8)
+    texts = [" ".join(data.words(rng, 1 + k % 40)) for k in range(4000)]
+    docs = spark.createDataFrame([(None if k % 10 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        manifest = token_records.write_records(docs)
+    finally:
+        spark.conf.unset(key)
+    shards = [r["docs"] for r in manifest.collect()]
+    assert len(shards) > 1 and max(shards) < 0.6 * len(texts)
+    got = sorted(token_records.read_records(spark, manifest).collect(), key=lambda r: r.start)
+    assert len(got) == len(texts) and [r.doc_id for r in got[:3600]] == [None] * 3600
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(token_records.default_tokenizer())
+    want = [zlib.crc32(np.asarray([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes()) for t in texts]
+    assert sorted(r.ids_crc32 for r in got) == sorted(want)
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     got = docs.select("doc_id", "lang").join(language_id.identify(docs), "doc_id").filter("held_out").collect()
