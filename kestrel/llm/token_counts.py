@@ -144,7 +144,7 @@ class PieceCounter:
     def count(self, texts: pa.Array) -> np.ndarray:
         split = pc.split_pattern(texts.cast(pa.large_string()), " ")
         pieces = split.flatten().dictionary_encode()
-        counts = self._counts(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
+        counts = self._counts(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy()]
         ends = np.concatenate([[0], np.cumsum(counts)])
         at = split.offsets.to_numpy() - split.offsets[0].as_py()
         return ends[at[1:]] - ends[at[:-1]]

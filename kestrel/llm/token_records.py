@@ -149,6 +149,9 @@ class PieceEncoder:
     def __init__(self, tokenizer):
         self._encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
         self._whole = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.lstrip or t.rstrip or t.single_word or " " in t.content]
+        vocabulary = tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # the byte level's space
         self._forget()
 
     def _forget(self) -> None:
@@ -163,11 +166,8 @@ class PieceEncoder:
         if new and self._numbers and len(self._numbers) + len(new) > CACHE_PIECES:
             self._forget()
             new = pieces
-        for at in range(0, len(new), BATCH_PIECES):
-            part = new[at:at + BATCH_PIECES]
-            found = [e.ids for e in self._encode(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum()))
+        for part in self._parts(new):
+            flat, lengths = self._encoded(part)
             first, last = len(self._numbers) + 1, len(self._numbers) + 1 + len(part)
             while self._used + len(flat) > len(self._ids):
                 self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
@@ -180,6 +180,27 @@ class PieceEncoder:
             self._numbers.update(zip(part, range(first, last)))
         return np.fromiter(map(self._numbers.__getitem__, pieces), np.int64, len(pieces))
 
+    @staticmethod
+    def _parts(new: list[str]) -> Iterator[list[str]]:
+        """Batches of pieces that are one space and a word, and of the others."""
+        words = [p for p in new if p[:1] == " " and len(p.split()) == 1]
+        others = [p for p in new if not (p[:1] == " " and len(p.split()) == 1)] if len(words) < len(new) else []
+        for kind in (words, others):
+            yield from (kind[at:at + BATCH_PIECES] for at in range(0, len(kind), BATCH_PIECES))
+
+    def _encoded(self, part: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces end to end, and how many each has."""
+        if part[0][:1] == " ":
+            # Each has one token that starts with a space, its first, so all
+            # can be encoded as one text and told apart.
+            flat = np.asarray(self._encode(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(self._spaced[flat])
+            if len(starts) == len(part) and starts[0] == 0:
+                return flat, np.diff(np.append(starts, len(flat)))
+        found = [e.ids for e in self._encode(part, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum())), lengths
+
     def _cut(self, text: str) -> list[str]:
         """The pieces of a text with separators of any kind."""
         if any(s in text for s in self._whole):
@@ -206,7 +227,7 @@ class PieceEncoder:
         pieces = split.flatten().dictionary_encode()
         odd = [self._cut(t) for t in texts.filter(pa.array(~plain)).to_pylist()]
         todo = [
-            (np.flatnonzero(plain), lambda: self._learn(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()], np.diff(split.offsets.to_numpy())),
+            (np.flatnonzero(plain), lambda: self._learn(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy()], np.diff(split.offsets.to_numpy())),
             (np.flatnonzero(~plain), lambda: self._learn_all(odd), np.fromiter(map(len, odd), np.int64, len(odd)))]
         for at, numbers, counts in todo:
             if len(at):
