@@ -15,12 +15,17 @@ Every byte covered by a ``WINDOW``-byte string that also starts anywhere else
     size. A task joins its buckets to blocks of under 1 MB of distinct
     strings, builds the block's suffix array by two-stage sorting, and marks
     the windows whose adjacent suffixes share ``WINDOW`` bytes.
-4.  Salted buckets hand on one representative per distinct window; these meet
-    again in buckets of ``FAN_IN`` salts, keyed by anchor and by the bytes
-    common to all windows at that distance from the anchor, until every bucket
-    has one salt. A window repeated inside a bucket is marked there already,
-    so representatives are all that later rounds need.
-5.  Marked spans are merged per text and cut.
+4.  Salted buckets hand on one representative per distinct window; a window
+    repeated inside a bucket is marked there already, so representatives are
+    all that is left to compare. They are keyed by their anchor, the 64
+    possible distances to it that they fall in, and the bytes that all windows
+    at such distances share. Keys met once are done (counted with map-side
+    combine, before any bytes move); keys of up to ``BUCKET_RUNS`` rows are
+    buckets again; rows of a hotter key are cut to 16, 4 and then single
+    distances, which lengthens the shared bytes, down to the window itself.
+    Equal keys are equal windows then and only counted. So no task ever holds
+    more than ``BUCKET_RUNS`` rows of a key, in how many texts a passage stands.
+5.  Marked spans are merged per text; built-in functions cut the texts.
 
 Tables between the steps are written to the shared folder. Matches never
 cross texts, and nothing is dropped: a hot anchor costs more buckets.
@@ -55,15 +60,15 @@ WINDOW = 400
 GRAM = 32
 PIECE = 1 << 20
 BUCKET_RUNS = 256
-FAN_IN = 64
 BLOCK_BYTES = 900_000
-SHIFT = 64  # distances from the anchor that share a later bucket
+SHIFTS = (64, 16, 4, 1)  # distances from the anchor that share a later key
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 20) - 1)
 
 RUN_ROWS = "doc_id long, tid binary, anchor long, p long, q long, at long"
 FOUND_ROWS = "kind string, tid binary, p long, q long, at long, anchor long, salt long, salts long, bytes binary"
-CUT_ROWS = "tid binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
+CUT_ROWS = "tid binary, n_removed long, n_spans long, last long, kept array<struct<at:long,n:long>>"
+KEY_ROWS = 512
 
 
 def text_id(text: Column) -> Column:
@@ -303,24 +308,50 @@ def _dealt(runs: DataFrame) -> DataFrame:
             .mapInArrow(_sort_buckets, FOUND_ROWS))
 
 
-def _next_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs cut by distance to the anchor, with the key of a later round: the
-    anchor and the bytes that all windows at such distances share."""
-    for batch in batches:
-        rows = []
-        for row in batch.to_pylist():
-            start = row["p"]
-            while start < row["q"]:
-                level = (row["at"] - start) // SHIFT
-                stop = min(row["q"], row["at"] - level * SHIFT + 1)
-                a, b = start - row["p"], stop - row["p"]
-                core = row["at"] - level * SHIFT - row["p"]
-                shared = row["bytes"][core:core + WINDOW - SHIFT + 1]
-                digest = hashlib.md5(b"%d,%d,%s" % (row["anchor"], level, shared)).digest()
-                rows.append(row | {"p": start, "q": stop, "bytes": row["bytes"][a:b + WINDOW - 1],
-                                   "anchor": int.from_bytes(digest[:8], "little", signed=True)})
-                start = stop
-        yield _found(rows)
+def _next_key(shift: int):
+    """Runs cut by distance to the anchor, with their key: the anchor and the
+    bytes that all windows at such distances share. Single windows travel as
+    their digest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), KEY_ROWS):
+                rows = []
+                for row in batch.slice(at, KEY_ROWS).to_pylist():
+                    start = row["p"]
+                    while start < row["q"]:
+                        level = (row["at"] - start) // shift
+                        stop = min(row["q"], row["at"] - level * shift + 1)
+                        a, b = start - row["p"], stop - row["p"]
+                        core = row["at"] - level * shift - row["p"]
+                        shared = row["bytes"][core:core + WINDOW - shift + 1]
+                        key = hashlib.md5(b"%d,%d,%s" % (row["anchor"], level, shared)).digest()
+                        rows.append(row | {"p": start, "q": stop, "bytes": key if shift == 1 else row["bytes"][a:b + WINDOW - 1],
+                                           "salt": int.from_bytes(key[:8], "little", signed=True), "salts": 1})
+                        start = stop
+                yield _found(rows)
+    return run
+
+
+def _hot_windows(hot: DataFrame) -> Iterator[DataFrame]:
+    """Marks among the representatives of the salted anchors (step 4)."""
+    key = ["anchor", "salt"]
+    for shift in SHIFTS:
+        keyed = materialize(hot.mapInArrow(_next_key(shift), FOUND_ROWS), "suffix-keyed")
+        if shift == 1:
+            equal = [*key, "bytes"]
+            often = keyed.groupBy(*equal).agg(F.count("*").alias("n")).filter("n > 1")
+            yield keyed.join(often, equal).select("tid", "p", (F.col("p") + WINDOW).alias("q"))
+            return
+        sizes = materialize(keyed.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"), "suffix-sizes")
+        yield _marks(materialize(_dealt(keyed.join(sizes.filter(F.col("n") <= BUCKET_RUNS), key).select(*keyed.columns)), "suffix-found"))
+        hotter = sizes.filter(F.col("n") > BUCKET_RUNS)
+        if hotter.isEmpty():
+            return
+        hot = keyed.join(hotter, key).select(*keyed.columns)
+
+
+def _marks(found: DataFrame) -> DataFrame:
+    return found.filter("kind = 'mark'").select("tid", "p", "q")
 
 
 def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,56 +393,67 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = materialize(held.select("tid", "text", "copies", "runs"), "suffix-texts")
     most = per_text.agg(F.max("most").alias("m")).first()["m"] or 1
     found = materialize(_dealt(held.select("tid", "text", "runs").mapInArrow(_emit_runs, FOUND_ROWS)), "suffix-found")
-    spans = found.filter("kind = 'mark'").select("tid", "p", "q")
-    while most > 1:
-        fewer = found.filter("kind = 'run'").withColumns({
-            "salt": F.floor(F.col("salt") / FAN_IN).cast("long"),
-            "salts": F.ceil(F.col("salts") / F.lit(float(FAN_IN))).cast("long")})
-        most = -(-most // FAN_IN)
-        found = materialize(_dealt(fewer.mapInArrow(_next_key, FOUND_ROWS)), "suffix-found")
-        spans = spans.unionAll(found.filter("kind = 'mark'").select("tid", "p", "q"))
+    spans = _marks(found)
+    if most > 1:
+        for more in _hot_windows(found.filter("kind = 'run'")):
+            spans = spans.unionAll(more)
     return held, spans
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text the stretches between the spans that are marked."""
     for batch in batches:
-        for tid, text, spans in zip(batch.column("tid"), batch.column("text"), batch.column("spans").to_pylist()):
-            data = text.as_buffer()
+        rows = []
+        for tid, spans in zip(batch.column("tid").to_pylist(), batch.column("spans").to_pylist()):
             kept, end, removed, n = [], 0, 0, 0
             for a, b in sorted((s["p"], s["q"]) for s in spans):
                 if a > end or not n:
-                    kept.append(data.slice(end, a - end).to_pybytes())
+                    kept.append((end, a))
                     n += 1
                 elif b <= end:
                     continue
                 removed += b - max(a, end)
                 end = b
-            kept.append(data.slice(end).to_pybytes())
-            rest = b"".join(kept)
-            yield pa.RecordBatch.from_pydict({
-                "tid": pa.array([tid.as_py()], pa.binary()), "n_removed": pa.array([removed], pa.int64()),
-                "n_spans": pa.array([n], pa.int64()), "kept_sha256": [hashlib.sha256(rest).hexdigest()],
-                "kept": pa.array([rest], pa.binary())})
+            # The last stretch runs to the text's end, wherever that is.
+            rows.append({"tid": tid, "n_removed": removed, "n_spans": n, "last": end,
+                         "kept": [{"at": a, "n": b - a} for a, b in kept if b > a]})
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+            ("tid", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("last", pa.int64()),
+            ("kept", pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())])))]))
 
 
-def cut_texts(docs: DataFrame) -> DataFrame:
-    """Per text that loses bytes: how many, in how many spans, and the rest."""
+def cuts(docs: DataFrame) -> DataFrame:
+    """Per text that loses bytes: tid, how many, in how many spans, the kept
+    stretches before the last span (at, n) and the last span's end."""
     held, spans = repeated_spans(docs)
     # Rows of a text that another text's copy removes whole need no spans.
     whole = held.filter("copies > 1").select(
         "tid", F.octet_length("text").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        F.sha2(F.lit(b""), 256).alias("kept_sha256"), F.lit(b"").alias("kept")).dropDuplicates(["tid"])
-    lists = spans.groupBy("tid").agg(F.collect_list(F.struct("p", "q")).alias("spans"))
-    part = held.filter("copies = 1").join(lists, "tid").select("tid", "text", "spans").mapInArrow(_cut, CUT_ROWS)
-    return whole.unionAll(part)
+        F.octet_length("text").cast("long").alias("last"), F.array().cast("array<struct<at:long,n:long>>").alias("kept")).dropDuplicates(["tid"])
+    lists = (spans.groupBy("tid").agg(F.collect_list(F.struct("p", "q")).alias("spans"))
+             .join(held.filter("copies = 1").select("tid"), "tid", "left_semi"))
+    return whole.unionAll(lists.mapInArrow(_merged, CUT_ROWS))
 
 
-def substring_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the hash of what is left."""
+def cut_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) as doc_id, n_bytes, n_removed, n_spans and
+    kept, the remaining bytes."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select(F.col("doc_id").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
-                       F.sha2(text, 256).alias("sha"), text_id(F.col("text")).alias("tid"))
-    cut = materialize(cut_texts(docs).drop("kept"), "suffix-cut")
+    rows = docs.select(F.col("doc_id").alias("doc_id"), text.alias("bytes"), text_id(F.col("text")).alias("tid"))
+    # Spans are a few numbers a text; Spark broadcasts them where they fit.
+    cut = materialize(cuts(docs), "suffix-cut")
+    stretch = lambda s: F.substring(F.col("bytes"), (s["at"] + 1).cast("int"), s["n"].cast("int"))
+    rest = F.substring(F.col("bytes"), (F.col("last") + 1).cast("int"), F.octet_length("bytes"))
+    kept = F.aggregate("kept", F.lit(b""), lambda before, s: F.concat(before, stretch(s)))
+    zero = F.lit(0).cast("long")
     return rows.join(cut, "tid", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+        "doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"), F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"), F.when(F.col("last").isNull(), F.col("bytes")).otherwise(F.concat(kept, rest)).alias("kept"))
+
+
+def substring_report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, the hash of what is left and
+    kept_text: what is left as text (a character cut in two is U+FFFD)."""
+    return cut_documents(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))

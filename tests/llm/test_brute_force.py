@@ -95,13 +95,40 @@ def test_crowded_bucket_is_dealt(spark, monkeypatch, shape):
 def test_substrings_match_all_windows(spark, small, monkeypatch):
     rows = collected(small)
     want = dict(zip((i for i, _ in rows), reference.removed_substrings([t for _, t in rows], 400)))
-    for bucket, fan_in in ((256, 64), (2, 2)):  # the second: many salts, several rounds
+    for bucket in (256, 4, 1):
         monkeypatch.setattr(substring_dedup, "BUCKET_RUNS", bucket)
-        monkeypatch.setattr(substring_dedup, "FAN_IN", fan_in)
-        got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.substring_report(small).collect()}
-        assert got == want
-    assert any(w[1] for w in want.values())
-
+        got = {r.doc_id: r for r in substring_dedup.substring_report(small).collect()}
+        assert {i: tuple(r)[1:5] for i, r in got.items()} == want
+        for i, text in rows:
+            assert (got[i].kept_text == (text or "")) == (got[i].n_removed == 0)
+            if "\ufffd" not in got[i].kept_text:
+                assert len(got[i].kept_text.encode()) == got[i].n_bytes - got[i].n_removed
+    assert sum(n > 0 for _, n, _, _ in want.values()) > 10
+
+
+def passages(n, words=120):
+    """One passage in ``n`` texts that share nothing else."""
+    rng = random.Random(12)
+    shared = " ".join(data.words(rng, words))
+    return [" ".join(data.words(rng, 90)) + f" {k} " + shared + f" {k} " + " ".join(data.words(rng, 90)) for k in range(n)]
+
+
+def test_a_passage_of_many_texts_fills_no_bucket(spark, monkeypatch):
+    """Buckets stay bounded as the passage spreads, and nothing is lost."""
+    for n in (1000, 2000):
+        largest = []
+        dealt = substring_dedup._dealt
+
+        def counted(runs):
+            largest.append(runs.groupBy("anchor", "salt").count().agg(F.max("count")).first()[0] or 0)
+            return dealt(runs)
+        monkeypatch.setattr(substring_dedup, "_dealt", counted)
+        texts = passages(n)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: tuple(r)[1:5] for r in substring_dedup.substring_report(docs).collect()}
+        monkeypatch.setattr(substring_dedup, "_dealt", dealt)
+        assert len(largest) >= 3 and max(largest) <= 2 * substring_dedup.BUCKET_RUNS
+        assert got == dict(enumerate(reference.removed_substrings(texts, 400)))
 
 def test_lines_match_edit_distance(spark):
     rng = random.Random(8)

@@ -83,7 +83,7 @@ def test_near_duplicates_and_substrings_of_the_rows(spark, results):
     texts = [r[1] for r in data.rows()]
     want = reference.near_components(texts, near_dedup.SHINGLE_WORDS)
     assert {i: r.component_id for i, r in results["op3"].items()} == dict(enumerate(want))
-    assert {i: tuple(r)[1:] for i, r in results["op4"].items()} == dict(enumerate(reference.removed_substrings(texts, 400)))
+    assert {i: tuple(r)[1:5] for i, r in results["op4"].items()} == dict(enumerate(reference.removed_substrings(texts, 400)))
 
 
 def test_repeated_rows_of_near_duplicates(spark):
@@ -110,9 +110,6 @@ def test_texts_of_a_shared_doc_id_are_fetched_once(spark, monkeypatch):
         return out
     materialize = near_dedup.materialize
     monkeypatch.setattr(near_dedup, "materialize", counted)
-    if hasattr(near_dedup, "_with_signature"):
-        monkeypatch.setattr(near_dedup, "_with_signature", lambda size: lambda batches: (
-            b.select(["sig", "text"]) for b in batches))
     got = near_dedup.near_duplicates(data.documents(spark, rows + rows[:8]), size=4).collect()
     assert min(fetched.values()) == len(texts)
     assert sorted((r.component_id is None, r.component_id or 0) for r in got) == [(False, 7)] * 64 + [(True, 0)] * 64
