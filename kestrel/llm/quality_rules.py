@@ -6,6 +6,9 @@ user function, no state outside the row, so skewed sources and copies cost
 nothing extra and a lost task is simply run again.
 
 Defined results
+    null language         judged by every rule
+    language without a stop-word list
+                          not judged by the stop-word rule
     null or empty text    no words, every count 0, fails the length rule
     very long text        one row; windows are compared through a sorted array
                           of their 64-bit hashes, n log n in the row's words
@@ -37,21 +40,31 @@ STOP_WORDS = (
     "pas", "avec",
     "el", "y", "los", "las", "se", "del", "por", "con", "para", "una", "no", "su", "al", "es", "lo",
 )
+# The languages that the list covers.
+STOP_WORD_LANGS = ("en", "de", "fr", "es")
+
+
+def written_forms(stop_words: Sequence[str]) -> list[str]:
+    """Lower-case, capitalised and in capitals."""
+    return sorted({f for w in stop_words for f in (w, w[:1].upper() + w[1:], w.upper())})
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Keep a document while ``low <= metric <= high`` (None: no bound)."""
+    """Keep a document while ``low <= metric <= high`` (None: no bound). With
+    ``langs`` only documents of these languages, and those that state none, are
+    judged; others pass."""
     metric: str
     low: float | None = None
     high: float | None = None
+    langs: tuple[str, ...] | None = None
 
 
 RULES: tuple[Rule, ...] = (
     Rule("n_words", low=50),
     Rule("mean_word_chars", low=2.0, high=15.0),
     Rule("symbol_ratio", high=0.1),
-    Rule("stop_word_ratio", low=0.02),
+    Rule("stop_word_ratio", low=0.02, langs=STOP_WORD_LANGS),
     Rule("dup_line_ratio", high=0.6),
     Rule("repeat_word_ratio", high=0.5),
 )
@@ -79,7 +92,7 @@ def _repeat_words(windows: Column) -> Column:
 
 def with_metrics(df: DataFrame, text_col: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """Add a struct column ``_quality`` with every metric of the text."""
-    listed = sorted({*stop_words, *(w[:1].upper() + w[1:] for w in stop_words)})
+    listed = written_forms(stop_words)
     text = text_or_empty(F.col(text_col))
     removed = lambda chars: F.length(F.translate(text, chars, ""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(WHITE_SPACE)) != "")
@@ -110,21 +123,23 @@ def with_metrics(df: DataFrame, text_col: str = "text", stop_words: Sequence[str
     )).drop("_counts")
 
 
-def passes(rules: Sequence[Rule], of: str = "_quality") -> Column:
-    """The rule table as one boolean expression."""
+def passes(rules: Sequence[Rule], lang: Column | None = None, of: str = "_quality") -> Column:
+    """The rule table as one boolean expression; ``lang`` is the document's."""
     tests = [F.lit(True)]
     for rule in rules:
         metric = F.col(f"{of}.{rule.metric}")
-        if rule.low is not None:
-            tests.append(metric >= rule.low)
-        if rule.high is not None:
-            tests.append(metric <= rule.high)
+        bounds = [metric >= rule.low] if rule.low is not None else []
+        bounds += [metric <= rule.high] if rule.high is not None else []
+        if rule.langs is not None and lang is not None:
+            other = F.coalesce(~lang.isin(*rule.langs), F.lit(False))
+            bounds = [other | b for b in bounds]
+        tests += bounds
     return reduce(lambda a, b: a & b, tests)
 
 
-def first_failed(rules: Sequence[Rule], of: str = "_quality") -> Column:
+def first_failed(rules: Sequence[Rule], lang: Column | None = None) -> Column:
     """Name of the first rule of the table that rejects the document."""
-    return F.coalesce(*[F.when(~passes([rule], of), F.lit(rule.metric)) for rule in rules])
+    return F.coalesce(*[F.when(~passes([rule], lang), F.lit(rule.metric)) for rule in rules])
 
 
 def base_failed(of: str = "_quality") -> Column:
@@ -135,14 +150,14 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per document: the counts, the ratios, the verdict and the rule
     that rejected it."""
     q = lambda name: F.col(f"_quality.{name}").alias(name)
-    return with_metrics(docs.select("doc_id", "text")).select(
+    return with_metrics(docs.select("doc_id", "text", "lang")).select(
         "doc_id", q("n_words"), q("word_chars"), q("n_symbols"), q("n_dup_lines"), q("n_repeat_words"),
-        base_failed().alias("base_failed"), (~base_failed() & passes(rules)).alias("kept"),
+        base_failed().alias("base_failed"), (~base_failed() & passes(rules, F.col("lang"))).alias("kept"),
         F.round("_quality.mean_word_chars", 6).alias("mean_word_chars"),
         F.round("_quality.symbol_ratio", 6).alias("symbol_ratio"),
         F.round("_quality.stop_word_ratio", 6).alias("stop_word_ratio"),
         F.round("_quality.dup_line_ratio", 6).alias("dup_line_ratio"),
-        first_failed(rules).alias("failed_rule"))
+        first_failed(rules, F.col("lang")).alias("failed_rule"))
 
 
 def filter_documents(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -151,32 +166,37 @@ def filter_documents(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFram
     The verdict stands in a generator instead of a filter: Catalyst would push
     a filter below the metrics and compute each of them once per use."""
     inner = docs.toDF(*[f"in_{i}" for i in range(len(docs.columns))])
-    text = next(f"in_{i}" for i, c in enumerate(docs.columns) if c.lower() == "text")
+    text, lang = (next(f"in_{i}" for i, c in enumerate(docs.columns) if c.lower() == name) for name in ("text", "lang"))
     row = F.array(F.struct(*[F.col(f"in_{i}") for i in range(len(docs.columns))]))
-    verdict = ~base_failed() & passes(rules)
+    verdict = ~base_failed() & passes(rules, F.col(lang))
     kept = with_metrics(inner, text).select(F.explode(F.when(verdict, row)).alias("row"))
     return kept.select(*[F.col("row").getField(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def oracle_sql(rules: Sequence[Rule] = RULES, stop_words: Sequence[str] = STOP_WORDS) -> str:
-    listed = ", ".join(f"'{w}'" for w in sorted({*stop_words, *(w[:1].upper() + w[1:] for w in stop_words)}))
-    tests = [f"{r.metric} {op} {bound}" for r in rules
-             for op, bound in ((">=", r.low), ("<=", r.high)) if bound is not None]
-    failed = "\n".join(
-        "WHEN NOT (" + " AND ".join(f"{r.metric} {op} {b}" for op, b in ((">=", r.low), ("<=", r.high))
-                                    if b is not None) + f") THEN '{r.metric}'" for r in rules)
+    listed = ", ".join(f"'{w}'" for w in written_forms(stop_words))
+
+    def bounds(rule: Rule) -> list[str]:
+        tests = [f"{rule.metric} {op} {bound}" for op, bound in ((">=", rule.low), ("<=", rule.high)) if bound is not None]
+        if rule.langs is None:
+            return tests
+        other = "coalesce(lang NOT IN (" + ", ".join(f"'{x}'" for x in rule.langs) + "), false)"
+        return [f"({other} OR {test})" for test in tests]
+
+    tests = [test for rule in rules for test in bounds(rule)]
+    failed = "\n".join(f"WHEN NOT ({' AND '.join(bounds(rule))}) THEN '{rule.metric}'" for rule in rules)
     return f"""
 WITH base AS (
-  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
 tok AS (
-  SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+  SELECT rid, doc_id, lang, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM base),
 pos AS (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM tok WHERE len(w) >= 3),
 win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS c FROM pos),
 cov AS (SELECT rid, count(DISTINCT i + d) AS n_repeat_words
         FROM win, (SELECT unnest([0, 1, 2]) AS d) WHERE c > 1 GROUP BY rid),
 counts AS (
-  SELECT tok.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+  SELECT tok.doc_id, tok.lang, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
          (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
          len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          len(list_filter(w, lambda x: x IN ({listed})))::BIGINT AS n_stop_words,

@@ -129,6 +129,19 @@ def test_mix_targets_and_caps(spark):
     assert {r.doc_id: r.taken for r in got} == {r.doc_id: r.taken for r in mixing.mix_report(data.documents(spark, rows[::-1])).collect()}
 
 
+def test_clean_prose_in_capitals_or_another_language_is_kept(spark):
+    rng = random.Random(3)
+    prose = data.prose(rng, 200)
+    foreign = " ".join("x" + w for w in data.words(rng, 200))
+    rows = [(1, prose, "en", "s", 0), (2, prose.upper(), "en", "s", 0), (3, foreign, "it", "s", 0), (4, foreign, "en", "s", 0), (5, foreign, None, "s", 0),
+            (6, "# " * 200 + foreign, "it", "s", 0)]
+    docs = data.documents(spark, rows)
+    got = {r.doc_id: (r.kept, r.failed_rule) for r in quality_rules.quality_report(docs).collect()}
+    assert got == {1: (True, None), 2: (True, None), 3: (True, None), 4: (False, "stop_word_ratio"), 5: (False, "stop_word_ratio"),
+                   6: (False, "mean_word_chars" if got[6][1] == "mean_word_chars" else "symbol_ratio")}
+    assert sorted(r.doc_id for r in quality_rules.filter_documents(docs).collect()) == [1, 2, 3]
+
+
 def test_licenses_of_the_rows(results):
     row = next(r for i, r in results["op8"].items() if data.rows()[i][1] and "CC BY-NC" in data.rows()[i][1])
     assert (row.base_labels, row.labels, row.n_base, row.first_word, row.last_word, row.score) == (
