@@ -31,7 +31,8 @@ hash, the number of leading zeros and ``MANTISSA`` bits after them.
     once each. Then the components are final: every candidate pair was tested,
     cannot reach the threshold, or is inside a component.
     With 32 bands of 4 registers two documents at similarity 0.8 share no
-    band once in 20 million.
+    band once in 20 million. Lower thresholds take narrower bands, so that a
+    link is missed less than once in a million at any of them.
 
 Defined results
     null text, no words   empty set, n_shingles 0, linked with nothing
@@ -67,7 +68,7 @@ REGISTER_BITS = 7
 REGISTERS = 1 << REGISTER_BITS
 MANTISSA = 10
 BAND = 4
-BANDS = REGISTERS // BAND
+MISSED = 1e-6
 CHUNK = 1024
 DEVIATIONS = 5.0
 SKETCH_ROWS = "doc_id long, tid binary, n long, sig binary, registers binary"
@@ -115,14 +116,23 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(_sketch(size), SKETCH_ROWS)
 
 
-def band_keys(registers: Column) -> Column:
+def band_width(percent: int) -> int:
+    """Registers a band: the widest, up to ``BAND``, at which two sets at the
+    threshold share no band less than ``MISSED`` of the time."""
+    band = BAND
+    while band > 1 and (1 - (percent / 100) ** band) ** (REGISTERS // band) >= MISSED:
+        band //= 2
+    return band
+
+
+def band_keys(registers: Column, band: int = BAND) -> Column:
     """(band, hash) of each band that has a register in use."""
-    width = 2 * BAND
+    width = 2 * band
     empty = F.lit(b"\0" * width)
     def key(b: int) -> Column:
         part = F.substring(registers, b * width + 1, width)
         return F.when(part != empty, F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), part).alias("bucket")))
-    return F.array_compact(F.array(*[key(b) for b in range(BANDS)]))
+    return F.array_compact(F.array(*[key(b) for b in range(REGISTERS // band)]))
 
 
 # --- estimates --------------------------------------------------------------------
@@ -138,19 +148,19 @@ def chance_equal(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return total
 
 
-def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int = MIN_PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Collision-corrected Jaccard estimate of register rows and its deviation
     at the threshold."""
     used = ((x > 0) | (y > 0)).sum(axis=-1)
     equal = ((x == y) & (x > 0)).sum(axis=-1)
     by_chance = chance_equal(n.astype(float), m.astype(float)) * REGISTERS
-    share = MIN_PERCENT / 100
+    share = percent / 100
     return (np.maximum(equal - by_chance, 0) / np.maximum(used, 1),
             np.sqrt(share * (1 - share) / np.maximum(used, 1)))
 
 
 def _likely(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    value, deviation = estimate(x, y, n, m)
+    value, deviation = estimate(x, y, n, m, percent)
     # The minimum on tiny sketches: two registers can be all that is left.
     return (value >= percent / 100 - DEVIATIONS * deviation) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
 
@@ -237,7 +247,8 @@ def _chunk_pairs(percent: int):
         bits, beyond = _bit_rows(table)
         sig, component = table["sig"].to_pylist(), np.asarray(table["component"].to_pylist(), object)
         band = table["band"][0].as_py()
-        before = slice(0, band * BAND)
+        width = band_width(percent)
+        before = slice(0, band * width)
         for k in np.flatnonzero(other):
             # What two sets have in common lies in both parts of the centre or
             # outside it in both.
@@ -245,8 +256,8 @@ def _chunk_pairs(percent: int):
             most = np.minimum(most, np.minimum(n[mine], n[k]))
             at = mine[((100 + percent) * most >= percent * (n[mine] + n[k])) & (component[mine] != component[k])]
             x = registers[at]
-            earlier = (x[:, before] == registers[k, before]).reshape(len(at), band, BAND).all(axis=2)
-            used = (registers[k, before].reshape(band, BAND) > 0).any(axis=1)
+            earlier = (x[:, before] == registers[k, before]).reshape(len(at), band, width).all(axis=2)
+            used = (registers[k, before].reshape(band, width) > 0).any(axis=1)
             likely = _likely(x, registers[k][None, :], n[at], np.full(len(at), n[k]), percent)
             for j in at[~(earlier & used).any(axis=1) & likely]:
                 out["a"].append(max(sig[j], sig[k]))
@@ -269,8 +280,8 @@ def _may_differ(n: Column, used: Column, percent: int) -> Column:
     """How many of its registers a set can have that a candidate has not: one
     for each shingle that only one of both has, and no more than the estimate
     lets pass."""
-    share = MIN_PERCENT / 100
-    equal = F.ceil(used * (percent / 100) - F.sqrt(used * (share * (1 - share))) * DEVIATIONS - 1e-6)
+    share = percent / 100
+    equal = F.ceil(used * share - F.sqrt(used * (share * (1 - share))) * DEVIATIONS - 1e-6)
     return F.least(F.floor(n * (100 - percent) / percent + 1e-9), used - F.greatest(equal, F.lit(0))).cast("int")
 
 
@@ -411,7 +422,7 @@ def _decide(docs: DataFrame, size: int, percent: int) -> DataFrame:
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tid")).alias("first"), F.min("n").alias("n"),
              F.min("registers").alias("registers"))
         .select("sig", "first.doc_id", "first.tid", "n", "registers"), "near-classes")
-    buckets = classes.select("sig", F.explode(band_keys(F.col("registers"))).alias("b")).select("sig", "b.*")
+    buckets = classes.select("sig", F.explode(band_keys(F.col("registers"), band_width(percent))).alias("b")).select("sig", "b.*")
     met = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
                       .withColumnRenamed("bucket", "k"), "near-buckets")
     rows = materialize(buckets.join(met, F.col("bucket") == F.col("k")).select("bucket", "band", "sig", "size"), "near-rows")

@@ -52,6 +52,28 @@ def test_near_family_around_the_threshold(spark):
     assert got == dict(enumerate(want))
 
 
+@pytest.mark.parametrize("percent", [50, 95])
+def test_near_duplicates_at_other_thresholds(spark, monkeypatch, percent):
+    """Families on both sides of the threshold, in whole buckets and in dealt
+    ones."""
+    rng = random.Random(percent)
+    texts = []
+    for _ in range(4):
+        base = data.words(rng, 150)
+        for _ in range(30):
+            own = list(base)
+            for k in rng.sample(range(150), rng.randint(0, 3) if percent == 95 else rng.randint(5, 18)):
+                own[k] = "".join(rng.choices("qwxyz", k=6))
+            texts.append(" ".join(own))
+    want = reference.near_components(texts, 4, percent)
+    assert 10 < len(set(want)) < 110
+    docs = data.documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    for chunk in (1024, 8):
+        monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, size=4, percent=percent).collect()}
+        assert got == dict(enumerate(want))
+
+
 @pytest.mark.parametrize("shape", ["one shared shingle", "family around the threshold"])
 def test_crowded_bucket_is_dealt(spark, monkeypatch, shape):
     """Many classes outside the centre's component in one bucket: no group
