@@ -1,8 +1,10 @@
 """Line deduplication by deletion neighbourhoods (operator 6).
 
-A line (trimmed, at least ``MIN_CHARS`` characters) is dropped when the corpus
-holds an equal line, or one within edit distance 1, at an earlier place; places
-are ordered by doc_id and line number. Shorter lines always stay.
+A trimmed line is dropped when the corpus holds an equal line at an earlier
+place (lines of ``equal_chars`` characters or more), or one within edit
+distance 1 (both lines of ``min_chars`` or more: one edit in a shorter line is
+often another line); places are ordered by doc_id and line number. Lines below
+both floors always stay.
 
 1.  Equal lines are grouped by a 128-bit hash with their first place and count
     (map-side combined; text is not shuffled).
@@ -32,6 +34,8 @@ Defined results
                           repeated rows
     null doc_id           before all others
     empty table           empty result
+    equal_chars 0         blank lines count as equal lines too
+    equal_chars above min_chars   ``ValueError``
     extra columns         kept by ``drop_lines``
     a document that loses all lines stays, with an empty text
 """
@@ -44,18 +48,20 @@ from pyspark.sql import functions as F
 from kestrel.llm.textcols import WHITE_SPACE
 from kestrel.session import materialize
 
+EQUAL_CHARS = 10
 MIN_CHARS = 20
 SEGMENT = 64
 MAX_DISTANCE = 1
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, the text's hash, line number, line and its 128-bit hash."""
+def _lines(docs: DataFrame, floor: int) -> DataFrame:
+    """doc_id, the text's hash, line number, line and its 128-bit hash, for
+    lines of at least ``floor`` characters."""
     exploded = docs.select(
         F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.split(F.col("text"), "\n")).alias("no", "raw"))
     lined = exploded.select("doc_id", "text_hash", "no", F.btrim("raw", F.lit(WHITE_SPACE)).alias("line"))
-    return lined.filter(F.length("line") >= MIN_CHARS).select(
+    return lined.filter(F.length("line") >= floor).select(
         "doc_id", "text_hash", "no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.col("line")).alias("h2"))
 
 
@@ -155,15 +161,18 @@ def _near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     return materialize(verified.select(F.col("h1").alias("n1"), F.col("h2").alias("n2")).distinct(), "line-near")
 
 
-def dropped_lines(docs: DataFrame) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """Per document (doc_id and text hash) the numbers of its dropped lines,
     and how many of them have no equal earlier line."""
-    lines = _lines(docs)
-    keyed = lines.select("h1", "h2", "doc_id", "no", *[k.alias(f"k{i}") for i, k in enumerate(_half_keys(F.col("line")))])
+    if equal_chars > min_chars:
+        raise ValueError(f"equal lines are matched from {equal_chars} characters on, near ones already from {min_chars}")
+    lines = _lines(docs, equal_chars)
+    long = F.length("line") >= min_chars
+    keyed = lines.select("h1", "h2", "doc_id", "no", *[F.when(long, k).alias(f"k{i}") for i, k in enumerate(_half_keys(F.col("line")))])
     distinct = materialize(
         keyed.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n"),
                                       *[F.min(f"k{i}").alias(f"k{i}") for i in range(4)]), "line-distinct")
-    near = _near_lines(lines, distinct)
+    near = _near_lines(lines.filter(long), distinct.filter("k0 is not null"))
     affected = (distinct.select("h1", "h2", "first", "n")
                 .join(near, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left")
                 .filter("n > 1 or n1 is not null")
@@ -181,10 +190,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
                                    F.size("near_nos").alias("n_near")), "line-gone")
 
 
-def _marked(docs: DataFrame) -> DataFrame:
+def _marked(docs: DataFrame, min_chars: int, equal_chars: int) -> DataFrame:
     """The documents as (row, text) with their dropped line numbers."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    gone = dropped_lines(docs)
+    gone = dropped_lines(docs, min_chars, equal_chars)
     keyed = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), row.alias("row"), F.xxhash64("text").alias("text_hash"))
     return keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
 
@@ -196,11 +205,11 @@ def _kept_text() -> tuple[Column, Column]:
     return lines, F.when(F.col("nos").isNull(), F.col("text")).otherwise(joined)
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """Per document: lines, dropped lines, those dropped as near only, and the
     length and hash of the text that is left."""
     lines, kept = _kept_text()
-    marked = _marked(docs.select("doc_id", "text")).withColumn("_lines", lines).withColumn("_kept", kept)
+    marked = _marked(docs.select("doc_id", "text"), min_chars, equal_chars).withColumn("_lines", lines).withColumn("_kept", kept)
     return marked.select(
         "doc_id", F.greatest(F.coalesce(F.size("_lines"), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("nos"), F.lit(0)).cast("long").alias("n_dropped"),
@@ -208,10 +217,10 @@ def line_report(docs: DataFrame) -> DataFrame:
         F.length("_kept").cast("long").alias("kept_chars"), F.sha2(F.col("_kept"), 256).alias("kept_sha256"))
 
 
-def drop_lines(docs: DataFrame) -> DataFrame:
+def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """The documents without their dropped lines; n_chars follows the text."""
     lines, kept = _kept_text()
-    marked = _marked(docs).withColumn("_lines", lines).withColumn("_kept", kept)
+    marked = _marked(docs, min_chars, equal_chars).withColumn("_lines", lines).withColumn("_kept", kept)
 
     def column(c: str) -> Column:
         old = F.col("row").getField(c)
@@ -229,13 +238,14 @@ def oracle_sql() -> str:
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 raw AS (SELECT rid, doc_id, unnest(range(0, len(ls))) AS no, unnest(ls) AS raw FROM docs WHERE text IS NOT NULL),
-lines AS (SELECT rid, doc_id, no, trim(raw, {blank}) AS line FROM raw WHERE length(trim(raw, {blank})) >= {MIN_CHARS}),
+lines AS (SELECT rid, doc_id, no, trim(raw, {blank}) AS line FROM raw WHERE length(trim(raw, {blank})) >= {EQUAL_CHARS}),
 firsts AS (SELECT line, length(line) AS n, min((doc_id, no)) AS first FROM lines GROUP BY line),
+long AS (SELECT line, n FROM firsts WHERE n >= {MIN_CHARS}),
 halves AS (
-  SELECT a.line AS x, b.line AS y FROM firsts a JOIN firsts b ON a.n = b.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2) AND a.line <> b.line
-  UNION SELECT a.line, b.line FROM firsts a JOIN firsts b ON a.n = b.n AND right(a.line, a.n // 2) = right(b.line, a.n // 2) AND a.line <> b.line
-  UNION SELECT a.line, b.line FROM firsts a JOIN firsts b ON a.n + 1 = b.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
-  UNION SELECT a.line, b.line FROM firsts a JOIN firsts b ON a.n + 1 = b.n AND right(a.line, a.n // 2) = right(b.line, a.n // 2)),
+  SELECT a.line AS x, b.line AS y FROM long a JOIN long b ON a.n = b.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2) AND a.line <> b.line
+  UNION SELECT a.line, b.line FROM long a JOIN long b ON a.n = b.n AND right(a.line, a.n // 2) = right(b.line, a.n // 2) AND a.line <> b.line
+  UNION SELECT a.line, b.line FROM long a JOIN long b ON a.n + 1 = b.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
+  UNION SELECT a.line, b.line FROM long a JOIN long b ON a.n + 1 = b.n AND right(a.line, a.n // 2) = right(b.line, a.n // 2)),
 pairs AS (
   SELECT x, y FROM halves WHERE CASE WHEN length(x) = length(y)
     THEN len(list_filter(range(1, length(x) + 1), lambda i: substr(x, i, 1) <> substr(y, i, 1))) = 1

@@ -63,7 +63,7 @@ def edit_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def kept_lines(texts: list[str | None], min_chars: int) -> list[str | None]:
+def kept_lines(texts: list[str | None], min_chars: int, equal_chars: int) -> list[str | None]:
     """Texts in document order without lines equal or near to an earlier one."""
     seen: list[str] = []
     out = []
@@ -74,8 +74,9 @@ def kept_lines(texts: list[str | None], min_chars: int) -> list[str | None]:
         kept = []
         for raw in text.split("\n"):
             line = raw.strip(" \t\n\x0b\x0c\r")
-            if len(line) >= min_chars:
-                near = any(abs(len(line) - len(e)) <= 1 and edit_distance(line, e) <= 1 for e in seen)
+            if len(line) >= equal_chars:
+                near = line in seen or len(line) >= min_chars and any(
+                    len(e) >= min_chars and abs(len(line) - len(e)) <= 1 and edit_distance(line, e) <= 1 for e in seen)
                 seen.append(line)
                 if near:
                     continue

@@ -152,21 +152,23 @@ def test_a_passage_of_many_texts_fills_no_bucket(spark, monkeypatch):
         assert len(largest) >= 3 and max(largest) <= 2 * substring_dedup.BUCKET_RUNS
         assert got == dict(enumerate(reference.removed_substrings(texts, 400)))
 
-def test_lines_match_edit_distance(spark):
+
+@pytest.mark.parametrize("min_chars, equal_chars", [(line_dedup.MIN_CHARS, line_dedup.EQUAL_CHARS), (20, 20), (6, 0)])
+def test_lines_match_edit_distance(spark, min_chars, equal_chars):
     rng = random.Random(8)
-    lines = [data.prose(rng, rng.randint(4, 14)) for _ in range(12)] + ["x" * 150 + data.prose(rng, 5) + "y" * 90]
+    lines = [data.prose(rng, rng.randint(4, 14)) for _ in range(12)] + [data.prose(rng, k)[:n] for k, n in ((3, 9), (3, 10), (5, 19), (5, 20), (2, 6))] + ["x" * 150 + data.prose(rng, 5) + "y" * 90]
 
     def edited(line):
         k = rng.randrange(len(line) + 1)
         return rng.choice([line[:k] + "z" + line[k:], line[:k] + line[k + 1:], line[:k] + "z" + line[k + 1:], line,
                            line[:k] + "zz" + line[k:], line[k:] + line[:k]])
 
-    texts = ["\n".join(rng.choice(["", "  "]) + edited(rng.choice(lines)) for _ in range(rng.randint(1, 6))) for _ in range(40)]
+    texts = ["\n".join(rng.choice(["", "  "]) + edited(rng.choice(lines)) for _ in range(rng.randint(1, 8))) for _ in range(50)]
     docs = data.documents(spark, [(i, t, None, None, len(t)) for i, t in enumerate(texts)])
-    got = {r.doc_id: (r.text, r.n_chars) for r in line_dedup.drop_lines(docs).collect()}
-    want = reference.kept_lines(texts, line_dedup.MIN_CHARS)
+    got = {r.doc_id: (r.text, r.n_chars) for r in line_dedup.drop_lines(docs, min_chars, equal_chars).collect()}
+    want = reference.kept_lines(texts, min_chars, equal_chars)
     assert got == {i: (t, len(t)) for i, t in enumerate(want)}
-    report = {r.doc_id: r for r in line_dedup.line_report(docs).collect()}
+    report = {r.doc_id: r for r in line_dedup.line_report(docs, min_chars, equal_chars).collect()}
     assert sum(r.n_near for r in report.values()) > 5
 
 

@@ -174,3 +174,8 @@ def test_stages_take_every_case(spark, stage):
         if stage != "packing":
             assert out.columns == df.columns and out.schema.simpleString() == df.schema.simpleString()
         assert bool(got) == (not df.isEmpty())
+
+
+def test_floor_of_equal_lines_above_that_of_near_ones(spark):
+    with pytest.raises(ValueError):
+        line_dedup.drop_lines(data.documents(spark), min_chars=20, equal_chars=21)

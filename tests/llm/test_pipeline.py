@@ -20,7 +20,7 @@ def test_stages_follow_each_other(spark):
     good = {r.doc_id for r in quality_rules.quality_report(docs).collect() if r.kept}
     assert {r.doc_id for r in steps["quality_rules"].collect()} == good
     ids = sorted(good)
-    lined = reference.kept_lines([rows[i] for i in ids], line_dedup.MIN_CHARS)
+    lined = reference.kept_lines([rows[i] for i in ids], line_dedup.MIN_CHARS, line_dedup.EQUAL_CHARS)
     assert {r.doc_id: r.text for r in steps["line_dedup"].collect()} == dict(zip(ids, lined))
     near = reference.near_components(lined, near_dedup.SHINGLE_WORDS)
     kept = {i for k, i in enumerate(ids) if near[k] == k}
