@@ -9,9 +9,11 @@ jointly: the block is packed once under every limit on the opened size, and
 the packing with the least total cost stays. Documents longer than the
 largest capacity become full bins plus one remaining piece.
 
-Only doc_id and size are shuffled, dealt by a hash of the row; a task streams
-its blocks and holds one at a time (at most ``BLOCK_MOST`` pieces), so no
-source, length or copy group can grow a task.
+Only doc_id, size and block are shuffled, dealt by a hash of doc_id, size and
+text, so that rows without an id spread too; a task streams its blocks and
+holds one at a time (``BLOCK_MOST`` pieces and one batch at most, the pieces
+that long documents are cut into counted), so no source, length or copy group
+can grow a task.
 
 Defined results
     null or empty text    one row with length 0 in no bin (null bin)
@@ -113,12 +115,12 @@ def _pack_block(frame: pd.DataFrame, block: int, part: int, capacities: Sequence
 def _pack_blocks(capacities: Sequence[int], most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pd.DataFrame] = []
-        block, part = None, 0
+        block, part, pieces = None, 0, 0
 
         def flush():
-            nonlocal held
+            nonlocal held, pieces
             out = _pack_block(pd.concat(held, ignore_index=True), block, part, capacities)
-            held = []
+            held, pieces = [], 0
             return pa.RecordBatch.from_pandas(out, schema=SCHEMA, preserve_index=False)
 
         for batch in batches:
@@ -129,13 +131,14 @@ def _pack_blocks(capacities: Sequence[int], most: int):
                 if held and now != block:
                     yield flush()
                     part = 0
-                elif held and sum(map(len, held)) >= most:
+                elif held and pieces >= most:
                     yield flush()
                     part += 1
                 if now != block:
                     part = 0
                 block = now
                 held.append(rows)
+                pieces += int(np.maximum(1, -(-rows["size"].to_numpy(np.int64) // max(capacities))).sum())
         if held:
             yield flush()
     return run
@@ -146,8 +149,8 @@ def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES) -> D
     bin's capacity. Sizes are words."""
     small_batches(docs.sparkSession)
     capacities = tuple(sorted(capacities))
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"))
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"), F.xxhash64(F.col("text")).alias("text_hash"))
     n_blocks = max(1, -(-docs.count() // BLOCK_ROWS))
-    dealt = sized.withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.lit(n_blocks)).cast("long"))
+    dealt = sized.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", "text_hash"), F.lit(n_blocks)).cast("long")).drop("text_hash")
     return (dealt.repartition("block").sortWithinPartitions("block", F.col("size").desc(), "doc_id")
             .mapInArrow(_pack_blocks(capacities, BLOCK_MOST), RESULT))
