@@ -8,8 +8,11 @@ of that family decide the language.
 
 Training rows are those with a language, an id and text whose
 crc32(doc_id) mod 4 is not 2; the others are held out. The machines are
-fitted on a bounded sample of them (``SAMPLE`` rows a language, chosen by the
-hash of doc_id); everything else covers all rows. Prediction is a projection
+fitted on a bounded sample of them (``SAMPLE`` rows a language and about
+``SAMPLE_ROWS`` in all, chosen by the hash of doc_id); everything else covers
+all rows. The machines, one for each pair of families and for each pair of
+languages in a family, go to every task: more than ``MACHINES`` (16 KB each)
+raise. Prediction is a projection
 without a shuffle and never sees lang, source or doc_id.
 
 Defined results
@@ -20,15 +23,18 @@ Defined results
     repeated rows         each row is predicted alone
     no training rows      every row is ``und`` with score 0
     one language          that language
+    labels for more than ``MACHINES`` pairs   ``ValueError``
     empty table           empty result
     extra columns         ignored
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections import Counter
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,8 @@ from pyspark.sql import functions as F
 from kestrel.llm.textcols import small_batches
 
 SAMPLE = 400
+SAMPLE_ROWS = 16384
+MACHINES = 4096
 WIDTH = 4096
 PIECE = 1 << 20
 FOLDS, HELD_OUT = 4, 2
@@ -159,17 +167,28 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "x": pa.array(rows, pa.binary())})
 
 
+def machines_of(langs: Iterable[str]) -> int:
+    """Pairs of families and pairs of languages within a family."""
+    members = Counter(map(family_of, langs))
+    return comb(len(members), 2) + sum(comb(k, 2) for k in members.values())
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` rows a language. The sample's rates come from
+    """Fit on at most ``sample`` rows a language, fewer where many languages
+    would bring more than ``SAMPLE_ROWS`` together (16 at least). The sample's rates come from
     counts over all training rows; what reaches the driver is one row per
     language and ``WIDTH`` floats per sampled row."""
     labelled = docs.select(
         F.col("text").alias("text"), F.col("lang").alias("lang"), fold(F.col("doc_id")).alias("fold"),
         F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)).alias("at")).filter(
         (F.col("fold") != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    # One label more than there may be machines is enough to raise.
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MACHINES + 2).collect()}
     if not counts:
         return Model(None, {})
+    if machines_of(counts) > MACHINES:
+        raise ValueError(f"{len(counts)} languages need {machines_of(counts)} machines, more than {MACHINES}")
+    sample = min(sample, max(16, SAMPLE_ROWS // len(counts)))
     chosen = None
     for lang, n in sorted(counts.items()):
         test = (F.col("lang") == lang) & (F.col("at") < int(HASH_RANGE * min(1.0, 1.25 * sample / n)))

@@ -83,3 +83,27 @@ def kept_lines(texts: list[str | None], min_chars: int, equal_chars: int) -> lis
             kept.append(raw)
         out.append("\n".join(kept))
     return out
+
+
+def best_fit(sizes: list[int], capacities: list[int], overhead: int) -> tuple[int, list[tuple[int, int]]]:
+    """Total cost and (bin, offset) per item of descending sizes: every open
+    bin is looked at for every item, under every limit on the opened size."""
+    best = None
+    for limit in capacities:
+        bins, at = [], []  # [free, filled]
+        for i, size in enumerate(sizes):
+            fitting = [(free, b) for b, (free, _) in enumerate(bins) if free >= size]
+            if fitting:
+                b = min(fitting)[1]
+            else:
+                fits = [c for c in capacities if c >= size]
+                allowed = [c for c in fits if c <= limit] or fits[:1]
+                b = len(bins)
+                bins.append([min(allowed, key=lambda c: ((c + overhead) / min(c, sum(sizes[i:])), c)), 0])
+            at.append((b, bins[b][1]))
+            bins[b][0] -= size
+            bins[b][1] += size
+        cost = sum(min(c for c in capacities if c >= filled) + overhead for _, filled in bins)
+        if best is None or cost < best[0]:
+            best = (cost, at)
+    return best

@@ -2,9 +2,10 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,6 +235,74 @@ def test_language_separates_families_first(spark):
     assert model.languages["romance"].classes == ["es", "fr"]
 
 
+def test_svm_reaches_the_least_loss():
+    """Dual coordinate descent against plain gradient descent on the primal."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 12))
+    y = np.where(x @ rng.normal(size=12) + 0.8 * rng.normal(size=120) > 0.3, 1.0, -1.0)
+    full, cost = np.hstack([x, np.ones((120, 1))]), 10.0
+    loss = lambda w: 0.5 * w @ w + cost * (np.maximum(0, 1 - y * (full @ w)) ** 2).sum()
+    plain = np.zeros(13)
+    step = 1 / (1 + 2 * cost * np.linalg.norm(full, 2) ** 2)
+    for _ in range(20000):
+        plain -= step * (plain - 2 * cost * full.T @ (y * np.maximum(0, 1 - y * (full @ plain))))
+    got = language_id.train_svm(x, y, cost, rounds=4000).astype(float)
+    assert loss(got) <= 1.001 * loss(plain)
+    assert np.abs(got - plain).max() < 0.02
+
+
+def test_many_languages(spark, monkeypatch):
+    """The sample shrinks with the number of languages; too many raise."""
+    rng = random.Random(9)
+    rows = [(k, data.prose(rng, 12), f"x{k % 20}", "s", 0) for k in range(2000)]
+    docs = data.documents(spark, rows)
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 400)
+    seen = []
+    fit = language_id.OneVersusOne.fit.__func__
+    monkeypatch.setattr(language_id.OneVersusOne, "fit", classmethod(lambda cls, x, labels: (seen.append(len(x)), fit(cls, x, labels))[1]))
+    assert len(language_id.train(docs).languages["other"].classes) == 20 and max(seen) <= 400
+    monkeypatch.setattr(language_id, "MACHINES", 189)
+    with pytest.raises(ValueError):
+        language_id.train(docs)
+
+
+def test_packing_equals_plain_best_fit(spark, monkeypatch):
+    rng = random.Random(4)
+    for capacities in ((256, 512, 1024, 2048, 4096), (64,), (10, 25, 40)):
+        for _ in range(6):
+            sizes = sorted((rng.randint(1, capacities[-1]) for _ in range(rng.randint(1, 150))), reverse=True)
+            cost, at = reference.best_fit(sizes, list(capacities), packing.OVERHEAD)
+            bins, offsets, final = packing.pack(np.asarray(sizes), capacities)
+            assert list(zip(bins.tolist(), offsets.tolist())) == at
+            assert int(final.sum()) + packing.OVERHEAD * len(final) == cost
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    words = {i: len(reference.WORD.findall(t or "")) for i, t in collected(docs)}
+    largest = packing.CAPACITIES[-1]
+    pieces = sorted((-min(largest, n - at), -n, i, at) for i, n in words.items() for at in range(0, n, largest))
+    cost, at = reference.best_fit([-n for n, *_ in pieces], list(packing.CAPACITIES), packing.OVERHEAD)
+    got = {(r.doc_id, r.start): (r.bin, r.bin_offset, r.capacity) for r in packing.pack_documents(docs).collect() if r.length}
+    assert {key: value[:2] for key, value in got.items()} == {(i, start): place for (_, _, i, start), place in zip(pieces, at)}
+    assert sum(c + packing.OVERHEAD for _, c in {(b, c) for b, _, c in got.values()}) == cost
+
+
+def test_long_documents_and_rows_without_an_id_fill_no_block(spark, monkeypatch):
+    """Blocks count the pieces of long documents, and equal sizes without an
+    id are dealt to many blocks."""
+    held = []
+    pack_block = packing._pack_block
+    monkeypatch.setattr(packing, "_pack_block", lambda frame, *rest: (held.append(int(np.maximum(1, -(-frame["size"] // 8)).sum())),
+                                                                      pack_block(frame, *rest))[1])
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([None] * 40, pa.int64()), "size": pa.array([160] * 40, pa.int64()),
+                                        "block": pa.array([0] * 40, pa.int64())})
+    out = list(packing._pack_blocks((4, 8), 100)(batch.slice(k, 4) for k in range(0, 40, 4)))
+    assert max(held) <= 100 + 80 and sum(b.num_rows for b in out) == 800
+    assert len({x for b in out for x in b.column("bin").to_pylist()}) == 800
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 50)
+    docs = spark.createDataFrame([(None, f"word{k} and") for k in range(1000)], "doc_id long, text string")
+    blocks = Counter(r.bin >> 40 for r in packing.pack_documents(docs).collect())
+    assert len(blocks) == 20 and max(blocks.values()) < 120
+
+
 def test_packing_places_every_word_once(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     sizes = {i: len(reference.WORD.findall(t or "")) for i, t in collected(docs)}
