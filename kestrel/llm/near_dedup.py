@@ -71,6 +71,7 @@ BAND = 4
 MISSED = 1e-6
 CHUNK = 1024
 DEVIATIONS = 5.0
+PAIRS = 1 << 13  # pairs whose registers are estimated at a time
 SKETCH_ROWS = "doc_id long, tid binary, n long, sig binary, registers binary"
 
 
@@ -148,11 +149,27 @@ def chance_equal(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return total
 
 
+def _count(marks: np.ndarray) -> np.ndarray:
+    """How many marks a row of registers has, eight at a time."""
+    marks = np.ascontiguousarray(marks)
+    return np.bitwise_count(marks.view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bits rows of 64-bit words share with one row."""
+    return np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
+
+
+def _within_size(n: np.ndarray, m: int, percent: int) -> tuple[int, int]:
+    """The stretch of the ascending sizes ``n`` that a set of size ``m`` can be linked to."""
+    return (int(np.searchsorted(n, -(-percent * m // 100))), int(np.searchsorted(n, 100 * m // percent, "right")))
+
+
 def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int = MIN_PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Collision-corrected Jaccard estimate of register rows and its deviation
     at the threshold."""
-    used = ((x > 0) | (y > 0)).sum(axis=-1)
-    equal = ((x == y) & (x > 0)).sum(axis=-1)
+    used = _count((x > 0) | (y > 0))
+    equal = _count((x == y) & (x > 0))
     by_chance = chance_equal(n.astype(float), m.astype(float)) * REGISTERS
     share = percent / 100
     return (np.maximum(equal - by_chance, 0) / np.maximum(used, 1),
@@ -219,20 +236,47 @@ def _verify(candidates: DataFrame, texts: DataFrame, size: int, percent: int) ->
 def _bit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Each row's part of the centre's shingles as bits, and how many of its
     shingles lie outside it. Rows that were not compared with the centre have
-    no known part: all of their shingles lie outside, and all bits are set."""
+    no known part: all of their shingles lie outside, and all bits are set.
+    The bits come as 64-bit words."""
     n, centre = table["n"].to_numpy(), table["centre"][0].as_py()
     known = table["bits"].to_pylist()
     sigs = table["sig"].to_pylist()
     own = next((int(k) for k, s in zip(n, sigs) if s == centre), None)
     width = max((len(b) for b in known if b is not None), default=0 if own is None else -(-own // 8))
-    bits, outside = np.full((len(n), width), 255, np.uint8), n.astype(np.int64)
+    bits, outside = np.full((len(n), -(-width // 8) * 8), 255, np.uint8), n.astype(np.int64)
     for k, (b, s) in enumerate(zip(known, sigs)):
         if s == centre:
             outside[k] = 0
         elif b is not None:
-            bits[k] = np.frombuffer(b, np.uint8)
+            bits[k] = 0
+            bits[k, :len(b)] = np.frombuffer(b, np.uint8)
             outside[k] -= int(np.bitwise_count(bits[k]).sum())
-    return bits, outside
+    return bits.view(np.uint64), outside
+
+
+def _numbered(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values as equal numbers."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _in_batches(rows: Iterator[tuple[np.ndarray, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of (several, one) as two index arrays of about ``PAIRS``."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    many = 0
+    for at, k in rows:
+        if len(at):
+            held.append((at, np.full(len(at), k)))
+            many += len(at)
+        if many >= PAIRS:  # one row more adds a chunk at most
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, many = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _listed(sig: list[bytes], pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    out = [(max(sig[j], sig[k]), min(sig[j], sig[k])) for at, by in pairs for j, k in zip(at.tolist(), by.tolist())]
+    return pa.table({"a": [a for a, _ in out], "b": [b for _, b in out]}, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
 
 
 def _chunk_pairs(percent: int):
@@ -240,29 +284,34 @@ def _chunk_pairs(percent: int):
     centre's component; the pairs across components that can still reach the
     threshold come out, each from the first band that it shares."""
     def run(table: pa.Table) -> pa.Table:
-        out = {"a": [], "b": []}
         other = table["outside"].to_numpy(zero_copy_only=False)
-        mine = np.flatnonzero(~other)
         registers, n = _rows_of(table["registers"].combine_chunks()), table["n"].to_numpy()
+        mine = np.flatnonzero(~other)
+        mine = mine[np.argsort(n[mine], kind="stable")]
         bits, beyond = _bit_rows(table)
-        sig, component = table["sig"].to_pylist(), np.asarray(table["component"].to_pylist(), object)
+        sig, component = table["sig"].to_pylist(), _numbered(table["component"])
+        own_n, own_bits, own_beyond, own_component = n[mine], bits[mine], beyond[mine], component[mine]
         band = table["band"][0].as_py()
         width = band_width(percent)
         before = slice(0, band * width)
-        for k in np.flatnonzero(other):
-            # What two sets have in common lies in both parts of the centre or
-            # outside it in both.
-            most = np.bitwise_count(bits[mine] & bits[k]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[mine], beyond[k])
-            most = np.minimum(most, np.minimum(n[mine], n[k]))
-            at = mine[((100 + percent) * most >= percent * (n[mine] + n[k])) & (component[mine] != component[k])]
-            x = registers[at]
-            earlier = (x[:, before] == registers[k, before]).reshape(len(at), band, width).all(axis=2)
-            used = (registers[k, before].reshape(band, width) > 0).any(axis=1)
-            likely = _likely(x, registers[k][None, :], n[at], np.full(len(at), n[k]), percent)
-            for j in at[~(earlier & used).any(axis=1) & likely]:
-                out["a"].append(max(sig[j], sig[k]))
-                out["b"].append(min(sig[j], sig[k]))
-        return pa.table(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+        def able():
+            for k in np.flatnonzero(other):
+                lo, hi = _within_size(own_n, int(n[k]), percent)
+                # What two sets have in common lies in both parts of the
+                # centre or outside it in both.
+                most = _common(own_bits[lo:hi], bits[k]) + np.minimum(own_beyond[lo:hi], beyond[k])
+                most = np.minimum(most, np.minimum(own_n[lo:hi], n[k]))
+                yield mine[lo:hi][((100 + percent) * most >= percent * (own_n[lo:hi] + n[k])) & (own_component[lo:hi] != component[k])], k
+
+        found = []
+        for at, by in _in_batches(able()):
+            x, y = registers[at], registers[by]
+            earlier = (x[:, before] == y[:, before]).reshape(len(at), band, width).all(axis=2)
+            used = (y[:, before].reshape(len(at), band, width) > 0).any(axis=2)
+            keep = _likely(x, y, n[at], n[by], percent) & ~(earlier & used).any(axis=1)
+            found.append((at[keep], by[keep]))
+        return _listed(sig, found)
     return run
 
 
@@ -289,38 +338,48 @@ def _block_pairs(percent: int):
     """Rows of one register and two blocks (or one): the pairs across
     components that can still reach the threshold."""
     def run(table: pa.Table) -> pa.Table:
-        out = {"a": [], "b": []}
         registers, n = _rows_of(table["registers"].combine_chunks()), table["n"].to_numpy()
-        sig, component = table["sig"].to_pylist(), np.asarray(table["component"].to_pylist(), object)
+        rising = np.argsort(n, kind="stable")
+        table, registers, n = table.take(pa.array(rising)), registers[rising], n[rising]
+        sig, component = table["sig"].to_pylist(), _numbered(table["component"])
         anchors, known = table["anchor"].to_pylist(), table["bits"].to_pylist()
         number = {c: i for i, c in enumerate(set(anchors) - {None})}
         anchor = np.array([number.get(c, -1) for c in anchors])
         bits, row_of, beyond = {}, np.zeros(len(n), np.int64), n.astype(np.int64)
         for i in number.values():
             at = np.flatnonzero(anchor == i)
-            bits[i] = np.array([np.frombuffer(known[k], np.uint8) for k in at])
+            width = max(len(known[k]) for k in at)
+            own = np.zeros((len(at), -(-width // 8) * 8), np.uint8)
+            for r, k in enumerate(at):
+                own[r, :len(known[k])] = np.frombuffer(known[k], np.uint8)
+            bits[i] = own.view(np.uint64)
             row_of[at] = np.arange(len(at))
             beyond[at] -= np.bitwise_count(bits[i]).sum(axis=1, dtype=np.int64)
         first, same = table["first"].to_numpy(zero_copy_only=False), table["same"][0].as_py()
         left = np.flatnonzero(first)
-        for k in range(len(n)) if same else np.flatnonzero(~first):
-            at = left[left < k] if same else left
-            at = at[(100 * np.minimum(n[at], n[k]) >= percent * np.maximum(n[at], n[k])) & (component[at] != component[k])]
-            # Registers that differ stand for as many shingles that only one has.
-            unequal = (registers[at] != registers[k]).sum(axis=1)
-            at = at[(100 + percent) * unequal <= (100 - percent) * (n[at] + n[k])]
-            most = np.minimum(n[at], n[k])
-            if anchor[k] >= 0 and len(at):
-                alike = anchor[at] == anchor[k]
-                own, j = bits[anchor[k]], at[alike]
-                common = np.bitwise_count(own[row_of[j]] & own[row_of[k]]).sum(axis=1, dtype=np.int64)
-                most[alike] = np.minimum(most[alike], common + np.minimum(beyond[j], beyond[k]))
-            at = at[(100 + percent) * most >= percent * (n[at] + n[k])]
-            if len(at):
-                for j in at[_likely(registers[at], registers[k][None, :], n[at], np.full(len(at), n[k]), percent)]:
-                    out["a"].append(max(sig[j], sig[k]))
-                    out["b"].append(min(sig[j], sig[k]))
-        return pa.table(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+        left_n, left_component, left_registers = n[left], component[left], registers[left]
+
+        def able():
+            for k in range(len(n)) if same else np.flatnonzero(~first):
+                lo, hi = _within_size(left_n, int(n[k]), percent)
+                hi = min(hi, int(np.searchsorted(left, k))) if same else hi
+                on = lo + np.flatnonzero(left_component[lo:max(lo, hi)] != component[k])
+                # Registers that differ stand for as many shingles that only one has.
+                unequal = _count(left_registers[on] != registers[k])
+                at = left[on[(100 + percent) * unequal <= (100 - percent) * (left_n[on] + n[k])]]
+                most = np.minimum(n[at], n[k])
+                if anchor[k] >= 0 and len(at):
+                    alike = anchor[at] == anchor[k]
+                    own, j = bits[anchor[k]], at[alike]
+                    common = _common(own[row_of[j]], own[row_of[k]])
+                    most[alike] = np.minimum(most[alike], common + np.minimum(beyond[j], beyond[k]))
+                yield at[(100 + percent) * most >= percent * (n[at] + n[k])], k
+
+        found = []
+        for at, by in _in_batches(able()):
+            keep = _likely(registers[at], registers[by], n[at], n[by], percent)
+            found.append((at[keep], by[keep]))
+        return _listed(sig, found)
     return run
 
 
