@@ -17,6 +17,7 @@ TIME_OF_DAY_ORDER = ("Morning", "Afternoon", "Evening", "Night")
 # Ratings: valid from 1 to 5 inclusive; below 3 Low, 3 up to (not incl.) 5 Medium, 5 High.
 RATING_MIN, RATING_MAX = 1, 5
 RATING_LOW, RATING_MEDIUM, RATING_HIGH = "Low", "Medium", "High"
+RATING_BANDS = ((RATING_LOW, float("-inf")), (RATING_MEDIUM, 3.0), (RATING_HIGH, 5.0))
 # Half of the year by month number: 1-6 early, anything else late.
 EARLY_YEAR, LATE_YEAR = "Early Year", "Late Year"
 HALF_YEAR_ORDER = (EARLY_YEAR, LATE_YEAR)
@@ -53,12 +54,13 @@ def is_valid_rating(rating: Column | str) -> Column:
     return (r >= RATING_MIN) & (r <= RATING_MAX)
 
 
-def rating_band(rating: Column | str) -> Column:
-    """Low / Medium / High; no default, so an unmatched value is null."""
+def rating_band(rating: Column | str,
+                bands: Sequence[tuple[str, float]] = RATING_BANDS, most: float = RATING_MAX) -> Column:
+    """The band with the highest start that the rating reaches (F11); null for
+    a null rating, NaN or one above ``most``."""
     r = _c(rating)
-    return (F.when(r < 3, RATING_LOW)
-            .when((r >= 3) & (r < 5), RATING_MEDIUM)
-            .when(r == 5, RATING_HIGH))
+    reached = [F.when(r >= start, name) for name, start in sorted(bands, key=lambda b: b[1], reverse=True)]
+    return F.when(r <= most, F.coalesce(*reached))
 
 
 def half_year(month_text: Column | str) -> Column:
