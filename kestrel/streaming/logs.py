@@ -87,6 +87,9 @@ def replay_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [spark.read.schema(schema).parquet(staged).filter(F.col("arrival") == n).drop("arrival") for n in range(REPLAY_SLICES + 1)]
 
 
+replay_slices = replay_arrivals  # its name before the text replay
+
+
 def _replay(spark: SparkSession, sf_dir: str, write, read, **options) -> tuple[StreamRun, list[StreamRun]]:
     """DataNode windows over events that arrive slice by slice, in update
     mode: ``write`` adds an arrival's files to a folder, and the query over
